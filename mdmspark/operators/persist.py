@@ -1,0 +1,30 @@
+"""Caching around several actions, and first-n previews.
+
+A persisted frame survives the loss of an executor: lost blocks are
+recomputed from lineage (unlike ``localCheckpoint``, which is never used).
+Persist only what several jobs read, after the projection, and release it in
+``finally``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """``with persisted(df) as cached: ...`` - cached while the block runs."""
+    cached = df.persist(level)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """First ``n`` rows, for display only (L1, L2)."""
+    return df.limit(n)
