@@ -2,12 +2,13 @@
 control (K5)."""
 
 from mdmspark.sinks.files import SAVE_MODES, save_mode, shape_files, write_csv, write_parquet, write_snapshot
-from mdmspark.sinks.jdbc import write_jdbc
+from mdmspark.sinks.jdbc import jdbc_write_options, write_jdbc
 
 __all__ = [
     "SAVE_MODES",
     "save_mode",
     "shape_files",
+    "jdbc_write_options",
     "write_csv",
     "write_jdbc",
     "write_parquet",

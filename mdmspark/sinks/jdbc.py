@@ -14,6 +14,27 @@ from pyspark.sql import DataFrame
 from mdmspark.sinks.files import save_mode
 
 
+def jdbc_write_options(
+    options: Mapping[str, str],
+    table: str,
+    truncate: bool = False,
+    batch_size: int | None = None,
+    num_partitions: int | None = None,
+) -> dict[str, str]:
+    """Writer options on top of the connection ``options``."""
+    if "url" not in options:
+        raise ValueError("JDBC options need a 'url'")
+    out = {k: str(v) for k, v in options.items() if v is not None}
+    out["dbtable"] = table
+    if truncate:
+        out["truncate"] = "true"
+    if batch_size:
+        out["batchsize"] = str(batch_size)
+    if num_partitions:
+        out["numPartitions"] = str(num_partitions)
+    return out
+
+
 def write_jdbc(
     df: DataFrame,
     options: Mapping[str, str],
@@ -26,14 +47,5 @@ def write_jdbc(
     """Write ``df`` to ``table``. With ``mode='overwrite'`` and ``truncate``
     the table is emptied and kept (its DDL and grants survive) instead of
     dropped and re-created."""
-    w = df.write.format("jdbc").mode(save_mode(mode)).option("dbtable", table)
-    for k, v in options.items():
-        if v is not None:
-            w = w.option(k, str(v))
-    if truncate:
-        w = w.option("truncate", "true")
-    if batch_size:
-        w = w.option("batchsize", str(batch_size))
-    if num_partitions:
-        w = w.option("numPartitions", str(num_partitions))
-    w.save()
+    opts = jdbc_write_options(options, table, truncate, batch_size, num_partitions)
+    df.write.format("jdbc").mode(save_mode(mode)).options(**opts).save()

@@ -10,13 +10,21 @@ from mdmspark.sources.files import (
     read_snapshots,
     snapshot_path,
 )
-from mdmspark.sources.jdbc import SOURCE_TABLES, JdbcPartitioning, extract_table, jdbc_reader, read_jdbc
+from mdmspark.sources.jdbc import (
+    SOURCE_TABLES,
+    JdbcPartitioning,
+    extract_table,
+    jdbc_options,
+    jdbc_reader,
+    read_jdbc,
+)
 
 __all__ = [
     "SNAPSHOT_COLUMN",
     "SOURCE_TABLES",
     "JdbcPartitioning",
     "extract_table",
+    "jdbc_options",
     "jdbc_reader",
     "parse_snapshot_date",
     "read_csv",

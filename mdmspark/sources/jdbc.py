@@ -30,53 +30,64 @@ class JdbcPartitioning:
     num_partitions: int
 
 
-def jdbc_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFrameReader:
-    """A JDBC reader with the connection options set."""
-    if "url" not in options:
-        raise ValueError("JDBC options need a 'url'")
-    reader = spark.read.format("jdbc")
-    for k, v in options.items():
-        if v is not None:
-            reader = reader.option(k, str(v))
-    return reader
-
-
-def read_jdbc(
-    spark: SparkSession,
+def jdbc_options(
     options: Mapping[str, str],
     table: str | None = None,
     query: str | None = None,
     custom_schema: str | None = None,
     partitioning: JdbcPartitioning | None = None,
     fetch_size: int | None = None,
-) -> DataFrame:
-    """Read a whole table (S3) or the result of a SQL query.
+) -> dict[str, str]:
+    """The reader options for a whole table (S3) or the result of a SQL query
+    (S2), on top of the connection ``options`` (S1).
 
     ``custom_schema`` is a DDL string of column types to read as, e.g.
     ``"id BIGINT, amount STRING"`` (S4); columns not named keep the types the
     database reports.
     """
+    if "url" not in options:
+        raise ValueError("JDBC options need a 'url'")
     if (table is None) == (query is None):
         raise ValueError("give exactly one of table= or query=")
-    reader = jdbc_reader(spark, options)
+    out = {k: str(v) for k, v in options.items() if v is not None}
     if partitioning is not None:
-        source = table if table is not None else f"({query}) q"
-        reader = (
-            reader.option("dbtable", source)
-            .option("partitionColumn", partitioning.column)
-            .option("lowerBound", str(partitioning.lower_bound))
-            .option("upperBound", str(partitioning.upper_bound))
-            .option("numPartitions", str(partitioning.num_partitions))
-        )
+        if partitioning.num_partitions < 1:
+            raise ValueError("num_partitions must be >= 1")
+        out["dbtable"] = table if table is not None else f"({query}) q"
+        out["partitionColumn"] = partitioning.column
+        out["lowerBound"] = str(partitioning.lower_bound)
+        out["upperBound"] = str(partitioning.upper_bound)
+        out["numPartitions"] = str(partitioning.num_partitions)
     elif table is not None:
-        reader = reader.option("dbtable", table)
+        out["dbtable"] = table
     else:
-        reader = reader.option("query", query)
+        out["query"] = query
     if custom_schema:
-        reader = reader.option("customSchema", custom_schema)
+        out["customSchema"] = custom_schema
     if fetch_size:
-        reader = reader.option("fetchsize", str(fetch_size))
-    return reader.load()
+        out["fetchsize"] = str(fetch_size)
+    return out
+
+
+def jdbc_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFrameReader:
+    """A JDBC reader with the connection options set."""
+    if "url" not in options:
+        raise ValueError("JDBC options need a 'url'")
+    return spark.read.format("jdbc").options(**{k: str(v) for k, v in options.items() if v is not None})
+
+
+def read_jdbc(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    table: str | None = None,
+    query: str | None = None,
+    custom_schema: str | None = None,
+    partitioning: JdbcPartitioning | None = None,
+    fetch_size: int | None = None,
+) -> DataFrame:
+    """Read a whole table (S3) or a query result (S2); see :func:`jdbc_options`."""
+    opts = jdbc_options(options, table, query, custom_schema, partitioning, fetch_size)
+    return spark.read.format("jdbc").options(**opts).load()
 
 
 # Source tables extracted by the staging jobs.

@@ -1,0 +1,31 @@
+"""Every registered query against its DuckDB oracle at sf 0.01."""
+
+import pytest
+
+import __spark_entry__ as entry_module
+from conftest import SF001, SF01
+from oracle import compare, duck_connect
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck_connect(SF01)
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry_module.queries()))
+def test_query_matches_oracle(spark, con, name):
+    r = compare(spark, con, name, entry_module.queries()[name], entry_module.oracle_sql()[name], SF01)
+    assert r["rows"][0] == r["rows"][1], r
+    assert r["columns_match"] and r["types_match"], r
+    assert r["hash_match"], r
+
+
+def test_entry_smoke(spark):
+    df = entry_module.entry(spark)
+    assert df.count() > 0
+    assert df.columns[0] == "user_id"
+    assert SF001.endswith("sf0.001")

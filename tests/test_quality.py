@@ -1,0 +1,124 @@
+"""Quality rules: one-pass metrics, gates (one good and one bad input per
+rule), quarantine."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from mdmspark.operators import (
+    ERROR,
+    WARN,
+    KeyRule,
+    MissingColumnsError,
+    QualityGateError,
+    Rule,
+    enforce,
+    evaluate,
+    quality_metrics,
+    quarantine,
+    require_columns,
+)
+from mdmspark.plans import cards, mcc_codes, merchant, users
+
+
+def test_metrics_one_row(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "c")], "k int, v string")
+    rules = [Rule("v_null", F.col("v").isNull(), WARN), Rule("k_null", F.col("k").isNull(), ERROR)]
+    key_rules = [KeyRule("dup", "duplicate"), KeyRule("multi", "conflict", F.col("v")),
+                 KeyRule("none", "none_present", F.col("v").isNotNull())]
+    m = quality_metrics(df, rules, F.col("k"), key_rules).first().asDict()
+    assert m == {"n_rows": 4, "n_keys": 3, "v_null": 1, "k_null": 1, "dup": 1, "multi": 0, "none": 0}
+
+
+def test_metrics_without_key_and_empty(spark):
+    df = spark.createDataFrame([], "k int, v string")
+    m = quality_metrics(df, [Rule("v_null", F.col("v").isNull())]).first().asDict()
+    assert m == {"n_rows": 0, "v_null": 0}
+    m = quality_metrics(df, [Rule("v_null", F.col("v").isNull())], F.col("k"), [KeyRule("d", "duplicate")]).first()
+    assert m.asDict() == {"n_rows": 0, "n_keys": 0, "v_null": 0, "d": 0}
+
+
+def test_metrics_is_one_job_one_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    m = quality_metrics(df, [Rule("big", F.col("v") > 90)], F.col("k"), [KeyRule("d", "duplicate")])
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_gate_raises_only_on_errors():
+    rules = [Rule("w", None, WARN), Rule("e", None, ERROR)]
+    assert evaluate({"w": 3, "e": 0}, rules).warnings == ["w=3"]
+    enforce("x", {"w": 3, "e": 0}, rules)
+    with pytest.raises(QualityGateError) as err:
+        enforce("x", {"w": 0, "e": 2}, rules)
+    assert err.value.result.errors == ["e=2"]
+
+
+def test_quarantine_all_offenders(spark):
+    df = spark.createDataFrame([(1, None), (None, None), (3, "ok")], "k int, v string")
+    rules = [Rule("v_null", F.col("v").isNull(), WARN), Rule("k_null", F.col("k").isNull(), ERROR)]
+    q = sorted(map(tuple, quarantine(df, rules, ["k", "v"]).collect()), key=repr)
+    assert q == sorted([("v_null", "warn", 1, None), ("v_null", "warn", None, None),
+                        ("k_null", "error", None, None)], key=repr)
+
+
+def test_required_columns(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    with pytest.raises(MissingColumnsError):
+        require_columns(df, ["id", "gender"], "users")
+    require_columns(df, ["id"])
+
+
+# -- entity rules: one good and one bad input per rule --------------------
+
+def _users(spark, rows):
+    cols = users.REQUIRED
+    return spark.createDataFrame([dict(zip(cols, r)) for r in rows],
+                                 ", ".join(f"{c} string" if c != "id" else "id bigint" for c in cols))
+
+
+def test_users_rules(spark):
+    good = _users(spark, [(1,) + ("1",) * 12, (2,) + ("1",) * 12])
+    bad = _users(spark, [(None,) + ("1",) * 12, (2,) + ("1",) * 12, (2,) + ("1",) * 12])
+    mg = users.ENTITY.metrics(good).first().asDict()
+    mb = users.ENTITY.metrics(bad).first().asDict()
+    assert mg["user_id_null"] == 0 and mg["duplicate_user_id"] == 0
+    assert mb["user_id_null"] == 1 and mb["duplicate_user_id"] == 1
+    enforce("users", mg, users.ENTITY.all_rules())
+    with pytest.raises(QualityGateError):
+        enforce("users", mb, users.ENTITY.all_rules())
+
+
+def _cards(spark, rows):
+    cols = cards.REQUIRED
+    return spark.createDataFrame([dict(zip(cols, r)) for r in rows],
+                                 ", ".join(f"{c} string" if c != "id" else "id bigint" for c in cols))
+
+
+def test_cards_rules(spark):
+    ok = (1, "7", "debit", "visa", "4000", "09/2025", "123", "YES", "1", "$10", "2020-01-01", "2020")
+    bad = (None, None, "debit", "visa", "4000", "13/2025", "123", "maybe", "1", "$10", "garbage", "2020")
+    m = cards.ENTITY.metrics(_cards(spark, [ok, ok, bad])).first().asDict()
+    assert m == {"n_rows": 3, "n_keys": 2, "card_id_null": 1, "expires_unparseable": 1,
+                 "acct_open_date_unparseable": 1, "client_id_null": 1, "chip_flag_unknown": 1,
+                 "duplicate_card_id": 1}
+    m_ok = cards.ENTITY.metrics(_cards(spark, [ok])).first().asDict()
+    assert all(v == 0 for k, v in m_ok.items() if k not in ("n_rows", "n_keys"))
+
+
+def test_merchant_rules(spark):
+    df = spark.createDataFrame([(1, "Paris", None, None, "Chip Transaction")] * 3,
+                               "merchant_id bigint, merchant_city string, merchant_state string, zip string, "
+                               "use_chip string")
+    m = merchant.ENTITY.metrics(df).first().asDict()
+    assert m == {"n_rows": 3, "n_keys": 1, "merchant_key_null": 0, "merchant_key_collision": 0}
+
+
+def test_mcc_rules(spark):
+    df = spark.createDataFrame([("742", " Food "), ("0742", "Food"), ("5411", None), ("12345", "x"),
+                                ("9", "a"), ("9", "b"), ("1", "x" * 1001)], "mcc_id string, description string")
+    m = mcc_codes.ENTITY.metrics(df).first().asDict()
+    assert m == {"n_rows": 7, "n_keys": 5, "mcc_invalid": 1, "description_too_long": 1,
+                 "description_conflict": 1, "description_missing": 1}
+    with pytest.raises(QualityGateError) as err:
+        enforce("mcc", m, mcc_codes.ENTITY.all_rules())
+    assert [e.split("=")[0] for e in err.value.result.errors] == ["mcc_invalid", "description_conflict"]
