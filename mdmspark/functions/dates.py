@@ -1,9 +1,9 @@
 """Flexible date parsing.
 
-Each accepted layout is recognised by a whole-string regular expression
-before a parser sees it, so the result does not depend on ANSI mode or on
-``spark.sql.legacy.timeParserPolicy``: only well-formed two-digit fields ever
-reach ``try_to_date``.
+Each accepted layout is recognised by a whole-string regular expression,
+then its fixed-width fields are checked as a calendar date. No date
+formatter is involved, so the result does not depend on ANSI mode or on
+``spark.sql.legacy.timeParserPolicy``.
 """
 
 from __future__ import annotations
@@ -20,8 +20,11 @@ from mdmspark.functions.constants import (
 )
 
 
-def _on(shape: str, value: Column, parsed: Column) -> Column:
-    return F.when(value.rlike(shape), parsed)
+def _date_of(y: Column, m: Column, d: Column) -> Column:
+    """The date y-m-d, or NULL when month or day is out of range (strict:
+    2020-02-30 is NULL). ``try_`` form, so no error with ANSI on."""
+    zero = F.lit(0)
+    return F.try_make_timestamp_ntz(y, m, d, zero, zero, zero).cast("date")
 
 
 def parse_flexible_date(c: Column, end_of_month: bool = False) -> Column:
@@ -32,19 +35,32 @@ def parse_flexible_date(c: Column, end_of_month: bool = False) -> Column:
     the first of ``yyyy-MM-dd``, ``MM/dd/yyyy``, ``dd/MM/yyyy`` that gives a
     real date (so 03/04/2020 is 4 March, 25/12/2020 is 25 December); else
     NULL. With ``end_of_month`` every result is moved to the month's last day.
+
+    The layouts have fixed-width digit fields, so after the shape check the
+    fields are read by position and validated arithmetically; this is what a
+    strict ``to_date`` with those formats accepts, without running a
+    formatter (and its exception path) per row.
     """
     v = F.trim(c.cast("string"))
+
+    def num(pos: int, length: int) -> Column:
+        return F.substring(v, pos, length).cast("int")
+
+    n = F.length(v)
+
+    def shape(length: int, pattern: str) -> Column:
+        # the length test short-circuits, so at most two patterns run per row
+        return (n == length) & v.rlike(pattern)
+
+    one = F.lit(1)
     parsed = (
-        F.when(v.isNull() | (v == ""), F.lit(None).cast("date"))
-        .when(v.rlike(MONTH_YEAR4), F.try_to_date(F.concat(F.lit("01/"), v), "dd/MM/yyyy"))
-        .when(v.rlike(MONTH_YEAR2), F.try_to_date(F.concat(F.lit("01/"), v), "dd/MM/yy"))
-        .when(v.rlike(YEAR_MONTH), F.try_to_date(F.concat(v, F.lit("-01")), "yyyy-MM-dd"))
-        .otherwise(
-            F.coalesce(
-                _on(ISO_DATE, v, F.try_to_date(v, "yyyy-MM-dd")),
-                _on(SLASH_DATE, v, F.try_to_date(v, "MM/dd/yyyy")),
-                _on(SLASH_DATE, v, F.try_to_date(v, "dd/MM/yyyy")),
-            )
+        F.when(shape(7, MONTH_YEAR4), _date_of(num(4, 4), num(1, 2), one))
+        .when(shape(5, MONTH_YEAR2), _date_of(num(4, 2) + 2000, num(1, 2), one))
+        .when(shape(7, YEAR_MONTH), _date_of(num(1, 4), num(6, 2), one))
+        .when(shape(10, ISO_DATE), _date_of(num(1, 4), num(6, 2), num(9, 2)))
+        .when(
+            shape(10, SLASH_DATE),
+            F.coalesce(_date_of(num(7, 4), num(1, 2), num(4, 2)), _date_of(num(7, 4), num(4, 2), num(1, 2))),
         )
     )
     return F.last_day(parsed) if end_of_month else parsed

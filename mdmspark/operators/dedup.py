@@ -13,8 +13,8 @@ only one row per task: no skewed reducer, no salting needed. ``min`` over a
 struct has a variable-width buffer, so Spark runs it as a sort aggregate;
 for inputs with many exact repeats (the merchant dimension is a few tuples
 repeated across billions of transactions) pass ``pre_distinct=True`` to
-first drop repeats with a hash aggregate, which shrinks the sorted input to
-the distinct tuples.
+first drop repeats with a hash aggregate (map-side combine), which shrinks
+the sorted input to the distinct tuples.
 """
 
 from __future__ import annotations
@@ -53,7 +53,14 @@ def dedup(
     fields += [F.col(c).alias(f"_v{i}") for i, c in enumerate(ranked)]
     slot = {c: f"_v{i}" for i, c in enumerate(ranked)}
 
-    src = df.distinct() if pre_distinct else df
+    src = df
+    if pre_distinct:
+        # Exact repeats collapse in a hash aggregate. Its row count rides at
+        # the end of the struct: it never decides the pick (tuples are
+        # distinct by then), but it keeps Catalyst from removing this
+        # aggregate as redundant under a duplicate-insensitive min.
+        src = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_dup_rows"))
+        fields.append(F.col("_dup_rows"))
     best = src.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
     return best.select(*[F.col(c) if c in keys else F.col("_best")[slot[c]].alias(c) for c in df.columns])
 

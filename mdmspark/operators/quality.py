@@ -136,13 +136,16 @@ def quarantine(df: DataFrame, rules: Sequence[Rule], columns: Sequence[str | Col
     ``columns``. One scan for all rules; the full set is kept (display code
     may ``limit`` it, the quarantine itself is never sampled). Leave
     sensitive columns (card number, cvv) out of ``columns``."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in columns]
+    if not rules:
+        none = F.lit(None).cast("string")
+        return df.select(none.alias("rule"), none.alias("severity"), *cols).where(F.lit(False))
     tags = F.array_compact(
         F.array(*[
             F.when(r.offends(), F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")))
             for r in rules
         ])
     )
-    cols = [F.col(c) if isinstance(c, str) else c for c in columns]
     hits = df.select(F.explode(tags).alias("_hit"), *cols)
     return hits.select(
         F.col("_hit.rule").alias("rule"),

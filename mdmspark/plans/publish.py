@@ -69,7 +69,7 @@ def publish_entity(
         src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         metrics = entity.metrics(src).first().asDict()
-        if quarantine_root is not None:
+        if quarantine_root is not None and entity.rules():
             write_snapshot(entity.quarantine(src), quarantine_root, d)
         result = enforce(entity.name, metrics, entity.all_rules())
 
