@@ -2,6 +2,7 @@
 profiling, quality metrics / gates / quarantine, caching."""
 
 from mdmspark.operators.dedup import dedup, drop_any_duplicates
+from mdmspark.operators.layout import spread
 from mdmspark.operators.persist import persisted, preview
 from mdmspark.operators.profiling import duplicate_keys, value_conflicts
 from mdmspark.operators.quality import (
@@ -39,5 +40,6 @@ __all__ = [
     "quality_metrics",
     "quarantine",
     "require_columns",
+    "spread",
     "value_conflicts",
 ]

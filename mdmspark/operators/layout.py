@@ -1,0 +1,24 @@
+"""Input layout: spread a source that arrives in too few splits.
+
+A Parquet file with one row group is one input split, so a small staged
+snapshot written as a single file is scanned by one task and every per-row
+expression after it runs on one core. :func:`spread` hash-partitions such an
+input on its key columns (deterministic, so a retried task sees the same
+rows) when it has fewer partitions than asked; an input that already has
+enough splits - any large snapshot - is returned unchanged, with no shuffle.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None, keys: Sequence[str] = ()) -> DataFrame:
+    """``df`` with at least ``min_partitions`` partitions (no-op when it
+    already has them, or when ``min_partitions`` is None)."""
+    if not min_partitions or df.rdd.getNumPartitions() >= min_partitions:
+        return df
+    cols = list(keys) or df.columns
+    return df.repartition(min_partitions, *cols)

@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mdmspark.operators.layout import spread
 from mdmspark.operators.quality import KEYS, ROWS, enforce
 from mdmspark.plans import cards, mcc_codes, merchant, sub_transactions, users
 from mdmspark.plans.entity import Entity
@@ -53,6 +54,7 @@ def publish_entity(
     files: int | None = None,
     persist_source: bool = False,
     quarantine_root: str | None = None,
+    min_partitions: int | None = None,
 ) -> PublishReport:
     """Check ``source``, and when no error rule fires write the entity's
     ``snapshot_date`` snapshot under ``target_root``.
@@ -60,11 +62,13 @@ def publish_entity(
     Raises :class:`mdmspark.operators.quality.QualityGateError` (nothing
     written) or :class:`PublishError` (written count unexpected).
     With ``quarantine_root`` the offending rows of every rule are written
-    there (same date), before the gate decides.
+    there (same date), before the gate decides. ``min_partitions`` spreads a
+    source that arrives in fewer splits (see
+    :func:`mdmspark.operators.layout.spread`).
     """
     d = parse_snapshot_date(snapshot_date)
     entity.check_columns(source)
-    src = source.select(*entity.required)
+    src = spread(source.select(*entity.required), min_partitions)
     if persist_source:
         src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
