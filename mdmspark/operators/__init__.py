@@ -13,6 +13,7 @@ from mdmspark.operators.quality import (
     MissingColumnsError,
     QualityGateError,
     Rule,
+    condense,
     enforce,
     evaluate,
     missing_columns,
@@ -29,6 +30,7 @@ __all__ = [
     "MissingColumnsError",
     "QualityGateError",
     "Rule",
+    "condense",
     "dedup",
     "drop_any_duplicates",
     "duplicate_keys",

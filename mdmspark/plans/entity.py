@@ -4,7 +4,7 @@ table, its key, how to de-duplicate, and which rules guard publication."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +43,9 @@ class Entity:
     order: tuple[str, ...] | None = None
     prefer_present: tuple[str, ...] = ()
     pre_distinct: bool = False
+    condense: bool = False
+    """publish from the distinct required-column tuples (few distinct tuples
+    behind many rows): the source is scanned once"""
     quarantine_columns: tuple[str, ...] = ()
 
     def check_columns(self, source: DataFrame) -> None:
@@ -67,14 +70,18 @@ class Entity:
     def all_rules(self) -> list[Rule | KeyRule]:
         return [*self.rules(), *self.key_rules()]
 
-    def metrics(self, source: DataFrame) -> DataFrame:
+    def metrics(self, source: DataFrame, weight: str | None = None) -> DataFrame:
         """One-row quality metrics over the source rows (before the keep
-        filter and before de-duplication, so NULL keys are counted)."""
+        filter and before de-duplication, so NULL keys are counted). With
+        ``weight`` the source is condensed (each row stands for that many)."""
         self.check_columns(source)
         key = self.source_key() if self.source_key is not None else None
-        return quality_metrics(source, self.rules(), key, self.key_rules())
+        return quality_metrics(source, self.rules(), key, self.key_rules(), weight=weight)
 
-    def quarantine(self, source: DataFrame) -> DataFrame:
-        """Offending source rows, one per broken row rule."""
+    def quarantine(self, source: DataFrame, rules: list[Rule] | None = None,
+                   extra_columns: Sequence[str] = ()) -> DataFrame:
+        """Offending source rows, one per broken row rule (all row rules, or
+        the given ones)."""
         self.check_columns(source)
-        return quarantine(source, self.rules(), list(self.quarantine_columns or self.required))
+        cols = list(self.quarantine_columns or self.required) + list(extra_columns)
+        return quarantine(source, self.rules() if rules is None else rules, cols)

@@ -64,6 +64,7 @@ ENTITY = Entity(
     rules=rules,
     key_rules=key_rules,
     pre_distinct=True,
+    condense=True,
     quarantine_columns=KEY_PARTS,
 )
 

@@ -3,9 +3,12 @@
 Per run: one metrics job (all rules of the entity in one aggregation), then
 the write job, whose written row count is observed during the write. Error
 rules are decided **before** the write, so a failed gate leaves the previous
-snapshot of that date untouched. The source is read twice (metrics, write)
-with column pruning; pass ``persist_source=True`` when reading it again is
-expensive (a JDBC source, say).
+snapshot of that date untouched; offending rows go to the quarantine only
+for rules that fired. The source is read twice (metrics, write) with column
+pruning; pass ``persist_source=True`` when reading it again is expensive (a
+JDBC source, say). An entity marked ``condense`` (the merchant dimension:
+few merchants behind billions of transactions) is read once: its distinct
+source tuples are aggregated, kept, and serve both jobs.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mdmspark.operators.layout import spread
-from mdmspark.operators.quality import KEYS, ROWS, enforce
+from mdmspark.operators.quality import KEYS, ROWS, WEIGHT, condense, enforce
 from mdmspark.plans import cards, mcc_codes, merchant, sub_transactions, users
 from mdmspark.plans.entity import Entity
 from mdmspark.sinks.files import write_snapshot
@@ -69,16 +72,25 @@ def publish_entity(
     d = parse_snapshot_date(snapshot_date)
     entity.check_columns(source)
     src = spread(source.select(*entity.required), min_partitions)
-    if persist_source:
+    weight = None
+    cache = persist_source
+    if entity.condense:
+        # one scan of the source: metrics and build both read the small
+        # condensed set, kept for the two jobs
+        src, weight, cache = condense(src, entity.required), WEIGHT, True
+    if cache:
         src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        metrics = entity.metrics(src).first().asDict()
-        if quarantine_root is not None and entity.rules():
-            write_snapshot(entity.quarantine(src), quarantine_root, d)
+        metrics = entity.metrics(src, weight=weight).first().asDict()
+        fired = [r for r in entity.rules() if metrics.get(r.name, 0) > 0]
+        if quarantine_root is not None and fired:
+            extra = [WEIGHT] if weight else []
+            write_snapshot(entity.quarantine(src, fired, extra), quarantine_root, d)
         result = enforce(entity.name, metrics, entity.all_rules())
 
         obs = Observation(f"publish_{entity.name}_{uuid.uuid4().hex}")
-        out = entity.build(src, load_ts).observe(obs, F.count(F.lit(1)).alias("rows"))
+        rows = src.drop(WEIGHT) if weight else src
+        out = entity.build(rows, load_ts).observe(obs, F.count(F.lit(1)).alias("rows"))
         write_snapshot(out, target_root, d, files=files)
         written = int(obs.get["rows"])
         expected = metrics[KEYS] if entity.key is not None else metrics[ROWS]
@@ -86,7 +98,7 @@ def publish_entity(
             raise PublishError(f"{entity.name}: expected {expected} rows, wrote {written}")
         return PublishReport(entity.name, d, snapshot_path(target_root, d), metrics, result.warnings, written)
     finally:
-        if persist_source:
+        if cache:
             src.unpersist()
 
 

@@ -29,8 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="mdmspark-checkpoint-")
     sc.setCheckpointDir(local)
-    spark.conf.set(CHECKPOINT_CONF, local)
-    return local
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

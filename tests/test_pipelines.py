@@ -99,3 +99,34 @@ def test_missing_columns_fail_before_any_job(spark):
 
     with pytest.raises(MissingColumnsError):
         ENTITIES["mdm_users"].build(df)
+
+
+def test_publish_options_do_not_change_result(spark, staged):
+    root, _ = staged
+    e = ENTITIES["mdm_users"]
+    src = read_snapshot(spark, f"{root}/stg/users", "20240101")
+    a = publish_entity(e, src, f"{root}/opt/a", "20240101", load_ts=LOAD)
+    b = publish_entity(e, src, f"{root}/opt/b", "20240101", load_ts=LOAD, persist_source=True,
+                       min_partitions=5, files=2)
+    assert a.metrics == b.metrics and a.written_rows == b.written_rows
+    ra = sorted(map(tuple, read_snapshot(spark, f"{root}/opt/a", "20240101").collect()), key=repr)
+    rb = sorted(map(tuple, read_snapshot(spark, f"{root}/opt/b", "20240101").collect()), key=repr)
+    assert ra == rb
+
+
+def test_condensed_merchant_equals_direct_build(spark, staged):
+    root, _ = staged
+    e = ENTITIES["mdm_merchant"]
+    src = read_snapshot(spark, f"{root}/stg/transactions", "20240101")
+    rep = publish_entity(e, src, f"{root}/opt/m", "20240101", load_ts=LOAD)
+    published = sorted(map(tuple, read_snapshot(spark, f"{root}/opt/m", "20240101").drop("snapshot_date")
+                           .collect()), key=repr)
+    direct = sorted(map(tuple, e.build(src, LOAD).collect()), key=repr)
+    assert published == direct and rep.metrics["n_rows"] == src.count()
+
+
+def test_shared_dir_is_the_session_setting(spark):
+    from mdmspark.session import scratch_path, shared_dir
+
+    assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
+    assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/")

@@ -122,3 +122,19 @@ def test_mcc_rules(spark):
     with pytest.raises(QualityGateError) as err:
         enforce("mcc", m, mcc_codes.ENTITY.all_rules())
     assert [e.split("=")[0] for e in err.value.result.errors] == ["mcc_invalid", "description_conflict"]
+
+
+def test_weighted_metrics_equal_plain(spark):
+    from mdmspark.operators import condense
+    from mdmspark.fixtures import fixture
+    from conftest import SF001
+
+    src = fixture(spark, SF001, "transactions_src")
+    plain = merchant.ENTITY.metrics(src).first().asDict()
+    small = condense(src.select(*merchant.REQUIRED), merchant.REQUIRED)
+    weighted = merchant.ENTITY.metrics(small, weight="_rows").first().asDict()
+    assert plain == weighted
+    assert small.count() < src.count()
+    c = cards.ENTITY.metrics(fixture(spark, SF001, "cards_src")).first().asDict()
+    cw = cards.ENTITY.metrics(condense(fixture(spark, SF001, "cards_src"), cards.REQUIRED), weight="_rows")
+    assert cw.first().asDict() == c
