@@ -27,7 +27,6 @@ from mdmspark.functions import (
     gender_code,
     location_type,
     mcc_is_valid,
-    natural_key_text,
     normalize_mcc,
     parse_flexible_date,
     title_text,
