@@ -32,13 +32,14 @@ from mdmspark.functions import (
     title_text,
     transaction_method,
 )
-from mdmspark.operators import duplicate_keys, value_conflicts
+from mdmspark.operators import QualityGateError, duplicate_keys, value_conflicts
 from mdmspark.plans import (
     build_cards,
     build_mcc_codes,
     build_merchant,
     build_sub_transactions,
     build_users,
+    process_snapshot,
     stage_table,
 )
 from mdmspark.plans import cards as cards_plan
@@ -212,6 +213,47 @@ def q_snapshot_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return read_snapshots(spark, root)
 
 
+def _staged_publish(spark: SparkSession, sf: str, entity: str, source: str, fixture_name: str) -> DataFrame:
+    """The reference's workflow for one entity: stage the source as the
+    2024-01-01 snapshot, run the processing job (metrics -> gate -> write),
+    read the published snapshot back."""
+    root = scratch_path(spark, f"publish_{entity}")
+    stage_table(spark, fixture(spark, sf, fixture_name), f"{root}/stg/{source}", "20240101", table=source)
+    process_snapshot(spark, entity, f"{root}/stg", f"{root}/prc", "20240101", load_ts=LOAD_TS)
+    return read_snapshot(spark, f"{root}/prc/{entity}", "20240101")
+
+
+def q_publish_users(spark: SparkSession, sf: str) -> DataFrame:
+    return _staged_publish(spark, sf, "mdm_users", "users", "users_src")
+
+
+def q_publish_cards(spark: SparkSession, sf: str) -> DataFrame:
+    return _staged_publish(spark, sf, "mdm_cards", "cards", "cards_src")
+
+
+def q_publish_merchant(spark: SparkSession, sf: str) -> DataFrame:
+    return _staged_publish(spark, sf, "mdm_merchant", "transactions", "transactions_src").drop("merchant_key")
+
+
+def q_publish_fact(spark: SparkSession, sf: str) -> DataFrame:
+    return _staged_publish(spark, sf, "mdm_sub_transactions", "transactions", "transactions_src").drop("merchant_key")
+
+
+def q_publish_mcc_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    """The MCC job on the dirty source: the error gates block the write, and
+    what remains is the quarantine of the rules that fired."""
+    root = scratch_path(spark, "publish_mcc")
+    stage_table(spark, fixture(spark, sf, "mcc_src"), f"{root}/stg/mcc_codes", "20240101", table="mcc_codes")
+    try:
+        process_snapshot(spark, "mdm_mcc_codes", f"{root}/stg", f"{root}/prc", "20240101", load_ts=LOAD_TS,
+                         quarantine_root=f"{root}/quarantine")
+    except QualityGateError:
+        pass
+    else:
+        raise AssertionError("the MCC gate should block this source")
+    return read_snapshot(spark, f"{root}/quarantine", "20240101")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users_dim": q_users_dim,
     "clean_money": q_clean_money,
@@ -236,6 +278,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_roundtrip": q_stage_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "snapshot_overwrite": q_snapshot_overwrite,
+    "publish_users": q_publish_users,
+    "publish_cards": q_publish_cards,
+    "publish_merchant": q_publish_merchant,
+    "publish_fact": q_publish_fact,
+    "publish_mcc_blocked": q_publish_mcc_blocked,
 }
 
 
@@ -364,7 +411,7 @@ _MERCHANT_COLS = f"""
   {_location('use_chip', 'merchant_city')} as location_type
 """
 
-_USERS_SQL = with_fixtures(f"""
+_USERS_BODY = f"""
 select * exclude (rn) from (
   select *, {LOAD_TS_SQL} as etl_date,
     row_number() over (partition by user_id order by current_age nulls first, birth_year nulls first,
@@ -373,30 +420,16 @@ select * exclude (rn) from (
       total_debt nulls first, credit_score nulls first, number_credit_cards nulls first) as rn
   from (select {_USERS_COLS} from users_src) m
 ) where rn = 1
-""", "users_src")
+"""
 
-ORACLE: dict[str, str] = {
-    "users_dim": _USERS_SQL,
-    "clean_money": with_fixtures(f"""
-select id, yearly_income as yearly_income_raw, {_money('yearly_income')} as year_income,
-  total_debt as total_debt_raw, {_money('total_debt')} as total_debt
-from users_src""", "users_src"),
-    "gender_code": with_fixtures(f"""
-select id, gender as gender_raw, {_initcap('gender')} as gender_text, {_gender('gender')} as gender
-from users_src""", "users_src"),
-    "parse_dates": with_fixtures(f"""
-select id, expires as expires_raw, {_date('expires', eom=True)} as expires,
-  acct_open_date as acct_open_date_raw, {_date('acct_open_date')} as acct_open_date
-from cards_src""", "cards_src"),
-    "cards_dim": with_fixtures(f"""
+_CARDS_DIM_BODY = f"""
 select * exclude (rn) from (
   select *, {LOAD_TS_SQL} as etl_date,
     row_number() over (partition by card_id order by {_CARD_ORDER}) as rn
   from (select {_CARDS_COLS} from cards_src) m
-) where rn = 1""", "cards_src"),
-    "chip_flag": with_fixtures(f"""
-select id, has_chip as has_chip_raw, {_chip('has_chip')} as has_chip from cards_src""", "cards_src"),
-    "txn_fact": with_fixtures(f"""
+) where rn = 1"""
+
+_TXN_FACT_BODY = f"""
 select cast(id as bigint) as transactions_id,
   cast(date as timestamp) as transaction_datetime,
   cast(client_id as bigint) as client_id,
@@ -407,15 +440,46 @@ select cast(id as bigint) as transactions_id,
   {_mcc('mcc')} as mcc,
   cast(errors as varchar) as errors,
   {LOAD_TS_SQL} as etl_date
-from transactions_src""", "transactions_src"),
-    "txn_method": with_fixtures(f"""
-select id, use_chip, {_method('use_chip')} as transaction_method from transactions_src""", "transactions_src"),
-    "merchant_dim": with_fixtures(f"""
+from transactions_src"""
+
+_MERCHANT_DIM_BODY = f"""
 select merchant_id, merchant_city, merchant_state, zip, location_type, {LOAD_TS_SQL} as etl_date from (
   select *, row_number() over (partition by nk order by merchant_id nulls first, merchant_city nulls first,
     merchant_state nulls first, zip nulls first, location_type nulls first) as rn
   from (select {_MERCHANT_COLS} from transactions_src) m
-) where rn = 1""", "transactions_src"),
+) where rn = 1"""
+
+_MCC_INVALID_BODY = f"""
+select 'mcc_invalid' as rule, 'error' as severity, mcc_id, description from mcc_src where not {_mcc_valid('mcc_id')}
+union all
+select 'description_too_long', 'warn', mcc_id, description from mcc_src
+where coalesce(length(trim(description)) > 1000, false)"""
+
+
+def _snapshot_of(body: str) -> str:
+    return f"select *, DATE '2024-01-01' AS snapshot_date from ({body}) published"
+
+
+ORACLE: dict[str, str] = {
+    "users_dim": with_fixtures(_USERS_BODY, "users_src"),
+    "clean_money": with_fixtures(f"""
+select id, yearly_income as yearly_income_raw, {_money('yearly_income')} as year_income,
+  total_debt as total_debt_raw, {_money('total_debt')} as total_debt
+from users_src""", "users_src"),
+    "gender_code": with_fixtures(f"""
+select id, gender as gender_raw, {_initcap('gender')} as gender_text, {_gender('gender')} as gender
+from users_src""", "users_src"),
+    "parse_dates": with_fixtures(f"""
+select id, expires as expires_raw, {_date('expires', eom=True)} as expires,
+  acct_open_date as acct_open_date_raw, {_date('acct_open_date')} as acct_open_date
+from cards_src""", "cards_src"),
+    "cards_dim": with_fixtures(_CARDS_DIM_BODY, "cards_src"),
+    "chip_flag": with_fixtures(f"""
+select id, has_chip as has_chip_raw, {_chip('has_chip')} as has_chip from cards_src""", "cards_src"),
+    "txn_fact": with_fixtures(_TXN_FACT_BODY, "transactions_src"),
+    "txn_method": with_fixtures(f"""
+select id, use_chip, {_method('use_chip')} as transaction_method from transactions_src""", "transactions_src"),
+    "merchant_dim": with_fixtures(_MERCHANT_DIM_BODY, "transactions_src"),
     "merchant_location": with_fixtures(f"""
 select use_chip, merchant_city, {_location('use_chip', 'merchant_city')} as location_type, count(*) as n_rows
 from transactions_src group by all""", "transactions_src"),
@@ -437,11 +501,7 @@ select mcc_id as mcc_raw, {_mcc('mcc_id')} as mcc_id, {_mcc_valid('mcc_id')} as
 c as (select mcc_id, count(*) as n_descriptions from p group by mcc_id having count(*) > 1)
 select p.mcc_id, p.description, c.n_descriptions from p join c on p.mcc_id is not distinct from c.mcc_id
 """, "mcc_src"),
-    "mcc_invalid": with_fixtures(f"""
-select 'mcc_invalid' as rule, 'error' as severity, mcc_id, description from mcc_src where not {_mcc_valid('mcc_id')}
-union all
-select 'description_too_long', 'warn', mcc_id, description from mcc_src
-where coalesce(length(trim(description)) > 1000, false)""", "mcc_src"),
+    "mcc_invalid": with_fixtures(_MCC_INVALID_BODY, "mcc_src"),
     "dup_keys": with_fixtures("""
 select cast(id as bigint) as card_id, count(*) as n_rows from cards_src
 where id is not null group by 1 having count(*) > 1""", "cards_src"),
@@ -496,6 +556,11 @@ select * from cards_src""", "cards_src"),
 select mcc_id, description, DATE '2024-01-01' as snapshot_date from mcc_src where {_mcc_valid('mcc_id')}
 union all
 select mcc_id, description, DATE '2024-01-02' as snapshot_date from mcc_src""", "mcc_src"),
+    "publish_users": with_fixtures(_snapshot_of(_USERS_BODY), "users_src"),
+    "publish_cards": with_fixtures(_snapshot_of(_CARDS_DIM_BODY), "cards_src"),
+    "publish_merchant": with_fixtures(_snapshot_of(_MERCHANT_DIM_BODY), "transactions_src"),
+    "publish_fact": with_fixtures(_snapshot_of(_TXN_FACT_BODY), "transactions_src"),
+    "publish_mcc_blocked": with_fixtures(_snapshot_of(_MCC_INVALID_BODY), "mcc_src"),
 }
 
 
