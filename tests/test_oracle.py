@@ -29,3 +29,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns[0] == "user_id"
     assert SF001.endswith("sf0.001")
+
+
+@pytest.mark.parametrize("name", ["users_dim", "cards_dim", "parse_dates", "txn_fact", "dq_cards", "mcc_dim",
+                                  "publish_cards"])
+def test_query_matches_oracle_with_ansi_off(spark, con, name):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        r = compare(spark, con, name, entry_module.queries()[name], entry_module.oracle_sql()[name], SF01)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert r["rows"][0] == r["rows"][1] and r["types_match"] and r["hash_match"], r
