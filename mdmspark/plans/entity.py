@@ -65,7 +65,8 @@ class Entity:
             out = dedup(out, self.key, order=self.order, prefer_present=self.prefer_present,
                         pre_distinct=self.pre_distinct)
         out = out.withColumn(LOAD_COLUMN, load_timestamp(load_ts))
-        return out.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        return out.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                                for f in self.schema.fields])
 
     def all_rules(self) -> list[Rule | KeyRule]:
         return [*self.rules(), *self.key_rules()]
