@@ -117,7 +117,11 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name not in SPREAD_KEYS:
         return df
-    return spread(df, spark.sparkContext.defaultParallelism, SPREAD_KEYS[name])
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on this client
+        return df
+    return spread(df, cores, SPREAD_KEYS[name])
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

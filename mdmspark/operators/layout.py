@@ -18,7 +18,13 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame, min_partitions: int | None, keys: Sequence[str] = ()) -> DataFrame:
     """``df`` with at least ``min_partitions`` partitions (no-op when it
     already has them, or when ``min_partitions`` is None)."""
-    if not min_partitions or df.rdd.getNumPartitions() >= min_partitions:
+    if not min_partitions:
+        return df
+    try:
+        current = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # no RDD view of this frame (e.g. a remote session): leave it
+        return df
+    if current >= min_partitions:
         return df
     cols = list(keys) or df.columns
     return df.repartition(min_partitions, *cols)
