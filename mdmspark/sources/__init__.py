@@ -16,6 +16,7 @@ from mdmspark.sources.jdbc import (
     extract_table,
     jdbc_options,
     jdbc_reader,
+    partitioning_for,
     read_jdbc,
 )
 
@@ -27,6 +28,7 @@ __all__ = [
     "jdbc_options",
     "jdbc_reader",
     "parse_snapshot_date",
+    "partitioning_for",
     "read_csv",
     "read_jdbc",
     "read_parquet",

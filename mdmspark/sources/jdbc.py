@@ -90,6 +90,24 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**opts).load()
 
 
+def partitioning_for(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    table: str,
+    column: str,
+    num_partitions: int,
+) -> JdbcPartitioning:
+    """Range partitioning over ``column`` from its current bounds, read with
+    one small aggregate query (one row comes back). Rows outside the bounds
+    are still read: Spark's first and last ranges are open-ended."""
+    q = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    row = read_jdbc(spark, options, query=q).first()
+    lo, hi = row["lo"], row["hi"]
+    if lo is None:  # empty table: one partition is enough
+        return JdbcPartitioning(column, 0, 1, 1)
+    return JdbcPartitioning(column, lo, hi, num_partitions)
+
+
 # Source tables extracted by the staging jobs.
 SOURCE_TABLES = {
     "transactions": "banking.transactions",
