@@ -20,7 +20,7 @@ from pyspark.sql.utils import AnalysisException
 
 from mdmspark.sinks.files import write_snapshot
 from mdmspark.sources.files import parse_snapshot_date, read_snapshot, snapshot_path
-from mdmspark.sources.jdbc import JdbcPartitioning, extract_table
+from mdmspark.sources.jdbc import SOURCE_TABLES, JdbcPartitioning, extract_table, partitioning_for
 
 
 class ReconcileError(RuntimeError):
@@ -68,9 +68,15 @@ def stage_from_jdbc(
     stg_root: str,
     snapshot_date: str | dt.date,
     partitioning: JdbcPartitioning | None = None,
+    partition_column: str | None = None,
+    num_partitions: int = 0,
 ) -> StageReport:
     """Extract one of the source tables over JDBC and stage it at
-    ``stg_root/<table>``."""
+    ``stg_root/<table>``. Give ``partitioning``, or ``partition_column`` and
+    ``num_partitions`` to take the ranges from the column's current bounds;
+    with neither the table is read through a single connection."""
     parse_snapshot_date(snapshot_date)
+    if partitioning is None and partition_column and num_partitions > 1:
+        partitioning = partitioning_for(spark, options, SOURCE_TABLES[table], partition_column, num_partitions)
     source = extract_table(spark, options, table, partitioning=partitioning)
     return stage_table(spark, source, f"{stg_root.rstrip('/')}/{table}", snapshot_date, table=table)
