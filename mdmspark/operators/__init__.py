@@ -5,6 +5,7 @@ from mdmspark.operators.dedup import dedup, drop_any_duplicates
 from mdmspark.operators.layout import spread
 from mdmspark.operators.persist import persisted, preview
 from mdmspark.operators.profiling import duplicate_keys, value_conflicts
+from mdmspark.operators.summary import summarize, summary_inputs, summary_metrics, summary_rows
 from mdmspark.operators.quality import (
     ERROR,
     WARN,
@@ -13,7 +14,6 @@ from mdmspark.operators.quality import (
     MissingColumnsError,
     QualityGateError,
     Rule,
-    condense,
     enforce,
     evaluate,
     missing_columns,
@@ -30,7 +30,6 @@ __all__ = [
     "MissingColumnsError",
     "QualityGateError",
     "Rule",
-    "condense",
     "dedup",
     "drop_any_duplicates",
     "duplicate_keys",
@@ -43,5 +42,9 @@ __all__ = [
     "quarantine",
     "require_columns",
     "spread",
+    "summarize",
+    "summary_inputs",
+    "summary_metrics",
+    "summary_rows",
     "value_conflicts",
 ]

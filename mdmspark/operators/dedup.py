@@ -11,10 +11,10 @@ final aggregate. The partial step collapses every key to one row per map
 task before the shuffle, so a key holding a third of all rows still ships
 only one row per task: no skewed reducer, no salting needed. ``min`` over a
 struct has a variable-width buffer, so Spark runs it as a sort aggregate;
-for inputs with many exact repeats (the merchant dimension is a few tuples
-repeated across billions of transactions) pass ``pre_distinct=True`` to
-first drop repeats with a hash aggregate (map-side combine), which shrinks
-the sorted input to the distinct tuples.
+``pre_distinct=True`` first drops exact repeats of whole rows with a hash
+aggregate; it saves the map-side sort when rows repeat exactly, but ships
+one row per distinct tuple instead of one per key, so it only pays when
+attributes never vary within a key.
 """
 
 from __future__ import annotations
@@ -34,6 +34,21 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def ranking_fields(
+    columns: Sequence[str],
+    order: Sequence[str] | None = None,
+    prefer_present: Sequence[str] = (),
+) -> tuple[list[str], dict[str, str]]:
+    """``named_struct`` arguments ranking rows of ``columns`` (see
+    :func:`dedup`), and the struct field holding each column."""
+    order = list(columns) if order is None else list(order)
+    ranked = order + [c for c in columns if c not in order]
+    fields = [f"'_p{i}', ({_q(c)} IS NULL OR trim(CAST({_q(c)} AS STRING)) = '')"
+              for i, c in enumerate(prefer_present)]
+    fields += [f"'_v{i}', {_q(c)}" for i, c in enumerate(ranked)]
+    return fields, {c: f"_v{i}" for i, c in enumerate(ranked)}
+
+
 def dedup(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -50,15 +65,9 @@ def dedup(
     """
     keys = _as_list(keys)
     columns = df.columns
-    rest = [c for c in columns if c not in keys]
-    order = rest if order is None else list(order)
-    ranked = order + [c for c in rest if c not in order]
     # The ranking struct is written as one SQL expression: same plan as the
     # Column API, a fraction of the driver-side calls for wide rows.
-    fields = [f"'_p{i}', ({_q(c)} IS NULL OR trim(CAST({_q(c)} AS STRING)) = '')"
-              for i, c in enumerate(prefer_present)]
-    fields += [f"'_v{i}', {_q(c)}" for i, c in enumerate(ranked)]
-    slot = {c: f"_v{i}" for i, c in enumerate(ranked)}
+    fields, slot = ranking_fields([c for c in columns if c not in keys], order, prefer_present)
 
     src = df
     if pre_distinct:

@@ -76,26 +76,19 @@ def quality_metrics(
     rules: Sequence[Rule] = (),
     key: Column | None = None,
     key_rules: Sequence[KeyRule] = (),
-    weight: str | None = None,
 ) -> DataFrame:
     """One row: ``n_rows``, ``n_keys`` (when a key is given) and one count per
-    rule. With ``weight`` each row stands for that many source rows (a
-    condensed input, see :func:`condense`); counts are weighted, distinct
-    counts are not affected."""
-    w = F.col(weight) if weight else F.lit(1)
-
-    def count_rows(pred: Column | None = None) -> Column:
-        if weight is None:
-            return F.count(F.lit(1)) if pred is None else F.count_if(pred)
-        return F.coalesce(F.sum(w if pred is None else F.when(pred, w)), F.lit(0)).cast("long")
-
+    rule."""
     if key is None:
         if key_rules:
             raise ValueError("key rules need a key")
-        return df.agg(count_rows().alias(ROWS), *[count_rows(r.offends()).alias(r.name) for r in rules])
+        return df.agg(
+            F.count(F.lit(1)).alias(ROWS),
+            *[F.count_if(r.offends()).alias(r.name) for r in rules],
+        )
 
-    per_key = [count_rows().alias("_n")]
-    per_key += [count_rows(r.offends()).alias(r.name) for r in rules]
+    per_key = [F.count(F.lit(1)).alias("_n")]
+    per_key += [F.count_if(r.offends()).alias(r.name) for r in rules]
     for i, kr in enumerate(key_rules):
         if kr.kind == "conflict":
             per_key.append(F.count_distinct(kr.value).alias(f"_k{i}"))
@@ -120,18 +113,6 @@ def quality_metrics(
     return grouped.agg(*final)
 
 
-WEIGHT = "_rows"
-
-
-def condense(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct ``columns`` tuples with the number of rows each stands for
-    (``_rows``). A hash aggregate with map-side combine: for an input with
-    few distinct tuples (merchants in a transaction table) the output is tiny,
-    and every row-wise projection, ``min``-based de-duplication and weighted
-    metric computed from it equals the one computed from ``df``."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(WEIGHT))
-
-
 def evaluate(metrics: Mapping[str, int], rules: Sequence[Rule | KeyRule]) -> GateResult:
     """Sort fired rules into warnings and errors, in rule order."""
     result = GateResult(metrics=dict(metrics))

@@ -27,9 +27,9 @@ def source_key() -> Column:
     return F.col("id").try_cast("long")
 
 
-def project(src: DataFrame) -> DataFrame:
+def project(src: DataFrame) -> list[Column]:
     c = F.col
-    return src.select(
+    return [
         source_key().alias("card_id"),
         c("client_id").try_cast("long").alias("client_id"),
         upper_text(c("card_type")).alias("card_type"),
@@ -42,7 +42,7 @@ def project(src: DataFrame) -> DataFrame:
         clean_money(c("credit_limit"), src.schema["credit_limit"].dataType).alias("credit_limit"),
         parse_flexible_date(c("acct_open_date")).alias("acct_open_date"),
         c("year_pin_last_changed").try_cast("int").alias("year_pin_last_changed"),
-    )
+    ]
 
 
 def rules() -> list[Rule]:

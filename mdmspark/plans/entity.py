@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from mdmspark.operators.dedup import dedup
 from mdmspark.operators.quality import KeyRule, Rule, quality_metrics, quarantine, require_columns
+from mdmspark.operators.summary import summarize, summary_inputs, summary_metrics, summary_rows
 
 LOAD_COLUMN = "etl_date"
 
@@ -31,8 +32,8 @@ class Entity:
     source_table: str
     required: tuple[str, ...]
     schema: StructType
-    project: Callable[[DataFrame], DataFrame]
-    """source rows -> target rows (all target columns but ``etl_date``), one per source row"""
+    project: Callable[[DataFrame], list[Column]]
+    """the target columns but ``etl_date``, as expressions over a source row"""
     key: str | None = None
     source_key: Callable[[], Column] | None = None
     """the key computed from source columns, for the quality metrics"""
@@ -43,19 +44,26 @@ class Entity:
     order: tuple[str, ...] | None = None
     prefer_present: tuple[str, ...] = ()
     pre_distinct: bool = False
-    condense: bool = False
-    """publish from the distinct required-column tuples (few distinct tuples
-    behind many rows): the source is scanned once"""
     quarantine_columns: tuple[str, ...] = ()
 
     def check_columns(self, source: DataFrame) -> None:
         require_columns(source, self.required, self.name)
 
+    @property
+    def columns(self) -> list[str]:
+        """Target columns but the load timestamp."""
+        return [f.name for f in self.schema.fields if f.name != LOAD_COLUMN]
+
     def mapped(self, source: DataFrame) -> DataFrame:
         """Projected rows before de-duplication."""
         self.check_columns(source)
         src = source if self.keep is None else source.where(self.keep())
-        return self.project(src)
+        return src.select(*self.project(src))
+
+    def _finish(self, rows: DataFrame, load_ts: dt.datetime | None) -> DataFrame:
+        out = rows.withColumn(LOAD_COLUMN, load_timestamp(load_ts))
+        return out.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                                for f in self.schema.fields])
 
     def build(self, source: DataFrame, load_ts: dt.datetime | None = None) -> DataFrame:
         """The publishable table: projected, de-duplicated on the key, with
@@ -64,20 +72,41 @@ class Entity:
         if self.key is not None:
             out = dedup(out, self.key, order=self.order, prefer_present=self.prefer_present,
                         pre_distinct=self.pre_distinct)
-        out = out.withColumn(LOAD_COLUMN, load_timestamp(load_ts))
-        return out.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
-                                for f in self.schema.fields])
+        return self._finish(out, load_ts)
 
     def all_rules(self) -> list[Rule | KeyRule]:
         return [*self.rules(), *self.key_rules()]
 
-    def metrics(self, source: DataFrame, weight: str | None = None) -> DataFrame:
+    def metrics(self, source: DataFrame) -> DataFrame:
         """One-row quality metrics over the source rows (before the keep
-        filter and before de-duplication, so NULL keys are counted). With
-        ``weight`` the source is condensed (each row stands for that many)."""
+        filter and before de-duplication, so NULL keys are counted)."""
         self.check_columns(source)
         key = self.source_key() if self.source_key is not None else None
-        return quality_metrics(source, self.rules(), key, self.key_rules(), weight=weight)
+        return quality_metrics(source, self.rules(), key, self.key_rules())
+
+    # -- one scan, one shuffle: the per-key summary ---------------------------
+
+    def summary(self, source: DataFrame) -> DataFrame:
+        """Per-key summary of the source (see :mod:`mdmspark.operators.summary`):
+        the kept row, the row count and every rule's inputs, from one
+        aggregation. :meth:`summary_metrics` and :meth:`build_from_summary`
+        read it; persist it when both run."""
+        if self.key is None:
+            raise ValueError(f"{self.name} has no key")
+        self.check_columns(source)
+        keep = self.keep() if self.keep is not None else None
+        wide = source.select(*self.project(source), *summary_inputs(self.rules(), self.key_rules(), keep))
+        return summarize(wide, self.key, self.columns, self.rules(), self.key_rules(), self.order,
+                         self.prefer_present)
+
+    def summary_metrics(self, summary: DataFrame) -> DataFrame:
+        """The same one-row frame as :meth:`metrics`, from a summary."""
+        return summary_metrics(summary, self.key, self.rules(), self.key_rules())
+
+    def build_from_summary(self, summary: DataFrame, load_ts: dt.datetime | None = None) -> DataFrame:
+        """The same table as :meth:`build`, from a summary (no shuffle)."""
+        rows = summary_rows(summary, self.key, self.columns, self.order, self.prefer_present)
+        return self._finish(rows, load_ts)
 
     def quarantine(self, source: DataFrame, rules: list[Rule] | None = None,
                    extra_columns: Sequence[str] = ()) -> DataFrame:

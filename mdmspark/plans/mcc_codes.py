@@ -27,11 +27,11 @@ def source_key() -> Column:
     return normalize_mcc(F.col("mcc_id"))
 
 
-def project(src: DataFrame) -> DataFrame:
-    return src.select(
+def project(src: DataFrame) -> list[Column]:
+    return [
         source_key().alias("mcc_id"),
         bounded_text(F.col("description")).alias("description"),
-    )
+    ]
 
 
 def rules() -> list[Rule]:

@@ -1,10 +1,14 @@
 """Merchant dimension (E3), derived from the transactions.
 
-Billions of transactions map onto few merchants, so exact repeats are
-dropped first by a hash aggregate (map-side combine), and the deterministic
-pick per key runs on the distinct tuples only. A merchant seen through
-several channels has several location types; the lowest tuple wins
-(NULLs first), so the pick is the same on every run.
+Billions of transactions map onto comparatively few merchants. Publishing
+reads the transactions once (five columns) and aggregates per merchant key
+once: the kept row, the row count and the collision check (``min`` and
+``max`` of the natural key differ) in one partial-then-final aggregation,
+so each map task ships at most one row per merchant (measured: the same
+shuffle rows as ``dropDuplicates``; a hash pre-aggregation of whole tuples
+shipped 2.6x more, since a merchant seen through several channels has
+several location types). The lowest tuple wins (NULLs first), so the pick is
+the same on every run.
 """
 
 from __future__ import annotations
@@ -32,16 +36,16 @@ def natural_key() -> Column:
     return natural_key_text(*[F.col(p) for p in KEY_PARTS])
 
 
-def project(src: DataFrame) -> DataFrame:
+def project(src: DataFrame) -> list[Column]:
     c = F.col
-    return src.select(
+    return [
         source_key().alias("merchant_key"),
         c("merchant_id").cast("string").alias("merchant_id"),
         clean_text(c("merchant_city")).alias("merchant_city"),
         upper_text(c("merchant_state")).alias("merchant_state"),
         c("zip").cast("string").alias("zip"),
         location_type(c("use_chip"), c("merchant_city")).alias("location_type"),
-    )
+    ]
 
 
 def rules() -> list[Rule]:
@@ -63,8 +67,6 @@ ENTITY = Entity(
     source_key=source_key,
     rules=rules,
     key_rules=key_rules,
-    pre_distinct=True,
-    condense=True,
     quarantine_columns=KEY_PARTS,
 )
 

@@ -1,14 +1,14 @@
 """Publishing an entity: check -> gate -> write (E2-E6 end to end).
 
-Per run: one metrics job (all rules of the entity in one aggregation), then
-the write job, whose written row count is observed during the write. Error
-rules are decided **before** the write, so a failed gate leaves the previous
-snapshot of that date untouched; offending rows go to the quarantine only
-for rules that fired. The source is read twice (metrics, write) with column
-pruning; pass ``persist_source=True`` when reading it again is expensive (a
-JDBC source, say). An entity marked ``condense`` (the merchant dimension:
-few merchants behind billions of transactions) is read once: its distinct
-source tuples are aggregated, kept, and serve both jobs.
+Per run of a keyed entity: the source is scanned once and shuffled once, by
+the per-key summary (kept row, row count and every rule's inputs in one
+aggregation, partial per map task). The summary is kept; the metrics job
+reads it, the gate decides, and the write projects the kept rows from it
+while observing the written count. Error rules are decided **before** the
+write, so a failed gate leaves the previous snapshot of that date untouched;
+offending rows go to the quarantine (an extra scan) only for rules that
+fired. The fact mapping has no key: a footer-only count, then a map-only
+write.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mdmspark.operators.layout import spread
-from mdmspark.operators.quality import KEYS, ROWS, WEIGHT, condense, enforce
+from mdmspark.operators.quality import KEYS, ROWS, enforce
 from mdmspark.plans import cards, mcc_codes, merchant, sub_transactions, users
 from mdmspark.plans.entity import Entity
 from mdmspark.sinks.files import write_snapshot
@@ -64,41 +64,42 @@ def publish_entity(
 
     Raises :class:`mdmspark.operators.quality.QualityGateError` (nothing
     written) or :class:`PublishError` (written count unexpected).
-    With ``quarantine_root`` the offending rows of every rule are written
-    there (same date), before the gate decides. ``min_partitions`` spreads a
+    With ``quarantine_root`` the offending rows of each rule that fired are
+    written there (same date), before the gate decides. ``min_partitions`` spreads a
     source that arrives in fewer splits (see
     :func:`mdmspark.operators.layout.spread`).
     """
     d = parse_snapshot_date(snapshot_date)
     entity.check_columns(source)
     src = spread(source.select(*entity.required), min_partitions)
-    weight = None
-    cache = persist_source
-    if entity.condense:
-        # one scan of the source: metrics and build both read the small
-        # condensed set, kept for the two jobs
-        src, weight, cache = condense(src, entity.required), WEIGHT, True
-    if cache:
+    if persist_source:
         src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    summary = None
     try:
-        metrics = entity.metrics(src, weight=weight).first().asDict()
+        if entity.key is None:
+            metrics = entity.metrics(src).first().asDict()
+        else:
+            # one scan and one shuffle: the per-key summary serves the
+            # metrics job and the write, kept in between
+            summary = entity.summary(src).persist(StorageLevel.MEMORY_AND_DISK)
+            metrics = entity.summary_metrics(summary).first().asDict()
         fired = [r for r in entity.rules() if metrics.get(r.name, 0) > 0]
         if quarantine_root is not None and fired:
-            extra = [WEIGHT] if weight else []
-            write_snapshot(entity.quarantine(src, fired, extra), quarantine_root, d)
+            write_snapshot(entity.quarantine(src, fired), quarantine_root, d)
         result = enforce(entity.name, metrics, entity.all_rules())
 
         obs = Observation(f"publish_{entity.name}_{uuid.uuid4().hex}")
-        rows = src.drop(WEIGHT) if weight else src
-        out = entity.build(rows, load_ts).observe(obs, F.count(F.lit(1)).alias("rows"))
-        write_snapshot(out, target_root, d, files=files)
+        out = entity.build(src, load_ts) if summary is None else entity.build_from_summary(summary, load_ts)
+        write_snapshot(out.observe(obs, F.count(F.lit(1)).alias("rows")), target_root, d, files=files)
         written = int(obs.get["rows"])
         expected = metrics[KEYS] if entity.key is not None else metrics[ROWS]
         if written != expected:
             raise PublishError(f"{entity.name}: expected {expected} rows, wrote {written}")
         return PublishReport(entity.name, d, snapshot_path(target_root, d), metrics, result.warnings, written)
     finally:
-        if cache:
+        if summary is not None:
+            summary.unpersist()
+        if persist_source:
             src.unpersist()
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mdmspark.functions import clean_money, merchant_key, normalize_mcc, transaction_method
@@ -20,9 +20,9 @@ REQUIRED = (
 )
 
 
-def project(src: DataFrame) -> DataFrame:
+def project(src: DataFrame) -> list[Column]:
     c = F.col
-    return src.select(
+    return [
         c("id").try_cast("long").alias("transactions_id"),
         c("date").try_cast("timestamp").alias("transaction_datetime"),
         c("client_id").try_cast("long").alias("client_id"),
@@ -33,7 +33,7 @@ def project(src: DataFrame) -> DataFrame:
         c("merchant_id").try_cast("long").alias("merchant_id"),
         normalize_mcc(c("mcc")).alias("mcc"),
         c("errors").cast("string").alias("errors"),
-    )
+    ]
 
 
 ENTITY = Entity(

@@ -23,13 +23,13 @@ def source_key() -> Column:
     return F.col("id").try_cast("long")
 
 
-def project(src: DataFrame) -> DataFrame:
+def project(src: DataFrame) -> list[Column]:
     c = F.col
 
     def money(name: str) -> Column:
         return clean_money(c(name), src.schema[name].dataType)
 
-    return src.select(
+    return [
         source_key().alias("user_id"),
         c("current_age").try_cast("int").alias("current_age"),
         c("birth_year").try_cast("int").alias("birth_year"),
@@ -45,7 +45,7 @@ def project(src: DataFrame) -> DataFrame:
         money("total_debt").alias("total_debt"),
         c("credit_score").try_cast("int").alias("credit_score"),
         c("num_credit_cards").try_cast("int").alias("number_credit_cards"),
-    )
+    ]
 
 
 def rules() -> list[Rule]:

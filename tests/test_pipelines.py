@@ -114,7 +114,7 @@ def test_publish_options_do_not_change_result(spark, staged):
     assert ra == rb
 
 
-def test_condensed_merchant_equals_direct_build(spark, staged):
+def test_published_merchant_equals_direct_build(spark, staged):
     root, _ = staged
     e = ENTITIES["mdm_merchant"]
     src = read_snapshot(spark, f"{root}/stg/transactions", "20240101")

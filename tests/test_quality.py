@@ -124,17 +124,15 @@ def test_mcc_rules(spark):
     assert [e.split("=")[0] for e in err.value.result.errors] == ["mcc_invalid", "description_conflict"]
 
 
-def test_weighted_metrics_equal_plain(spark):
-    from mdmspark.operators import condense
-    from mdmspark.fixtures import fixture
+def test_summary_equals_metrics_and_build(spark):
     from conftest import SF001
+    from mdmspark.fixtures import fixture
 
-    src = fixture(spark, SF001, "transactions_src")
-    plain = merchant.ENTITY.metrics(src).first().asDict()
-    small = condense(src.select(*merchant.REQUIRED), merchant.REQUIRED)
-    weighted = merchant.ENTITY.metrics(small, weight="_rows").first().asDict()
-    assert plain == weighted
-    assert small.count() < src.count()
-    c = cards.ENTITY.metrics(fixture(spark, SF001, "cards_src")).first().asDict()
-    cw = cards.ENTITY.metrics(condense(fixture(spark, SF001, "cards_src"), cards.REQUIRED), weight="_rows")
-    assert cw.first().asDict() == c
+    for entity, fx in [(merchant.ENTITY, "transactions_src"), (users.ENTITY, "users_src"),
+                       (cards.ENTITY, "cards_src"), (mcc_codes.ENTITY, "mcc_src")]:
+        src = fixture(spark, SF001, fx)
+        summ = entity.summary(src)
+        assert entity.summary_metrics(summ).first().asDict() == entity.metrics(src).first().asDict(), entity.name
+        a = sorted(map(tuple, entity.build_from_summary(summ).drop("etl_date").collect()), key=repr)
+        b = sorted(map(tuple, entity.build(src).drop("etl_date").collect()), key=repr)
+        assert a == b, entity.name

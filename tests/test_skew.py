@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from mdmspark.operators import KeyRule, Rule, condense, dedup, quality_metrics, value_conflicts
+from mdmspark.operators import KeyRule, Rule, dedup, quality_metrics, value_conflicts
 from mdmspark.plans import merchant
 
 
@@ -48,7 +48,7 @@ def test_conflicts_hot_key_are_rows(spark):
     assert {r.k for r in rows} == {7} and len(rows) == 11 and {r.n_values for r in rows} == {11}
 
 
-def test_condensed_hot_merchant(spark):
+def test_summary_hot_merchant(spark):
     rows = spark.range(30000, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50).alias("merchant_id"),
         F.lit("Paris").alias("merchant_city"),
@@ -56,10 +56,10 @@ def test_condensed_hot_merchant(spark):
         F.lit("10001").alias("zip"),
         F.when(F.col("id") % 2 == 0, "Chip Transaction").otherwise("Online Transaction").alias("use_chip"),
     )
-    small = condense(rows, merchant.REQUIRED)
-    assert small.count() <= 100
-    plain = merchant.ENTITY.metrics(rows).first().asDict()
-    assert merchant.ENTITY.metrics(small, weight="_rows").first().asDict() == plain
+    summ = merchant.ENTITY.summary(rows)
+    plan = summ._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_min" in plan
+    assert merchant.ENTITY.summary_metrics(summ).first().asDict() == merchant.ENTITY.metrics(rows).first().asDict()
     a = sorted(map(tuple, merchant.ENTITY.build(rows).drop("etl_date").collect()))
-    b = sorted(map(tuple, merchant.ENTITY.build(small.drop("_rows")).drop("etl_date").collect()))
+    b = sorted(map(tuple, merchant.ENTITY.build_from_summary(summ).drop("etl_date").collect()))
     assert a == b and len(a) == 50
