@@ -125,12 +125,12 @@ def test_mcc_rules(spark):
 
 
 def test_summary_equals_metrics_and_build(spark):
-    from conftest import SF001
+    from conftest import SF01
     from mdmspark.fixtures import fixture
 
     for entity, fx in [(merchant.ENTITY, "transactions_src"), (users.ENTITY, "users_src"),
                        (cards.ENTITY, "cards_src"), (mcc_codes.ENTITY, "mcc_src")]:
-        src = fixture(spark, SF001, fx)
+        src = fixture(spark, SF01, fx)
         summ = entity.summary(src)
         assert entity.summary_metrics(summ).first().asDict() == entity.metrics(src).first().asDict(), entity.name
         a = sorted(map(tuple, entity.build_from_summary(summ).drop("etl_date").collect()), key=repr)
