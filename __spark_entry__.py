@@ -165,6 +165,11 @@ def q_mcc_invalid(spark: SparkSession, sf: str) -> DataFrame:
     return mcc_plan.ENTITY.quarantine(fixture(spark, sf, "mcc_src"))
 
 
+def q_cards_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Every card source row once per rule it breaks (no card number or cvv)."""
+    return cards_plan.ENTITY.quarantine(fixture(spark, sf, "cards_src"))
+
+
 def q_dup_keys(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_keys(fixture(spark, sf, "cards_src"), cards_plan.source_key(), "card_id")
 
@@ -270,6 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mcc_normalise": q_mcc_normalise,
     "mcc_conflicts": q_mcc_conflicts,
     "mcc_invalid": q_mcc_invalid,
+    "cards_quarantine": q_cards_quarantine,
     "dup_keys": q_dup_keys,
     "dq_users": q_dq_users,
     "dq_cards": q_dq_cards,
@@ -502,6 +508,18 @@ c as (select mcc_id, count(*) as n_descriptions from p group by mcc_id having co
 select p.mcc_id, p.description, c.n_descriptions from p join c on p.mcc_id is not distinct from c.mcc_id
 """, "mcc_src"),
     "mcc_invalid": with_fixtures(_MCC_INVALID_BODY, "mcc_src"),
+    "cards_quarantine": with_fixtures(f"""
+, q as (select id, client_id, expires, has_chip, acct_open_date from cards_src)
+select 'card_id_null' as rule, 'error' as severity, * from q where id is null
+union all
+select 'expires_unparseable', 'warn', * from q where {_present('expires')} and {_date('expires')} is null
+union all
+select 'acct_open_date_unparseable', 'warn', * from q
+where {_present('acct_open_date')} and {_date('acct_open_date')} is null
+union all
+select 'client_id_null', 'warn', * from q where client_id is null
+union all
+select 'chip_flag_unknown', 'warn', * from q where {_chip('has_chip')} is null""", "cards_src"),
     "dup_keys": with_fixtures("""
 select cast(id as bigint) as card_id, count(*) as n_rows from cards_src
 where id is not null group by 1 having count(*) > 1""", "cards_src"),
