@@ -12,11 +12,12 @@ when a reader needs few files).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from mdmspark.sources.files import SNAPSHOT_COLUMN, parse_snapshot_date
+from mdmspark.sources.files import SNAPSHOT_COLUMN, parse_snapshot_date, snapshot_path
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
@@ -63,15 +64,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
 
 
 def write_snapshot(df: DataFrame, root: str, snapshot_date: str | dt.date, files: int | None = None,
-                   max_records_per_file: int | None = None) -> None:
+                   max_records_per_file: int | None = None) -> int:
     """Idempotent dated snapshot (K4): writes ``root/snapshot_date=YYYY-MM-DD``
     and replaces only that date; other dates stay untouched (dynamic partition
     overwrite, set on this write only). Re-running a date gives the same
     table. Task retries and lost executors are handled by Spark's commit
-    protocol: only committed task outputs become visible."""
+    protocol: only committed task outputs become visible, and the old files
+    of the date are replaced only when the job commits.
+
+    Returns the number of rows written, observed during the write (no second
+    job). Dynamic overwrite replaces only dates that receive rows, so an empty
+    result is written as an empty snapshot of the date explicitly."""
     d = parse_snapshot_date(snapshot_date)
+    obs = Observation(f"snapshot_{uuid.uuid4().hex}")
     out = shape_files(df.withColumn(SNAPSHOT_COLUMN, F.lit(d)), files)
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT_COLUMN)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(root)
+    rows = int(obs.get["rows"])
+    if rows == 0:
+        df.drop(SNAPSHOT_COLUMN).limit(0).write.mode("overwrite").parquet(snapshot_path(root, d))
+    return rows

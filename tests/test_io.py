@@ -97,3 +97,14 @@ def test_jdbc_options():
         jdbc_options({"user": "u"}, table="a")
     w = jdbc_write_options(conn, "out", truncate=True, batch_size=500, num_partitions=8)
     assert (w["dbtable"], w["truncate"], w["batchsize"], w["numPartitions"]) == ("out", "true", "500", "8")
+
+
+def test_empty_result_replaces_the_date(spark, tmp_root):
+    root = f"{tmp_root}/empty"
+    full = spark.createDataFrame([(1,), (2,)], "id int")
+    assert write_snapshot(full, root, "20240101") == 2
+    assert write_snapshot(full, root, "20240102") == 2
+    assert write_snapshot(full.where("id > 5"), root, "20240101") == 0
+    assert read_snapshot(spark, root, "20240101").count() == 0
+    assert read_snapshot(spark, root, "20240101").columns == ["id", "snapshot_date"]
+    assert read_snapshot(spark, root, "20240102").count() == 2

@@ -130,3 +130,18 @@ def test_shared_dir_is_the_session_setting(spark):
 
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/")
+
+
+def test_empty_source_stages_and_publishes_empty(spark, staged):
+    root, _ = staged
+    empty = fixture(spark, SF001, "users_src").where("id < 0")
+    rep = stage_table(spark, empty, f"{root}/stg_empty/users", "20240101", table="users")
+    assert rep.source_rows == rep.snapshot_rows == 0
+    e = ENTITIES["mdm_users"]
+    target = f"{root}/opt/empty_users"
+    publish_entity(e, fixture(spark, SF001, "users_src"), target, "20240101", load_ts=LOAD)
+    out = process_snapshot(spark, "mdm_users", f"{root}/stg_empty", f"{root}/opt_empty", "20240101")
+    assert out.written_rows == 0 and out.metrics["n_rows"] == 0
+    again = publish_entity(e, empty, target, "20240101", load_ts=LOAD)
+    assert again.written_rows == 0
+    assert read_snapshot(spark, target, "20240101").count() == 0
