@@ -75,7 +75,9 @@ def publish_entity(
     summary = None
     try:
         if entity.key is None:
-            metrics = entity.metrics(src).first().asDict()
+            # a plain row count: read it from the unspread source (Parquet
+            # footers), not through the spreading shuffle
+            metrics = entity.metrics(source.select(*entity.required)).first().asDict()
         else:
             # one scan and one shuffle: the per-key summary serves the
             # metrics job and the write, kept in between
