@@ -11,6 +11,8 @@ work grows with the scale factor.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from mdmspark.operators.layout import spread
@@ -125,11 +127,13 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The dirty source ``name`` over the tables in ``sf_dir``."""
+    """The dirty source ``name`` over the tables in ``sf_dir``. The base
+    tables are bound as DataFrame parameters of ``spark.sql``, so no view
+    name is registered in (or taken from) the caller's session."""
     sql, tables = FIXTURES[name]
-    for t in tables:
-        base_table(spark, sf_dir, t).createOrReplaceTempView(t)
-    return spark.sql(sql)
+    pattern = r"\b(from|join)\s+(" + "|".join(tables) + r")\b"
+    text = re.sub(pattern, lambda m: f"{m.group(1)} {{{m.group(2)}}}", sql, flags=re.IGNORECASE)
+    return spark.sql(text, **{t: base_table(spark, sf_dir, t) for t in tables})
 
 
 def with_fixtures(body: str, *names: str) -> str:
