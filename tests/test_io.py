@@ -108,3 +108,16 @@ def test_empty_result_replaces_the_date(spark, tmp_root):
     assert read_snapshot(spark, root, "20240101").count() == 0
     assert read_snapshot(spark, root, "20240101").columns == ["id", "snapshot_date"]
     assert read_snapshot(spark, root, "20240102").count() == 2
+
+
+def test_persisted_and_preview(spark):
+    from pyspark import StorageLevel
+
+    from mdmspark.operators import persisted, preview
+
+    df = spark.range(100)
+    with persisted(df) as cached:
+        assert cached.count() == 100
+        assert cached.storageLevel == StorageLevel.MEMORY_AND_DISK
+    assert df.storageLevel == StorageLevel.NONE
+    assert preview(df, 5).count() == 5
