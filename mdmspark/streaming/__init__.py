@@ -3,6 +3,8 @@
 The reference is batch only: every read is a bounded JDBC, Parquet or CSV
 scan and it has no watermark, window or state. Nothing is built here. The
 projection functions of :mod:`mdmspark.plans` use only stateless built-in
-expressions, so they also accept a streaming DataFrame; de-duplication and
-the quality gates are batch operations over a whole snapshot.
+expressions, so they also accept a streaming DataFrame
+(``ENTITIES["mdm_sub_transactions"].mapped(spark.readStream...)``, checked in
+``tests/test_streaming.py``); de-duplication and the quality gates are batch
+operations over a whole snapshot.
 """
