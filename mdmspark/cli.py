@@ -8,7 +8,8 @@ snapshot date, like the reference's per-table scripts.
 
 The session comes from ``SparkSession.builder.getOrCreate()``: master,
 resources and ``spark.checkpoint.dir`` are whatever ``spark-submit`` or the
-cluster sets. Exit status 0 on success, 1 when a gate blocks or the counts do
+cluster sets. Exit status 0 on success, 2 for a bad argument (a date that is
+not YYYYMMDD included), 1 when a gate blocks or the counts do
 not reconcile (the reason is printed); any other error propagates.
 """
 
@@ -51,8 +52,12 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
-    args = _parser().parse_args(argv)
-    parse_snapshot_date(args.etl_date)  # reject a bad date before starting any job
+    parser = _parser()
+    args = parser.parse_args(argv)
+    try:
+        parse_snapshot_date(args.etl_date)  # reject a bad date before starting any job
+    except ValueError as err:
+        parser.error(str(err))  # exit status 2, like any other bad argument
     spark = spark or SparkSession.builder.getOrCreate()
     try:
         if args.command == "stage":

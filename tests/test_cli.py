@@ -37,6 +37,7 @@ def test_process_blocked_by_gate(spark, staged_root, capsys):
 
 
 def test_bad_date_rejected_before_any_job(spark):
-    with pytest.raises(ValueError):
+    with pytest.raises(SystemExit) as err:
         main(["process", "--entity", "mdm_users", "--etl-date", "2024111", "--stg-root", "x", "--prc-root", "y"],
              spark=spark)
+    assert err.value.code == 2
