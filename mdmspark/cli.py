@@ -47,7 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     pr.add_argument("--stg-root", required=True)
     pr.add_argument("--prc-root", required=True)
     pr.add_argument("--quarantine-root")
-    pr.add_argument("--files", type=int)
+    pr.add_argument("--files", type=int, help="about this many output files (adds a shuffle)")
+    pr.add_argument("--min-partitions", type=int, help="spread a source that arrives in fewer splits")
     return p
 
 
@@ -69,7 +70,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         else:
             quarantine = f"{args.quarantine_root.rstrip('/')}/{args.entity}" if args.quarantine_root else None
             rep = process_snapshot(spark, args.entity, args.stg_root, args.prc_root, args.etl_date,
-                                   quarantine_root=quarantine, files=args.files)
+                                   quarantine_root=quarantine, files=args.files,
+                                   min_partitions=args.min_partitions)
             for w in rep.warnings:
                 print(f"warning: {w}")
             print(f"published {rep.entity}: {rep.written_rows} rows at {rep.path}")
