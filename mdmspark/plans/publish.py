@@ -32,6 +32,11 @@ ENTITIES: dict[str, Entity] = {
 }
 
 
+# Target rows per output file of a dimension snapshot (about 50-150 MB of
+# Parquet for these row widths).
+ROWS_PER_FILE = 2_000_000
+
+
 class PublishError(RuntimeError):
     """The written row count differs from what the metrics predicted."""
 
@@ -56,6 +61,7 @@ def publish_entity(
     persist_source: bool = False,
     quarantine_root: str | None = None,
     min_partitions: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> PublishReport:
     """Check ``source``, and when no error rule fires write the entity's
     ``snapshot_date`` snapshot under ``target_root``.
@@ -88,7 +94,15 @@ def publish_entity(
             write_snapshot(entity.quarantine(src, fired), quarantine_root, d)
         result = enforce(entity.name, metrics, entity.all_rules())
 
-        out = entity.build(src, load_ts) if summary is None else entity.build_from_summary(summary, load_ts)
+        if summary is None:
+            out = entity.build(src, load_ts)
+        else:
+            out = entity.build_from_summary(summary, load_ts)
+            if files is None:
+                # the kept summary has one partition per shuffle partition
+                # (AQE does not coalesce a cached plan); merge them, without a
+                # shuffle, into files sized by the key count the metrics gave
+                out = out.coalesce(max(1, -(-metrics[KEYS] // rows_per_file)))
         written = write_snapshot(out, target_root, d, files=files)
         expected = metrics[KEYS] if entity.key is not None else metrics[ROWS]
         if written != expected:

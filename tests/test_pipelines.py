@@ -145,3 +145,18 @@ def test_empty_source_stages_and_publishes_empty(spark, staged):
     again = publish_entity(e, empty, target, "20240101", load_ts=LOAD)
     assert again.written_rows == 0
     assert read_snapshot(spark, target, "20240101").count() == 0
+
+
+def test_dimension_files_sized_by_key_count(spark, staged):
+    import glob
+
+    root, _ = staged
+    src = read_snapshot(spark, f"{root}/stg/cards", "20240101")
+    e = ENTITIES["mdm_cards"]
+    one = publish_entity(e, src, f"{root}/files/a", "20240101", load_ts=LOAD)
+    many = publish_entity(e, src, f"{root}/files/b", "20240101", load_ts=LOAD, rows_per_file=300)
+    files_a = glob.glob(f"{root}/files/a/snapshot_date=2024-01-01/*.parquet")
+    files_b = glob.glob(f"{root}/files/b/snapshot_date=2024-01-01/*.parquet")
+    assert len(files_a) == 1
+    assert 1 < len(files_b) <= -(-many.written_rows // 300)
+    assert one.written_rows == many.written_rows
