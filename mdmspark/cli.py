@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from mdmspark.operators.quality import QualityGateError
-from mdmspark.plans.publish import ENTITIES, PublishError, process_snapshot
+from mdmspark.plans.publish import ENTITIES, ROWS_PER_FILE, PublishError, process_snapshot
 from mdmspark.plans.staging import ReconcileError, stage_from_jdbc
 from mdmspark.sources.files import parse_snapshot_date
 from mdmspark.sources.jdbc import SOURCE_TABLES
@@ -49,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     pr.add_argument("--quarantine-root")
     pr.add_argument("--files", type=int, help="about this many output files (adds a shuffle)")
     pr.add_argument("--min-partitions", type=int, help="spread a source that arrives in fewer splits")
+    pr.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE,
+                    help="target rows per file of a dimension snapshot")
     return p
 
 
@@ -71,7 +73,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             quarantine = f"{args.quarantine_root.rstrip('/')}/{args.entity}" if args.quarantine_root else None
             rep = process_snapshot(spark, args.entity, args.stg_root, args.prc_root, args.etl_date,
                                    quarantine_root=quarantine, files=args.files,
-                                   min_partitions=args.min_partitions)
+                                   min_partitions=args.min_partitions, rows_per_file=args.rows_per_file)
             for w in rep.warnings:
                 print(f"warning: {w}")
             print(f"published {rep.entity}: {rep.written_rows} rows at {rep.path}")
