@@ -587,9 +587,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_users_dim(spark, SMOKE_DIR)
 
 
+def _text_operators() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and oracles of the optional subpackage for training text."""
+    try:
+        import corpus_pipeline
+        from mdmspark.llm.queries import ORACLE as oracles
+        from mdmspark.llm.queries import QUERIES as text_queries
+    except ImportError:
+        return {}, {}
+    oracles = dict(oracles)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**text_queries, "pipeline": corpus_pipeline.run}, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **_text_operators()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **_text_operators()[1]}

@@ -13,12 +13,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(entry_module.QUERIES) == set(entry_module.ORACLE)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(entry_module.QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, con, name, entry_module.queries()[name], entry_module.oracle_sql()[name], SF01)
+    r = compare(spark, con, name, entry_module.QUERIES[name], entry_module.ORACLE[name], SF01)
     assert r["rows"][0] == r["rows"][1], r
     assert r["columns_match"] and r["types_match"], r
     assert r["hash_match"], r
@@ -37,7 +37,7 @@ def test_query_matches_oracle_with_ansi_off(spark, con, name):
     old = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        r = compare(spark, con, name, entry_module.queries()[name], entry_module.oracle_sql()[name], SF01)
+        r = compare(spark, con, name, entry_module.QUERIES[name], entry_module.ORACLE[name], SF01)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
     assert r["rows"][0] == r["rows"][1] and r["types_match"] and r["hash_match"], r

@@ -14,9 +14,9 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "Map
              "CartesianProduct", "BroadcastNestedLoopJoin", "Coalesce 1")
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(entry_module.QUERIES))
 def test_plan_is_jvm_side_and_pruned(spark, name):
-    df = entry_module.queries()[name](spark, SF001)
+    df = entry_module.QUERIES[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, (name, op)
@@ -30,7 +30,7 @@ def test_plan_is_jvm_side_and_pruned(spark, name):
 
 @pytest.mark.parametrize("name", ["txn_fact", "cards_dim", "dq_cards"])
 def test_projections_run_in_whole_stage_codegen(spark, name):
-    df = entry_module.queries()[name](spark, SF001)
+    df = entry_module.QUERIES[name](spark, SF001)
     df.collect()  # AQE shows the final plan, with its codegen stages, once run
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in plan
