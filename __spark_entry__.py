@@ -135,9 +135,10 @@ def q_merchant_key_groups(spark: SparkSession, sf: str) -> DataFrame:
         .agg(
             F.min(nk).alias("natural_key"),
             F.count(F.lit(1)).alias("n_rows"),
-            F.count_distinct(nk).alias("n_natural_keys"),
+            F.min(nk).alias("_lo"),
+            F.max(nk).alias("_hi"),
         )
-        .drop("merchant_key")
+        .select("natural_key", "n_rows", F.when(F.col("_lo") == F.col("_hi"), 1).otherwise(2).cast("long").alias("n_natural_keys"))
     )
 
 
@@ -190,6 +191,14 @@ def q_dq_mcc(spark: SparkSession, sf: str) -> DataFrame:
     return mcc_plan.ENTITY.metrics(fixture(spark, sf, "mcc_src"))
 
 
+def q_dq_users_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    return users_plan.ENTITY.metrics(fixture(spark, sf, "users_dirty_src"))
+
+
+def q_dq_cards_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    return cards_plan.ENTITY.metrics(fixture(spark, sf, "cards_dirty_src"))
+
+
 def q_stage_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Stage the users source as the 2024-01-01 snapshot (write, read back,
     reconcile) and return the snapshot as read back."""
@@ -207,6 +216,21 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, schema=src.schema)
 
 
+def q_csv_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Newlines, quotes, backslashes, empty and missing text through CSV."""
+    src = fixture(spark, sf, "csv_text_src")
+    path = scratch_path(spark, "csv_text")
+    write_csv(src, path)
+    return read_csv(spark, path, schema=src.schema)
+
+
+def q_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """The same file read with inferred types."""
+    path = scratch_path(spark, "csv_inferred")
+    write_csv(fixture(spark, sf, "csv_text_src"), path)
+    return read_csv(spark, path)
+
+
 def q_snapshot_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Two dates of the MCC source, then date 1 re-written with valid codes
     only: date 1 is replaced, date 2 is untouched."""
@@ -259,6 +283,65 @@ def q_publish_mcc_blocked(spark: SparkSession, sf: str) -> DataFrame:
     return read_snapshot(spark, f"{root}/quarantine", "20240101")
 
 
+def _mcc_quarantine(spark: SparkSession, sf: str, *sources: str) -> DataFrame:
+    """The MCC quarantine of one date after a run over each source in turn."""
+    root = scratch_path(spark, "mcc_quarantine")
+    for name in sources:
+        stage_table(spark, fixture(spark, sf, name), f"{root}/stg/mcc_codes", "20240101", table="mcc_codes")
+        try:
+            process_snapshot(spark, "mdm_mcc_codes", f"{root}/stg", f"{root}/prc", "20240101", load_ts=LOAD_TS,
+                             quarantine_root=f"{root}/quarantine")
+        except QualityGateError:
+            pass
+    return read_snapshot(spark, f"{root}/quarantine", "20240101")
+
+
+def q_publish_mcc_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid codes with several descriptions block the run; their rows are in quarantine."""
+    return _mcc_quarantine(spark, sf, "mcc_valid_src")
+
+
+def q_quarantine_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """A bad run, then a clean one of the same date: no old row is left. One
+    row: how many the bad run left, and how many are left after both."""
+    bad = _mcc_quarantine(spark, sf, "mcc_src").agg(F.count("*").alias("after_bad_run"))
+    both = _mcc_quarantine(spark, sf, "mcc_src", "mcc_clean_src").agg(F.count("*").alias("after_clean_run"))
+    return spark.createDataFrame([(bad.first()[0], both.first()[0])], "after_bad_run long, after_clean_run long")
+
+
+def q_publish_mcc(spark: SparkSession, sf: str) -> DataFrame:
+    return _staged_publish(spark, sf, "mdm_mcc_codes", "mcc_codes", "mcc_clean_src")
+
+
+def q_publish_users_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    """Users without an id block the run; the quarantine holds them, and every row of a repeated id."""
+    root = scratch_path(spark, "publish_users_blocked")
+    stage_table(spark, fixture(spark, sf, "users_dirty_src"), f"{root}/stg/users", "20240101", table="users")
+    try:
+        process_snapshot(spark, "mdm_users", f"{root}/stg", f"{root}/prc", "20240101", load_ts=LOAD_TS, quarantine_root=f"{root}/quarantine")
+    except QualityGateError:
+        pass
+    else:
+        raise AssertionError("the gate should block this source")
+    return read_snapshot(spark, f"{root}/quarantine", "20240101")
+
+
+def q_merchant_key_agreement(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact and dimension published from one source, joined by merchant key:
+    per merchant the rows of each, without the key's value."""
+    root = scratch_path(spark, "merchant_key_agreement")
+    stage_table(spark, fixture(spark, sf, "transactions_src"), f"{root}/stg/transactions", "20240101", table="transactions")
+    counts = {}
+    for entity in ("mdm_sub_transactions", "mdm_merchant"):
+        process_snapshot(spark, entity, f"{root}/stg", f"{root}/prc", "20240101", load_ts=LOAD_TS)
+        counts[entity] = read_snapshot(spark, f"{root}/prc/{entity}", "20240101")
+    fact = counts["mdm_sub_transactions"].groupBy("merchant_key").agg(F.min("merchant_id").alias("fact_merchant_id"), F.count("*").alias("fact_rows"))
+    dim = counts["mdm_merchant"].groupBy("merchant_key").agg(
+        F.min(F.struct("merchant_id", F.coalesce("merchant_city", F.lit("")).alias("merchant_city"), "merchant_state", "zip")).alias("m"),
+        F.count("*").alias("dimension_rows"))
+    return fact.join(dim, "merchant_key", "full").select("m.*", "fact_merchant_id", "fact_rows", "dimension_rows")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users_dim": q_users_dim,
     "clean_money": q_clean_money,
@@ -289,6 +372,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_merchant": q_publish_merchant,
     "publish_fact": q_publish_fact,
     "publish_mcc_blocked": q_publish_mcc_blocked,
+    "dq_users_dirty": q_dq_users_dirty,
+    "dq_cards_dirty": q_dq_cards_dirty,
+    "csv_text_roundtrip": q_csv_text_roundtrip,
+    "csv_inferred": q_csv_inferred,
+    "publish_mcc": q_publish_mcc,
+    "publish_mcc_conflicts": q_publish_mcc_conflicts,
+    "quarantine_rerun": q_quarantine_rerun,
+    "publish_users_blocked": q_publish_users_blocked,
+    "merchant_key_agreement": q_merchant_key_agreement,
 }
 
 
@@ -349,11 +441,15 @@ def _method(x: str) -> str:
 
 
 def _location(chip: str, city: str) -> str:
-    return (
-        f"(case when {chip} = 'Online Transaction' or upper(trim({city})) = 'ONLINE' then 'ONLINE' "
-        f"when {chip} in ('Chip Transaction', 'Swipe Transaction') and {city} is not null "
-        f"and trim({city}) <> '' and upper(trim({city})) <> 'ONLINE' then 'PHYSICAL' else 'UNKNOWN' end)"
-    )
+    """A truth table: channel class, city class -> type."""
+    channel = (f"(case {chip} when 'Online Transaction' then 'online' when 'Chip Transaction' then 'person' "
+               f"when 'Swipe Transaction' then 'person' else 'other' end)")
+    place = f"(case upper(trim(coalesce({city}, ''))) when '' then 'none' when 'ONLINE' then 'online' else 'city' end)"
+    table = {("online", "none"): "ONLINE", ("online", "online"): "ONLINE", ("online", "city"): "ONLINE",
+             ("person", "none"): "UNKNOWN", ("person", "online"): "ONLINE", ("person", "city"): "PHYSICAL",
+             ("other", "none"): "UNKNOWN", ("other", "online"): "ONLINE", ("other", "city"): "UNKNOWN"}
+    entries = ", ".join(f"'{a} {b}': '{v}'" for (a, b), v in table.items())
+    return f"(map {{{entries}}}[{channel} || ' ' || {place}])"
 
 
 def _natural_key() -> str:
@@ -455,6 +551,14 @@ select merchant_id, merchant_city, merchant_state, zip, location_type, {LOAD_TS_
   from (select {_MERCHANT_COLS} from transactions_src) m
 ) where rn = 1"""
 
+_MCC_DIM_BODY = f"""
+select mcc_id, description, {LOAD_TS_SQL} as etl_date from (
+  select lpad(trim(mcc_id), 4, '0') as mcc_id, substr(trim(description), 1, 1000) as description,
+    row_number() over (partition by lpad(trim(mcc_id), 4, '0')
+      order by (description is null or trim(description) = ''), substr(trim(description), 1, 1000) nulls first) as rn
+  from mcc_src where {_mcc_valid('mcc_id')}
+) where rn = 1"""
+
 _MCC_INVALID_BODY = f"""
 select 'mcc_invalid' as rule, 'error' as severity, mcc_id, description from mcc_src where not {_mcc_valid('mcc_id')}
 union all
@@ -462,6 +566,44 @@ select 'description_too_long', 'warn', mcc_id, description from mcc_src
 where coalesce(length(trim(description)) > 1000, false)"""
 
 
+_DQ_USERS = """
+, k as (select cast(id as bigint) as _key, count(*) as _n,
+       count(*) filter (where id is null) as user_id_null
+     from users_src group by 1)
+select cast(sum(_n) as bigint) as n_rows, count(*) as n_keys,
+  cast(sum(user_id_null) as bigint) as user_id_null,
+  count(*) filter (where _key is not null and _n > 1) as duplicate_user_id
+from k"""
+
+_DQ_CARDS = f"""
+, k as (select cast(id as bigint) as _key, count(*) as _n,
+       count(*) filter (where id is null) as card_id_null,
+       count(*) filter (where {_present('expires')} and {_date('expires')} is null) as expires_unparseable,
+       count(*) filter (where {_present('acct_open_date')} and {_date('acct_open_date')} is null)
+         as acct_open_date_unparseable,
+       count(*) filter (where client_id is null) as client_id_null,
+       count(*) filter (where {_chip('has_chip')} is null) as chip_flag_unknown
+     from cards_src group by 1)
+select cast(sum(_n) as bigint) as n_rows, count(*) as n_keys,
+  cast(sum(card_id_null) as bigint) as card_id_null,
+  cast(sum(expires_unparseable) as bigint) as expires_unparseable,
+  cast(sum(acct_open_date_unparseable) as bigint) as acct_open_date_unparseable,
+  cast(sum(client_id_null) as bigint) as client_id_null,
+  cast(sum(chip_flag_unknown) as bigint) as chip_flag_unknown,
+  count(*) filter (where _key is not null and _n > 1) as duplicate_card_id
+from k"""
+
+# Rows of codes with several descriptions, and of codes without any.
+_MCC_KEYS = f"""
+select rule, severity, m.mcc_id, m.description from mcc_src m join (
+  select {_mcc('mcc_id')} as k, 'description_conflict' as rule, 'error' as severity from mcc_src
+  group by 1 having count(distinct trim(description)) > 1
+  union all
+  select {_mcc('mcc_id')}, 'description_missing', 'warn' from mcc_src
+  group by 1 having not bool_or(coalesce({_present('description')}, false))
+) b on {_mcc('m.mcc_id')} is not distinct from b.k"""
+
+
 def _snapshot_of(body: str) -> str:
     return f"select *, DATE '2024-01-01' AS snapshot_date from ({body}) published"
 
@@ -490,15 +632,9 @@ select id, use_chip, {_method('use_chip')} as transaction_method from transactio
 select use_chip, merchant_city, {_location('use_chip', 'merchant_city')} as location_type, count(*) as n_rows
 from transactions_src group by all""", "transactions_src"),
     "merchant_key_groups": with_fixtures(f"""
-select {_natural_key()} as natural_key, count(*) as n_rows, cast(1 as bigint) as n_natural_keys
-from transactions_src group by 1""", "transactions_src"),
-    "mcc_dim": with_fixtures(f"""
-select mcc_id, description, {LOAD_TS_SQL} as etl_date from (
-  select lpad(trim(mcc_id), 4, '0') as mcc_id, substr(trim(description), 1, 1000) as description,
-    row_number() over (partition by lpad(trim(mcc_id), 4, '0')
-      order by (description is null or trim(description) = ''), substr(trim(description), 1, 1000) nulls first) as rn
-  from mcc_src where {_mcc_valid('mcc_id')}
-) where rn = 1""", "mcc_src"),
+select min({_natural_key()}) as natural_key, count(*) as n_rows, count(distinct {_natural_key()}) as n_natural_keys
+from transactions_src group by hash({_natural_key()})""", "transactions_src"),
+    "mcc_dim": with_fixtures(_MCC_DIM_BODY, "mcc_src"),
     "mcc_normalise": with_fixtures(f"""
 select mcc_id as mcc_raw, {_mcc('mcc_id')} as mcc_id, {_mcc_valid('mcc_id')} as is_valid from mcc_src""", "mcc_src"),
     "mcc_conflicts": with_fixtures(f"""
@@ -523,35 +659,16 @@ select 'chip_flag_unknown', 'warn', * from q where {_chip('has_chip')} is null""
     "dup_keys": with_fixtures("""
 select cast(id as bigint) as card_id, count(*) as n_rows from cards_src
 where id is not null group by 1 having count(*) > 1""", "cards_src"),
-    "dq_users": with_fixtures("""
-, k as (select cast(id as bigint) as _key, count(*) as _n,
-       count(*) filter (where id is null) as user_id_null
-     from users_src group by 1)
-select cast(sum(_n) as bigint) as n_rows, count(*) as n_keys,
-  cast(sum(user_id_null) as bigint) as user_id_null,
-  count(*) filter (where _key is not null and _n > 1) as duplicate_user_id
-from k""", "users_src"),
-    "dq_cards": with_fixtures(f"""
-, k as (select cast(id as bigint) as _key, count(*) as _n,
-       count(*) filter (where id is null) as card_id_null,
-       count(*) filter (where {_present('expires')} and {_date('expires')} is null) as expires_unparseable,
-       count(*) filter (where {_present('acct_open_date')} and {_date('acct_open_date')} is null)
-         as acct_open_date_unparseable,
-       count(*) filter (where client_id is null) as client_id_null,
-       count(*) filter (where {_chip('has_chip')} is null) as chip_flag_unknown
-     from cards_src group by 1)
-select cast(sum(_n) as bigint) as n_rows, count(*) as n_keys,
-  cast(sum(card_id_null) as bigint) as card_id_null,
-  cast(sum(expires_unparseable) as bigint) as expires_unparseable,
-  cast(sum(acct_open_date_unparseable) as bigint) as acct_open_date_unparseable,
-  cast(sum(client_id_null) as bigint) as client_id_null,
-  cast(sum(chip_flag_unknown) as bigint) as chip_flag_unknown,
-  count(*) filter (where _key is not null and _n > 1) as duplicate_card_id
-from k""", "cards_src"),
+    "dq_users": with_fixtures(_DQ_USERS, "users_src"),
+    "dq_users_dirty": with_fixtures(_DQ_USERS.replace("users_src", "users_dirty_src"), "users_dirty_src"),
+    "dq_cards": with_fixtures(_DQ_CARDS, "cards_src"),
+    "dq_cards_dirty": with_fixtures(_DQ_CARDS.replace("cards_src", "cards_dirty_src"), "cards_dirty_src"),
     "dq_merchant": with_fixtures(f"""
-, k as (select {_natural_key()} as _key, count(*) as _n from transactions_src group by 1)
+, k as (select hash({_natural_key()}) as _key, count(*) as _n, count(distinct {_natural_key()}) as _d,
+       count(*) filter (where {_natural_key()} is null) as _nulls
+     from transactions_src group by 1)
 select cast(sum(_n) as bigint) as n_rows, count(*) as n_keys,
-  cast(0 as bigint) as merchant_key_null, cast(0 as bigint) as merchant_key_collision
+  cast(sum(_nulls) as bigint) as merchant_key_null, count(*) filter (where _d > 1) as merchant_key_collision
 from k""", "transactions_src"),
     "dq_mcc": with_fixtures(f"""
 , k as (select {_mcc('mcc_id')} as _key, count(*) as _n,
@@ -578,7 +695,23 @@ select mcc_id, description, DATE '2024-01-02' as snapshot_date from mcc_src""",
     "publish_cards": with_fixtures(_snapshot_of(_CARDS_DIM_BODY), "cards_src"),
     "publish_merchant": with_fixtures(_snapshot_of(_MERCHANT_DIM_BODY), "transactions_src"),
     "publish_fact": with_fixtures(_snapshot_of(_TXN_FACT_BODY), "transactions_src"),
-    "publish_mcc_blocked": with_fixtures(_snapshot_of(_MCC_INVALID_BODY), "mcc_src"),
+    "publish_mcc_blocked": with_fixtures(_snapshot_of(f"{_MCC_INVALID_BODY} union all {_MCC_KEYS}"), "mcc_src"),
+    "csv_text_roundtrip": with_fixtures("select * from csv_text_src", "csv_text_src"),
+    "csv_inferred": with_fixtures("select cast(id as integer) as id, note, kind from csv_text_src", "csv_text_src"),
+    "publish_mcc": with_fixtures(_snapshot_of(_MCC_DIM_BODY.replace("mcc_src", "mcc_clean_src")), "mcc_clean_src"),
+    "publish_mcc_conflicts": with_fixtures(_snapshot_of(_MCC_KEYS.replace("mcc_src", "mcc_valid_src")), "mcc_valid_src"),
+    "quarantine_rerun": with_fixtures(f"""
+select count(*) as after_bad_run, cast((select count(*) from mcc_clean_src where description is null) as bigint) as after_clean_run
+from ({_MCC_INVALID_BODY} union all {_MCC_KEYS}) q""", "mcc_src", "mcc_clean_src"),
+    "publish_users_blocked": with_fixtures(_snapshot_of("""
+select 'user_id_null' as rule, 'error' as severity, id, gender, yearly_income from users_dirty_src where id is null
+union all
+select 'duplicate_user_id', 'warn', id, gender, yearly_income from users_dirty_src
+where id in (select id from users_dirty_src where id is not null group by id having count(*) > 1)"""), "users_dirty_src"),
+    "merchant_key_agreement": with_fixtures(f"""
+select cast(merchant_id as varchar) as merchant_id, min(coalesce(trim(merchant_city), '')) as merchant_city, min(upper(trim(merchant_state))) as merchant_state,
+  cast(zip as varchar) as zip, cast(min(merchant_id) as bigint) as fact_merchant_id, count(*) as fact_rows, cast(1 as bigint) as dimension_rows
+from transactions_src group by {_natural_key()}, merchant_id, zip""", "transactions_src"),
 }
 
 

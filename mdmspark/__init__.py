@@ -3,8 +3,7 @@ source snapshots with built-in Spark expressions only.
 
 Layout: ``functions`` (Column -> Column builders), ``operators``
 (de-duplication, quality rules), ``sources`` / ``sinks`` (JDBC, Parquet,
-CSV, dated snapshots), ``plans`` (entity pipelines and publication),
-``streaming`` (not applicable; see its docstring).
+CSV, dated snapshots), ``plans`` (entity pipelines and publication).
 """
 
 __version__ = "0.1.0"

@@ -2,7 +2,7 @@
 snapshot date, like the reference's per-table scripts.
 
     python -m mdmspark stage   --table cards --etl-date 20240101 --stg-root s3a://.../stg \
-        --jdbc-options jdbc.json [--partition-column id --num-partitions 64]
+        --jdbc-options jdbc.json [--source-table schema.cards] [--partition-column id --num-partitions 64]
     python -m mdmspark process --entity mdm_cards --etl-date 20240101 \
         --stg-root .../stg --prc-root .../prc [--quarantine-root .../quarantine]
 
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from mdmspark.operators.quality import QualityGateError
-from mdmspark.plans.publish import ENTITIES, ROWS_PER_FILE, PublishError, process_snapshot
+from mdmspark.plans.publish import ENTITIES, PublishError, process_snapshot
 from mdmspark.plans.staging import ReconcileError, stage_from_jdbc
 from mdmspark.sources.files import parse_snapshot_date
 from mdmspark.sources.jdbc import SOURCE_TABLES
@@ -38,8 +38,10 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--etl-date", required=True, help="YYYYMMDD")
     st.add_argument("--stg-root", required=True)
     st.add_argument("--jdbc-options", required=True, help="JSON file with url, user, password, driver, ...")
-    st.add_argument("--partition-column")
-    st.add_argument("--num-partitions", type=int, default=0)
+    st.add_argument("--source-table", help="name of the table in the database")
+    st.add_argument("--partition-column", help="numeric, date or timestamp column whose ranges are read in parallel")
+    st.add_argument("--num-partitions", type=int, help="connections (default: the session's default parallelism)")
+    st.add_argument("--single-connection", action="store_true", help="read through one connection")
 
     pr = sub.add_parser("process", help="build, check and publish one entity from a staged snapshot")
     pr.add_argument("--entity", required=True, choices=sorted(ENTITIES))
@@ -48,9 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     pr.add_argument("--prc-root", required=True)
     pr.add_argument("--quarantine-root")
     pr.add_argument("--files", type=int, help="about this many output files (adds a shuffle)")
-    pr.add_argument("--min-partitions", type=int, help="spread a source that arrives in fewer splits")
-    pr.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE,
-                    help="target rows per file of a dimension snapshot")
+    pr.add_argument("--preview", type=int, default=0, help="print so many published rows")
     return p
 
 
@@ -67,16 +67,20 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             with open(args.jdbc_options) as fh:
                 options = json.load(fh)
             rep = stage_from_jdbc(spark, options, args.table, args.stg_root, args.etl_date,
-                                  partition_column=args.partition_column, num_partitions=args.num_partitions)
+                                  partition_column=args.partition_column, num_partitions=args.num_partitions,
+                                  single_connection=args.single_connection, source_table=args.source_table)
             print(f"staged {rep.table}: {rep.snapshot_rows} rows at {rep.path}")
         else:
             quarantine = f"{args.quarantine_root.rstrip('/')}/{args.entity}" if args.quarantine_root else None
             rep = process_snapshot(spark, args.entity, args.stg_root, args.prc_root, args.etl_date,
-                                   quarantine_root=quarantine, files=args.files,
-                                   min_partitions=args.min_partitions, rows_per_file=args.rows_per_file)
+                                   quarantine_root=quarantine, files=args.files)
             for w in rep.warnings:
                 print(f"warning: {w}")
             print(f"published {rep.entity}: {rep.written_rows} rows at {rep.path}")
+            if args.preview:
+                hidden = [c for c in ("card_number", "cvv") if args.entity == "mdm_cards"]
+                for row in spark.read.parquet(rep.path).drop(*hidden).limit(args.preview).collect():
+                    print(row)
     except (QualityGateError, PublishError, ReconcileError) as err:
         print(f"failed: {err}", file=sys.stderr)
         return 1

@@ -14,11 +14,8 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-
-from mdmspark.operators.layout import spread
-
 USERS_SRC = """
-select c_custkey as id,
+select case when c_custkey % 20 = 19 then c_custkey - 1 else c_custkey end as id,
   c_custkey % 80 as current_age,
   1940 + c_custkey % 60 as birth_year,
   cast(c_custkey % 12 + 1 as string) as birth_month,
@@ -40,7 +37,7 @@ from customer
 """
 
 CARDS_SRC = """
-select o_orderkey % 14000 as id,
+select case when o_orderkey % 15 = 14 then o_orderkey - 1 else o_orderkey end as id,
   case when o_orderkey % 50 = 0 then null else o_custkey end as client_id,
   case o_orderstatus when 'F' then ' debit ' when 'O' then 'Credit' else 'Debit (Prepaid)' end as card_type,
   case o_orderkey % 4 when 0 then 'Visa' when 1 then ' mastercard' when 2 then 'Amex ' else null end as card_brand,
@@ -76,12 +73,43 @@ MCC_SRC = """
 select case when p_partkey % 13 = 0 then null when p_partkey % 17 = 0 then ' '
             when p_partkey % 19 = 0 then '12345' when p_partkey % 23 = 0 then 'ab'
             else cast(p_partkey % 1100 as string) end as mcc_id,
-  case when p_partkey % 29 = 0 then null else concat(' ', p_type, ' ') end as description
+  case when p_partkey % 29 = 0 then null when p_partkey % 37 = 0 then concat(' ', repeat(concat(p_type, ' sold in many places, '), 60))
+    else concat(' ', p_type, ' ') end as description
+from part
+"""
+
+# Valid codes that still conflict, and one description for each valid code.
+MCC_VALID_SRC = """
+select cast(p_partkey % 1100 as string) as mcc_id, case when p_partkey % 29 = 0 then null else concat(' ', p_type, ' ') end as description
+from part
+"""
+
+MCC_CLEAN_SRC = """
+select cast(p_partkey % 10000 as string) as mcc_id, min(concat(' ', p_name, ' ', p_type)) as description
+from part group by p_partkey % 10000
+"""
+
+# The same users and cards, some without an id.
+USERS_DIRTY_SRC = f"""
+select case when current_age = 7 then null else id end as id, current_age, birth_year, birth_month, gender, address, latitude, longitude,
+  per_capita_income, yearly_income, total_debt, credit_score, num_credit_cards
+from ({USERS_SRC}) u
+"""
+
+# Text that needs care in CSV files.
+CSV_TEXT_SRC = """
+select p_partkey as id,
+  case p_partkey % 10
+    when 0 then concat('two', chr(10), 'lines of ', p_name) when 1 then concat(chr(13), chr(10), p_name) when 2 then concat('"', p_name, '", "quoted"')
+    when 3 then concat('back', chr(92), 'slash ', p_name, chr(92)) when 4 then '' when 5 then null when 6 then concat('  ', p_name, '  ')
+    when 7 then concat(chr(34), chr(10), chr(34)) when 8 then 'a,b;c|d' else p_name end as note,
+  case when p_partkey % 3 = 0 then null else p_type end as kind
 from part
 """
 
 TRANSACTIONS_SRC = """
-select l_orderkey as id, l_shipdate as date, l_partkey as client_id, l_orderkey % 14000 as card_id,
+select l_orderkey as id, l_shipdate as date, l_partkey as client_id, 
+  case when l_orderkey % 15 = 14 then l_orderkey - 1 else l_orderkey end as card_id,
   concat('$', cast(cast(l_extendedprice as decimal(18,2)) as string)) as amount,
   case l_returnflag when 'A' then 'Chip Transaction' when 'N' then 'Online Transaction'
     else case when l_linenumber = 7 then null else 'Swipe Transaction' end end as use_chip,
@@ -95,41 +123,28 @@ select l_orderkey as id, l_shipdate as date, l_partkey as client_id, l_orderkey
 from lineitem
 """
 
+CARDS_DIRTY_SRC = f"""
+select case when num_cards_issued = '2' and cvv like '%7' then null else id end as id, client_id, card_type, card_brand, card_number, expires, cvv,
+  has_chip, num_cards_issued, credit_limit, acct_open_date, year_pin_last_changed
+from ({CARDS_SRC}) c
+"""
+
 FIXTURES = {
     "users_src": (USERS_SRC, ("customer",)),
     "cards_src": (CARDS_SRC, ("orders",)),
     "mcc_src": (MCC_SRC, ("part",)),
     "transactions_src": (TRANSACTIONS_SRC, ("lineitem",)),
-}
-
-# Spread target cap: the test files arrive as one split each; a table with
-# this many splits already spreads well without a shuffle.
-SPREAD_MAX_PARTITIONS = 16
-
-# Keys to spread the two large base tables by when they arrive as a single
-# split. customer and part stay as read: at these sizes a shuffle costs more
-# than the per-row work it would parallelise.
-SPREAD_KEYS = {
-    "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey", "l_linenumber"),
+    "users_dirty_src": (USERS_DIRTY_SRC, ("customer",)),
+    "cards_dirty_src": (CARDS_DIRTY_SRC, ("orders",)),
+    "mcc_valid_src": (MCC_VALID_SRC, ("part",)),
+    "mcc_clean_src": (MCC_CLEAN_SRC, ("part",)),
+    "csv_text_src": (CSV_TEXT_SRC, ("part",)),
 }
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table. The test files hold one row group each (one split);
-    like a staged snapshot written by many tasks, the large tables are
-    spread over the session's default parallelism (at most 16 partitions).
-    A table that already has that many splits is read as it is."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name not in SPREAD_KEYS:
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext on this client
-        return df
-    # Only a table that arrives as a handful of splits is spread: on a large
-    # cluster a big table has fewer splits than cores yet needs no shuffle.
-    return spread(df, min(cores, SPREAD_MAX_PARTITIONS), SPREAD_KEYS[name])
+    """A base table, as it is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

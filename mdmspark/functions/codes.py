@@ -41,21 +41,20 @@ def transaction_method(use_chip: Column) -> Column:
 
 
 def location_type(use_chip: Column, city: Column) -> Column:
-    """ONLINE if the channel is online or the city is 'online' (any case or
-    padding); PHYSICAL for a chip or swipe channel with a real city; else
-    UNKNOWN. A NULL channel with a real city is UNKNOWN."""
-    city_u = F.upper(F.trim(city))
-    return (
-        F.when((use_chip == F.lit(ONLINE_CHANNEL)) | (city_u == F.lit(ONLINE_CITY)), F.lit(ONLINE))
-        .when(
-            use_chip.isin(*PHYSICAL_CHANNELS)
-            & city.isNotNull()
-            & (F.trim(city) != F.lit(""))
-            & (city_u != F.lit(ONLINE_CITY)),
-            F.lit(PHYSICAL),
-        )
-        .otherwise(F.lit(UNKNOWN))
-    )
+    """Where a sale took place, from channel and city:
+
+    ==================  =========  =============  ===========
+    channel             city text  'online' text  none, blank
+    ==================  =========  =============  ===========
+    online              ONLINE     ONLINE         ONLINE
+    chip, swipe         PHYSICAL   ONLINE         UNKNOWN
+    other, NULL         UNKNOWN    ONLINE         UNKNOWN
+    ==================  =========  =============  ===========
+    """
+    place = F.upper(F.trim(F.coalesce(city, F.lit(""))))
+    online = F.lit(ONLINE_CHANNEL).eqNullSafe(use_chip) | (place == ONLINE_CITY)
+    in_person = use_chip.isin(*PHYSICAL_CHANNELS) & (place != "")
+    return F.when(online, ONLINE).when(in_person, PHYSICAL).otherwise(UNKNOWN)
 
 
 def gender_code(gender: Column) -> Column:

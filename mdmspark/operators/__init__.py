@@ -1,11 +1,9 @@
 """DataFrame -> DataFrame operators: deterministic de-duplication, key
-profiling, quality metrics / gates / quarantine, caching."""
+profiling, quality metrics / gates / quarantine."""
 
-from mdmspark.operators.dedup import dedup, drop_any_duplicates
-from mdmspark.operators.layout import spread
-from mdmspark.operators.persist import persisted, preview
+from mdmspark.operators.dedup import dedup
 from mdmspark.operators.profiling import duplicate_keys, value_conflicts
-from mdmspark.operators.summary import summarize, summary_inputs, summary_metrics, summary_rows
+from mdmspark.operators.summary import offending_keys, quality_metrics, summarize, summary_inputs, summary_metrics, summary_rows
 from mdmspark.operators.quality import (
     ERROR,
     WARN,
@@ -17,7 +15,6 @@ from mdmspark.operators.quality import (
     enforce,
     evaluate,
     missing_columns,
-    quality_metrics,
     quarantine,
     require_columns,
 )
@@ -31,17 +28,14 @@ __all__ = [
     "QualityGateError",
     "Rule",
     "dedup",
-    "drop_any_duplicates",
     "duplicate_keys",
     "enforce",
     "evaluate",
     "missing_columns",
-    "persisted",
-    "preview",
+    "offending_keys",
     "quality_metrics",
     "quarantine",
     "require_columns",
-    "spread",
     "summarize",
     "summary_inputs",
     "summary_metrics",

@@ -10,11 +10,7 @@ Plan shape: partial aggregate per map task -> one hash exchange on the key ->
 final aggregate. The partial step collapses every key to one row per map
 task before the shuffle, so a key holding a third of all rows still ships
 only one row per task: no skewed reducer, no salting needed. ``min`` over a
-struct has a variable-width buffer, so Spark runs it as a sort aggregate;
-``pre_distinct=True`` first drops exact repeats of whole rows with a hash
-aggregate; it saves the map-side sort when rows repeat exactly, but ships
-one row per distinct tuple instead of one per key, so it only pays when
-attributes never vary within a key.
+struct has a variable-width buffer, so Spark runs it as a sort aggregate.
 """
 
 from __future__ import annotations
@@ -54,7 +50,6 @@ def dedup(
     keys: str | Sequence[str],
     order: Sequence[str] | None = None,
     prefer_present: Sequence[str] = (),
-    pre_distinct: bool = False,
 ) -> DataFrame:
     """One row per distinct key (a NULL key is one group).
 
@@ -69,18 +64,6 @@ def dedup(
     # Column API, a fraction of the driver-side calls for wide rows.
     fields, slot = ranking_fields([c for c in columns if c not in keys], order, prefer_present)
 
-    src = df
-    if pre_distinct:
-        # Exact repeats collapse in a hash aggregate. Its row count rides at
-        # the end of the struct: it never decides the pick (tuples are
-        # distinct by then), but it keeps Catalyst from removing this
-        # aggregate as redundant under a duplicate-insensitive min.
-        src = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_dup_rows"))
-        fields.append("'_dup_rows', _dup_rows")
-    best = src.groupBy(*keys).agg(F.expr(f"min(named_struct({', '.join(fields)}))").alias("_best"))
+    best = df.groupBy(*keys).agg(F.expr(f"min(named_struct({', '.join(fields)}))").alias("_best"))
     return best.selectExpr(*[_q(c) if c in keys else f"_best.{slot[c]} AS {_q(c)}" for c in columns])
 
-
-def drop_any_duplicates(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """The non-deterministic form (any row per key), kept for comparison."""
-    return df.dropDuplicates(_as_list(keys))

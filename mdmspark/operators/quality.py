@@ -2,12 +2,10 @@
 
 A rule is data: a name, a predicate that is true on an offending row, and a
 severity. All rules of an entity are counted in **one** aggregation
-(``count_if`` per rule) instead of one ``filter().count()`` job per rule.
-Key rules (duplicates, several values per key, no usable value per key) need
-one ``groupBy`` on the key; row rules ride along in the same aggregation, so
-an entity's whole check is one job with one shuffle whose map side
-pre-aggregates per key. The result is a single-row DataFrame; only that row
-reaches the driver.
+(``count_if`` per rule) instead of one ``filter().count()`` job per rule;
+key rules (duplicates, several values per key, no usable value per key) and
+the counts themselves come from the per-key summary in
+:mod:`mdmspark.operators.summary`.
 """
 
 from __future__ import annotations
@@ -71,48 +69,6 @@ class QualityGateError(RuntimeError):
         super().__init__(f"{entity}: quality gate failed: " + "; ".join(result.errors))
 
 
-def quality_metrics(
-    df: DataFrame,
-    rules: Sequence[Rule] = (),
-    key: Column | None = None,
-    key_rules: Sequence[KeyRule] = (),
-) -> DataFrame:
-    """One row: ``n_rows``, ``n_keys`` (when a key is given) and one count per
-    rule."""
-    if key is None:
-        if key_rules:
-            raise ValueError("key rules need a key")
-        return df.agg(
-            F.count(F.lit(1)).alias(ROWS),
-            *[F.count_if(r.offends()).alias(r.name) for r in rules],
-        )
-
-    per_key = [F.count(F.lit(1)).alias("_n")]
-    per_key += [F.count_if(r.offends()).alias(r.name) for r in rules]
-    for i, kr in enumerate(key_rules):
-        if kr.kind == "conflict":
-            per_key.append(F.count_distinct(kr.value).alias(f"_k{i}"))
-        elif kr.kind == "none_present":
-            per_key.append(F.bool_or(F.coalesce(kr.value, F.lit(False))).alias(f"_k{i}"))
-        elif kr.kind != "duplicate":
-            raise ValueError(f"unknown key rule kind: {kr.kind}")
-    grouped = df.groupBy(key.alias("_key")).agg(*per_key)
-
-    final = [
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias(ROWS),
-        F.count(F.lit(1)).alias(KEYS),
-    ]
-    final += [F.coalesce(F.sum(r.name), F.lit(0)).cast("long").alias(r.name) for r in rules]
-    for i, kr in enumerate(key_rules):
-        if kr.kind == "duplicate":
-            final.append(F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(kr.name))
-        elif kr.kind == "conflict":
-            final.append(F.count_if(F.col(f"_k{i}") > 1).alias(kr.name))
-        else:
-            final.append(F.count_if(~F.col(f"_k{i}")).alias(kr.name))
-    return grouped.agg(*final)
-
-
 def evaluate(metrics: Mapping[str, int], rules: Sequence[Rule | KeyRule]) -> GateResult:
     """Sort fired rules into warnings and errors, in rule order."""
     result = GateResult(metrics=dict(metrics))

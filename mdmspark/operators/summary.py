@@ -8,10 +8,10 @@ value (more than one distinct non-NULL value exactly when ``min < max``) and
 ``bool_or`` of a presence flag. The aggregation is partial per map task,
 then one exchange on the key, so a hot key ships one row per task.
 
-From the summary, the one-row metrics frame (:func:`summary_metrics`, the
-same columns as :func:`mdmspark.operators.quality.quality_metrics`) and the
-de-duplicated rows (:func:`summary_rows`) are cheap projections: a publish
-job scans its source once and shuffles once.
+From the summary, the one-row metrics frame (:func:`summary_metrics`), the
+de-duplicated rows (:func:`summary_rows`) and the keys that break a key rule
+(:func:`offending_keys`) are cheap projections: a publish job scans its source
+once and shuffles once.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def summarize(
     """
     rest = [c for c in columns if c != key]
     fields, _ = ranking_fields(rest, order, prefer_present)
-    struct = f"named_struct({', '.join(fields)})"
+    struct = f"named_struct({', '.join(fields)})" if fields else "named_struct('_v0', 0)"
     aggs = [
         F.expr(f"min(CASE WHEN {KEEP} THEN {struct} END)").alias(BEST),
         F.count(F.lit(1)).alias(COUNT),
@@ -77,22 +77,57 @@ def summarize(
     return wide.groupBy(key).agg(*aggs)
 
 
+def breaks(key_rule: KeyRule, i: int, key: str) -> Column:
+    """Whether a summary row's key breaks the ``i``-th key rule."""
+    if key_rule.kind == "duplicate":
+        return F.col(key).isNotNull() & (F.col(COUNT) > 1)
+    if key_rule.kind == "conflict":
+        return F.coalesce(F.col(f"_lo{i}") < F.col(f"_hi{i}"), F.lit(False))
+    return ~F.col(f"_any{i}")
+
+
+def offending_keys(summary: DataFrame, key: str, key_rules: Sequence[KeyRule], names: Sequence[str]) -> DataFrame:
+    """``(rule, severity, key)`` for every key that breaks one of the key rules named."""
+    tags = [F.when(breaks(kr, i, key), F.struct(F.lit(kr.name).alias("rule"), F.lit(kr.severity).alias("severity")))
+            for i, kr in enumerate(key_rules) if kr.name in names]
+    return summary.select(key, F.explode(F.array_compact(F.array(*tags))).alias("_hit")).select("_hit.rule", "_hit.severity", key)
+
+
 def summary_metrics(summary: DataFrame, key: str, rules: Sequence[Rule] = (),
-                    key_rules: Sequence[KeyRule] = ()) -> DataFrame:
-    """The one-row metrics of the rows behind ``summary``."""
+                    key_rules: Sequence[KeyRule] = (), extra: Sequence[Column] = ()) -> DataFrame:
+    """The one-row metrics of the rows behind ``summary``: ``n_rows``,
+    ``n_keys`` and one count per rule (and ``extra`` aggregates)."""
     out = [
         F.coalesce(F.sum(COUNT), F.lit(0)).cast("long").alias(ROWS),
         F.count(F.lit(1)).alias(KEYS),
     ]
     out += [F.coalesce(F.sum(r.name), F.lit(0)).cast("long").alias(r.name) for r in rules]
-    for i, kr in enumerate(key_rules):
-        if kr.kind == "duplicate":
-            out.append(F.count_if(F.col(key).isNotNull() & (F.col(COUNT) > 1)).alias(kr.name))
-        elif kr.kind == "conflict":
-            out.append(F.count_if(F.col(f"_lo{i}") < F.col(f"_hi{i}")).alias(kr.name))
-        else:
-            out.append(F.count_if(~F.col(f"_any{i}")).alias(kr.name))
-    return summary.agg(*out)
+    out += [F.count_if(breaks(kr, i, key)).alias(kr.name) for i, kr in enumerate(key_rules)]
+    return summary.agg(*out, *extra)
+
+
+def kept_keys() -> Column:
+    """How many keys of a summary have a row to publish."""
+    return F.count_if(F.col(BEST).isNotNull())
+
+
+def quality_metrics(
+    df: DataFrame,
+    rules: Sequence[Rule] = (),
+    key: Column | None = None,
+    key_rules: Sequence[KeyRule] = (),
+) -> DataFrame:
+    """One row: ``n_rows``, ``n_keys`` (when a key is given) and one count per
+    rule. One job; with a key, one shuffle pre-aggregated per key."""
+    if key is None:
+        if key_rules:
+            raise ValueError("key rules need a key")
+        return df.agg(
+            F.count(F.lit(1)).alias(ROWS),
+            *[F.count_if(r.offends()).alias(r.name) for r in rules],
+        )
+    wide = df.select(key.alias("_key"), *summary_inputs(rules, key_rules))
+    return summary_metrics(summarize(wide, "_key", ["_key"], rules, key_rules), "_key", rules, key_rules)
 
 
 def summary_rows(summary: DataFrame, key: str, columns: Sequence[str],

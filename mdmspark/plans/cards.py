@@ -1,7 +1,7 @@
 """Card dimension (E5).
 
 The card number and cvv are published as the source has them (trimmed);
-they are never part of a quarantine or preview.
+they are never part of a quarantine.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mdmspark.functions import chip_flag, clean_money, clean_text, parse_flexible_date, unparseable_date, upper_text
+from mdmspark.functions import chip_flag, clean_money, clean_text, is_present, parse_flexible_date, upper_text
 from mdmspark.operators.quality import ERROR, WARN, KeyRule, Rule
 from mdmspark.plans import schemas
 from mdmspark.plans.entity import Entity
 
+# Fixed column contract of the source table.
 REQUIRED = (
     "id", "client_id", "card_type", "card_brand", "card_number", "expires", "cvv", "has_chip",
     "num_cards_issued", "credit_limit", "acct_open_date", "year_pin_last_changed",
@@ -27,6 +28,14 @@ def source_key() -> Column:
     return F.col("id").try_cast("long")
 
 
+def prepare(src: DataFrame) -> DataFrame:
+    """Both dates parsed once, for the output and for the rules."""
+    return src.withColumns({
+        "_expires": parse_flexible_date(F.col("expires")),
+        "_acct_open_date": parse_flexible_date(F.col("acct_open_date")),
+    })
+
+
 def project(src: DataFrame) -> list[Column]:
     c = F.col
     return [
@@ -35,12 +44,12 @@ def project(src: DataFrame) -> list[Column]:
         upper_text(c("card_type")).alias("card_type"),
         upper_text(c("card_brand")).alias("card_brand"),
         clean_text(c("card_number")).alias("card_number"),
-        parse_flexible_date(c("expires"), end_of_month=True).alias("expires"),
+        F.last_day("_expires").alias("expires"),
         clean_text(c("cvv")).alias("cvv"),
         chip_flag(c("has_chip")).alias("has_chip"),
         c("num_cards_issued").try_cast("int").alias("num_cards_issued"),
         clean_money(c("credit_limit"), src.schema["credit_limit"].dataType).alias("credit_limit"),
-        parse_flexible_date(c("acct_open_date")).alias("acct_open_date"),
+        c("_acct_open_date").alias("acct_open_date"),
         c("year_pin_last_changed").try_cast("int").alias("year_pin_last_changed"),
     ]
 
@@ -49,8 +58,8 @@ def rules() -> list[Rule]:
     c = F.col
     return [
         Rule("card_id_null", source_key().isNull(), ERROR, "card id is NULL"),
-        Rule("expires_unparseable", unparseable_date(c("expires")), WARN, "expires present but not a date"),
-        Rule("acct_open_date_unparseable", unparseable_date(c("acct_open_date")), WARN,
+        Rule("expires_unparseable", is_present(c("expires")) & c("_expires").isNull(), WARN, "expires present but not a date"),
+        Rule("acct_open_date_unparseable", is_present(c("acct_open_date")) & c("_acct_open_date").isNull(), WARN,
              "acct_open_date present but not a date"),
         Rule("client_id_null", c("client_id").try_cast("long").isNull(), WARN, "client id is NULL"),
         Rule("chip_flag_unknown", chip_flag(c("has_chip")).isNull(), WARN, "has_chip is not a yes/no value"),
@@ -67,6 +76,7 @@ ENTITY = Entity(
     required=REQUIRED,
     schema=schemas.CARDS,
     project=project,
+    prepare=prepare,
     key="card_id",
     source_key=source_key,
     rules=rules,

@@ -12,8 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from mdmspark.operators.dedup import dedup
-from mdmspark.operators.quality import KeyRule, Rule, quality_metrics, quarantine, require_columns
-from mdmspark.operators.summary import summarize, summary_inputs, summary_metrics, summary_rows
+from mdmspark.operators.quality import KeyRule, Rule, quarantine, require_columns
+from mdmspark.operators.summary import (
+    kept_keys,
+    offending_keys,
+    quality_metrics,
+    summarize,
+    summary_inputs,
+    summary_metrics,
+    summary_rows,
+)
 
 LOAD_COLUMN = "etl_date"
 
@@ -43,7 +51,8 @@ class Entity:
     """rows that may be published (others are reported by an error rule)"""
     order: tuple[str, ...] | None = None
     prefer_present: tuple[str, ...] = ()
-    pre_distinct: bool = False
+    prepare: Callable[[DataFrame], DataFrame] = lambda src: src
+    """adds columns that several expressions of ``project`` and ``rules`` share"""
     quarantine_columns: tuple[str, ...] = ()
 
     def check_columns(self, source: DataFrame) -> None:
@@ -57,7 +66,7 @@ class Entity:
     def mapped(self, source: DataFrame) -> DataFrame:
         """Projected rows before de-duplication."""
         self.check_columns(source)
-        src = source if self.keep is None else source.where(self.keep())
+        src = self.prepare(source if self.keep is None else source.where(self.keep()))
         return src.select(*self.project(src))
 
     def _finish(self, rows: DataFrame, load_ts: dt.datetime | None) -> DataFrame:
@@ -70,8 +79,7 @@ class Entity:
         the load timestamp, in target column order. Lazy; no job runs."""
         out = self.mapped(source)
         if self.key is not None:
-            out = dedup(out, self.key, order=self.order, prefer_present=self.prefer_present,
-                        pre_distinct=self.pre_distinct)
+            out = dedup(out, self.key, order=self.order, prefer_present=self.prefer_present)
         return self._finish(out, load_ts)
 
     def all_rules(self) -> list[Rule | KeyRule]:
@@ -80,9 +88,10 @@ class Entity:
     def metrics(self, source: DataFrame) -> DataFrame:
         """One-row quality metrics over the source rows (before the keep
         filter and before de-duplication, so NULL keys are counted)."""
+        if self.key is not None:
+            return self.summary_metrics(self.summary(source))
         self.check_columns(source)
-        key = self.source_key() if self.source_key is not None else None
-        return quality_metrics(source, self.rules(), key, self.key_rules())
+        return quality_metrics(self.prepare(source), self.rules())
 
     # -- one scan, one shuffle: the per-key summary ---------------------------
 
@@ -95,13 +104,16 @@ class Entity:
             raise ValueError(f"{self.name} has no key")
         self.check_columns(source)
         keep = self.keep() if self.keep is not None else None
-        wide = source.select(*self.project(source), *summary_inputs(self.rules(), self.key_rules(), keep))
+        src = self.prepare(source)
+        wide = src.select(*self.project(src), *summary_inputs(self.rules(), self.key_rules(), keep))
         return summarize(wide, self.key, self.columns, self.rules(), self.key_rules(), self.order,
                          self.prefer_present)
 
-    def summary_metrics(self, summary: DataFrame) -> DataFrame:
-        """The same one-row frame as :meth:`metrics`, from a summary."""
-        return summary_metrics(summary, self.key, self.rules(), self.key_rules())
+    def summary_metrics(self, summary: DataFrame, kept: str | None = None) -> DataFrame:
+        """The same one-row frame as :meth:`metrics`, from a summary; with
+        ``kept`` also the number of rows to publish, under that name."""
+        extra = [kept_keys().alias(kept)] if kept else []
+        return summary_metrics(summary, self.key, self.rules(), self.key_rules(), extra)
 
     def build_from_summary(self, summary: DataFrame, load_ts: dt.datetime | None = None) -> DataFrame:
         """The same table as :meth:`build`, from a summary (no shuffle)."""
@@ -114,4 +126,12 @@ class Entity:
         the given ones)."""
         self.check_columns(source)
         cols = list(self.quarantine_columns or self.required) + list(extra_columns)
-        return quarantine(source, self.rules() if rules is None else rules, cols)
+        return quarantine(self.prepare(source), self.rules() if rules is None else rules, cols)
+
+    def key_quarantine(self, source: DataFrame, summary: DataFrame, names: Sequence[str]) -> DataFrame:
+        """Every source row of a key that breaks one of the key rules named,
+        once per rule, in the columns of :meth:`quarantine`."""
+        keys = offending_keys(summary, self.key, self.key_rules(), names).withColumnRenamed(self.key, "_bad")
+        rows = source.select(self.source_key().alias("_key"), *(self.quarantine_columns or self.required))
+        hits = rows.join(keys, F.col("_key").eqNullSafe(F.col("_bad")))
+        return hits.select("rule", "severity", *(self.quarantine_columns or self.required))

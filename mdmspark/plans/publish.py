@@ -6,8 +6,8 @@ aggregation, partial per map task). The summary is kept; the metrics job
 reads it, the gate decides, and the write projects the kept rows from it
 while observing the written count. Error rules are decided **before** the
 write, so a failed gate leaves the previous snapshot of that date untouched;
-offending rows go to the quarantine (an extra scan) only for rules that
-fired. The fact mapping has no key: a footer-only count, then a map-only
+offending rows go to the quarantine (an extra scan, and a join with the
+offending keys where a key rule fired). The fact mapping has no key: a footer-only count, then a map-only
 write.
 """
 
@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from mdmspark.operators.layout import spread
 from mdmspark.operators.quality import KEYS, ROWS, enforce
 from mdmspark.plans import cards, mcc_codes, merchant, sub_transactions, users
 from mdmspark.plans.entity import Entity
@@ -32,13 +31,11 @@ ENTITIES: dict[str, Entity] = {
 }
 
 
-# Target rows per output file of a dimension snapshot (about 50-150 MB of
-# Parquet for these row widths).
-ROWS_PER_FILE = 2_000_000
+_KEPT = "_kept"
 
 
 class PublishError(RuntimeError):
-    """The written row count differs from what the metrics predicted."""
+    """The rows to publish, or the rows written, are not one per key."""
 
 
 @dataclass
@@ -60,51 +57,47 @@ def publish_entity(
     files: int | None = None,
     persist_source: bool = False,
     quarantine_root: str | None = None,
-    min_partitions: int | None = None,
-    rows_per_file: int = ROWS_PER_FILE,
 ) -> PublishReport:
     """Check ``source``, and when no error rule fires write the entity's
     ``snapshot_date`` snapshot under ``target_root``.
 
-    Raises :class:`mdmspark.operators.quality.QualityGateError` (nothing
-    written) or :class:`PublishError` (written count unexpected).
-    With ``quarantine_root`` the offending rows of each rule that fired are
-    written there (same date), before the gate decides. ``min_partitions`` spreads a
-    source that arrives in fewer splits (see
-    :func:`mdmspark.operators.layout.spread`).
+    Raises :class:`mdmspark.operators.quality.QualityGateError` or
+    :class:`PublishError` (a key without a row to publish) before anything is
+    written. With ``quarantine_root`` the offending rows of every rule that
+    fired, key rules included, replace that date's quarantine (an empty one if
+    none fired), before the gate decides.
     """
     d = parse_snapshot_date(snapshot_date)
     entity.check_columns(source)
-    src = spread(source.select(*entity.required), min_partitions)
+    src = source.select(*entity.required)
     if persist_source:
         src = src.persist(StorageLevel.MEMORY_AND_DISK)
     summary = None
     try:
         if entity.key is None:
-            # a plain row count: read it from the unspread source (Parquet
-            # footers), not through the spreading shuffle
-            metrics = entity.metrics(source.select(*entity.required)).first().asDict()
+            # a plain row count, read from Parquet footers
+            metrics = entity.metrics(src).first().asDict()
         else:
             # one scan and one shuffle: the per-key summary serves the
             # metrics job and the write, kept in between
             summary = entity.summary(src).persist(StorageLevel.MEMORY_AND_DISK)
-            metrics = entity.summary_metrics(summary).first().asDict()
-        fired = [r for r in entity.rules() if metrics.get(r.name, 0) > 0]
-        if quarantine_root is not None and fired:
-            write_snapshot(entity.quarantine(src, fired), quarantine_root, d)
+            metrics = entity.summary_metrics(summary, _KEPT).first().asDict()
+        kept = metrics.pop(_KEPT, metrics[ROWS])
+        if quarantine_root is not None:
+            write_snapshot(_offenders(entity, src, summary, metrics), quarantine_root, d)
         result = enforce(entity.name, metrics, entity.all_rules())
+        expected = metrics[KEYS] if entity.key is not None else metrics[ROWS]
+        if kept != expected:
+            raise PublishError(f"{entity.name}: expected {expected} rows, have {kept}")
 
         if summary is None:
             out = entity.build(src, load_ts)
         else:
             out = entity.build_from_summary(summary, load_ts)
             if files is None:
-                # the kept summary has one partition per shuffle partition
-                # (AQE does not coalesce a cached plan); merge them, without a
-                # shuffle, into files sized by the key count the metrics gave
-                out = out.coalesce(max(1, -(-metrics[KEYS] // rows_per_file)))
+                # Spark sizes the files by bytes; one shuffle of the kept rows
+                out = out.hint("rebalance")
         written = write_snapshot(out, target_root, d, files=files)
-        expected = metrics[KEYS] if entity.key is not None else metrics[ROWS]
         if written != expected:
             raise PublishError(f"{entity.name}: expected {expected} rows, wrote {written}")
         return PublishReport(entity.name, d, snapshot_path(target_root, d), metrics, result.warnings, written)
@@ -115,6 +108,14 @@ def publish_entity(
             src.unpersist()
 
 
+def _offenders(entity: Entity, src: DataFrame, summary: DataFrame | None, metrics: dict) -> DataFrame:
+    """The offending rows of every rule that fired, one per row and rule."""
+    fired = [r for r in entity.rules() if metrics.get(r.name, 0) > 0]
+    out = entity.quarantine(src, fired)
+    names = [k.name for k in entity.key_rules() if metrics.get(k.name, 0) > 0]
+    return out.unionByName(entity.key_quarantine(src, summary, names)) if names else out
+
+
 def process_snapshot(
     spark: SparkSession,
     entity_name: str,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mdmspark.sinks.files import write_snapshot
 from mdmspark.sources.files import parse_snapshot_date, read_snapshot, snapshot_path
-from mdmspark.sources.jdbc import SOURCE_TABLES, JdbcPartitioning, extract_table, partitioning_for
+from mdmspark.sources.jdbc import PARTITION_COLUMNS, SOURCE_TABLES, JdbcPartitioning, extract_table, partitioning_for
 
 
 class ReconcileError(RuntimeError):
@@ -59,14 +59,24 @@ def stage_from_jdbc(
     snapshot_date: str | dt.date,
     partitioning: JdbcPartitioning | None = None,
     partition_column: str | None = None,
-    num_partitions: int = 0,
+    num_partitions: int | None = None,
+    single_connection: bool = False,
+    source_table: str | None = None,
 ) -> StageReport:
-    """Extract one of the source tables over JDBC and stage it at
-    ``stg_root/<table>``. Give ``partitioning``, or ``partition_column`` and
-    ``num_partitions`` to take the ranges from the column's current bounds;
-    with neither the table is read through a single connection."""
+    """Extract one of the source tables over JDBC (``source_table``: its name
+    in the database) and stage it at ``stg_root/<table>``.
+
+    Unless ``partitioning`` is given, ranges are taken from the current bounds
+    of ``partition_column`` (default: the table's id), one connection each,
+    ``num_partitions`` in all (default: the session's default parallelism).
+    Only with ``single_connection`` does everything pass through one."""
     parse_snapshot_date(snapshot_date)
-    if partitioning is None and partition_column and num_partitions > 1:
-        partitioning = partitioning_for(spark, options, SOURCE_TABLES[table], partition_column, num_partitions)
-    source = extract_table(spark, options, table, partitioning=partitioning)
+    tables = {**SOURCE_TABLES, **({table: source_table} if source_table else {})}
+    column = partition_column or PARTITION_COLUMNS.get(table)
+    if single_connection:
+        partitioning = None
+    elif partitioning is None and column:
+        n = num_partitions or spark.sparkContext.defaultParallelism
+        partitioning = partitioning_for(spark, options, tables[table], column, n)
+    source = extract_table(spark, options, table, partitioning=partitioning, tables=tables)
     return stage_table(spark, source, f"{stg_root.rstrip('/')}/{table}", snapshot_date, table=table)

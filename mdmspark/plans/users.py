@@ -13,6 +13,7 @@ from mdmspark.operators.quality import ERROR, WARN, KeyRule, Rule
 from mdmspark.plans import schemas
 from mdmspark.plans.entity import Entity
 
+# Fixed column contract of the source table.
 REQUIRED = (
     "id", "current_age", "birth_year", "birth_month", "gender", "address", "latitude", "longitude",
     "per_capita_income", "yearly_income", "total_debt", "credit_score", "num_credit_cards",

@@ -2,8 +2,8 @@
 
 Intermediate data that must outlive an executor goes to the cluster's shared
 checkpoint folder (``spark.checkpoint.dir``), never to a machine-local
-temporary folder. Only when the setting is absent (local tests) is a local
-folder created and registered.
+temporary folder. Only when the setting is absent and the master is local is a
+local folder created and registered; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="mdmspark-checkpoint-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

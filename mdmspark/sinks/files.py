@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from mdmspark.sources.files import SNAPSHOT_COLUMN, parse_snapshot_date, snapshot_path
+from mdmspark.sources.files import CSV_NULL, SNAPSHOT_COLUMN, parse_snapshot_date, snapshot_path
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
@@ -53,10 +53,19 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     """CSV write with a header line (K3), so a read with ``header=True`` does
     not lose the first row. Surrounding spaces are kept; NULL is an empty
     field and the empty string is written quoted (""), so a read by
-    :func:`mdmspark.sources.files.read_csv` tells them apart."""
+    :func:`mdmspark.sources.files.read_csv` tells them apart. Quotes are
+    doubled (a backslash is an ordinary character) and newlines stay inside
+    their quoted field. The one text that cannot be written is a lone U+0000,
+    the reader's NULL marker: it raises."""
+    marked = {
+        f.name: F.when(F.col(f"`{f.name}`") == CSV_NULL, F.raise_error(F.lit(f"column {f.name} holds a lone U+0000"))).otherwise(F.col(f"`{f.name}`"))
+        for f in df.schema.fields
+        if f.dataType.simpleString() == "string"
+    }
     (
-        shape_files(df, files).write.mode(save_mode(mode))
+        shape_files(df.withColumns(marked) if marked else df, files).write.mode(save_mode(mode))
         .option("header", header)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -77,8 +86,10 @@ def write_snapshot(df: DataFrame, root: str, snapshot_date: str | dt.date, files
     result is written as an empty snapshot of the date explicitly."""
     d = parse_snapshot_date(snapshot_date)
     obs = Observation(f"snapshot_{uuid.uuid4().hex}")
-    out = shape_files(df.withColumn(SNAPSHOT_COLUMN, F.lit(d)), files)
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    # Observed before the constant partition column is added: Catalyst then sees
+    # that the column is constant and the writer asks for no sort by it.
+    out = shape_files(df.drop(SNAPSHOT_COLUMN), files).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = out.withColumn(SNAPSHOT_COLUMN, F.lit(d))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT_COLUMN)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)

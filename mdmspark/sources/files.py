@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 from mdmspark.functions.constants import SNAPSHOT_DATE_PATTERN
 
 SNAPSHOT_COLUMN = "snapshot_date"
+# What the CSV reader puts for an unquoted empty field; never a written value.
+CSV_NULL = "\u0000"
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -19,21 +21,25 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header line. With ``schema`` (S8) values are read as
     declared; without (S7) types are inferred, which costs an extra pass and
     turns codes such as '0742' into 742, so prefer a schema. Surrounding
     spaces are kept, and an unquoted empty field is NULL while a quoted one
     ("") is the empty string, as written by
-    :func:`mdmspark.sinks.files.write_csv`."""
+    :func:`mdmspark.sinks.files.write_csv`. Records may span lines, so a file
+    is one split: write large tables as many files. ``multi_line=False`` reads
+    files without newlines in values in splits."""
     reader = (
         spark.read.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         # The parser hands back this marker for an unquoted empty field and ""
         # for a quoted one; only the marker is read as NULL.
-        .option("nullValue", "\u0000")
+        .option("nullValue", CSV_NULL)
         .option("emptyValue", "")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
     )
     if schema is None:
         reader = reader.option("inferSchema", True)

@@ -21,10 +21,11 @@ def staged_root(spark):
 
 def test_process_ok(spark, staged_root, capsys):
     rc = main(["process", "--entity", "mdm_users", "--etl-date", "20240101", "--stg-root", f"{staged_root}/stg",
-               "--prc-root", f"{staged_root}/prc"], spark=spark)
+               "--prc-root", f"{staged_root}/prc", "--preview", "5"], spark=spark)
     assert rc == 0
-    assert "published mdm_users" in capsys.readouterr().out
-    assert read_snapshot(spark, f"{staged_root}/prc/mdm_users", "20240101").count() == 150
+    out = capsys.readouterr().out
+    assert "published mdm_users" in out and out.count("Row(") == 5
+    assert read_snapshot(spark, f"{staged_root}/prc/mdm_users", "20240101").count() == 143
 
 
 def test_process_blocked_by_gate(spark, staged_root, capsys):

@@ -42,7 +42,7 @@ def test_invariant_under_permutation_and_partitioning(spark):
     )
     a = rows(dedup(base, "k"))
     b = rows(dedup(base.orderBy(F.rand(7)).repartition(11), "k"))
-    c = rows(dedup(base.repartition(3, "v"), "k", pre_distinct=True))
+    c = rows(dedup(base.repartition(3, "v"), "k"))
     assert a == b == c
     assert len(a) == 97
 

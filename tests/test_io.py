@@ -110,14 +110,14 @@ def test_empty_result_replaces_the_date(spark, tmp_root):
     assert read_snapshot(spark, root, "20240102").count() == 2
 
 
-def test_persisted_and_preview(spark):
-    from pyspark import StorageLevel
+def test_csv_keeps_newlines_quotes_and_backslashes(spark, tmp_root):
+    rows = [(1, "a\nb"), (2, "\r\n"), (3, 'say "x", "y"'), (4, "back\\"), (5, '\\"'), (6, ""), (7, None), (8, " , ")]
+    df = spark.createDataFrame(rows, "id int, s string")
+    write_csv(df, f"{tmp_root}/q", files=2)
+    assert sorted(map(tuple, read_csv(spark, f"{tmp_root}/q", schema=df.schema).collect()), key=repr) == sorted(rows, key=repr)
 
-    from mdmspark.operators import persisted, preview
 
-    df = spark.range(100)
-    with persisted(df) as cached:
-        assert cached.count() == 100
-        assert cached.storageLevel == StorageLevel.MEMORY_AND_DISK
-    assert df.storageLevel == StorageLevel.NONE
-    assert preview(df, 5).count() == 5
+def test_csv_refuses_its_null_marker(spark, tmp_root):
+    df = spark.createDataFrame([(1, "\u0000")], "id int, s string")
+    with pytest.raises(Exception, match="U\\+0000"):
+        write_csv(df, f"{tmp_root}/z")

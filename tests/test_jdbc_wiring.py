@@ -40,8 +40,25 @@ def test_stage_from_jdbc(spark, monkeypatch, tmp_root):
     monkeypatch.setattr(staging, "extract_table", fake_extract)
     monkeypatch.setattr(staging, "partitioning_for",
                         lambda s, o, table, column, n: JdbcPartitioning(column, 0, 14000, n))
-    rep = staging.stage_from_jdbc(spark, OPTIONS, "cards", f"{tmp_root}/stg", "20240101",
-                                  partition_column="id", num_partitions=4)
+    rep = staging.stage_from_jdbc(spark, OPTIONS, "cards", f"{tmp_root}/stg", "20240101", num_partitions=4)
     assert seen["args"] == ("cards", JdbcPartitioning("id", 0, 14000, 4))
     assert rep.source_rows == rep.snapshot_rows == fixture(spark, SF001, "cards_src").count()
     assert read_snapshot(spark, f"{tmp_root}/stg/cards", "20240101").count() == rep.snapshot_rows
+
+
+def test_one_connection_only_on_request(spark, monkeypatch, tmp_root):
+    seen = []
+    monkeypatch.setattr(staging, "extract_table", lambda s, o, name, partitioning=None, tables=None: (
+        seen.append((tables[name], partitioning)), s.range(3))[1])
+    monkeypatch.setattr(staging, "partitioning_for", lambda s, o, table, column, n: JdbcPartitioning(column, 0, 9, n))
+    cores = spark.sparkContext.defaultParallelism
+    for table, extra in (("transactions", {}), ("users", {"source_table": "crm.people"}), ("cards", {"single_connection": True}), ("mcc_codes", {})):
+        staging.stage_from_jdbc(spark, OPTIONS, table, f"{tmp_root}/stg", "20240101", **extra)
+    assert seen == [("banking.transactions", JdbcPartitioning("id", 0, 9, cores)), ("crm.people", JdbcPartitioning("id", 0, 9, cores)),
+                    ("banking.cards", None), ("banking.mcc_codes", None)]
+
+
+def test_schema_object(spark):
+    schema = spark.createDataFrame([], "id bigint, amount decimal(18,2), note string").schema
+    got = jdbc.jdbc_options(OPTIONS, table="t", custom_schema=schema)
+    assert got["customSchema"] == "`id` bigint, `amount` decimal(18,2), `note` string"

@@ -107,7 +107,7 @@ def test_publish_options_do_not_change_result(spark, staged):
     src = read_snapshot(spark, f"{root}/stg/users", "20240101")
     a = publish_entity(e, src, f"{root}/opt/a", "20240101", load_ts=LOAD)
     b = publish_entity(e, src, f"{root}/opt/b", "20240101", load_ts=LOAD, persist_source=True,
-                       min_partitions=5, files=2)
+                       files=2)
     assert a.metrics == b.metrics and a.written_rows == b.written_rows
     ra = sorted(map(tuple, read_snapshot(spark, f"{root}/opt/a", "20240101").collect()), key=repr)
     rb = sorted(map(tuple, read_snapshot(spark, f"{root}/opt/b", "20240101").collect()), key=repr)
@@ -147,16 +147,53 @@ def test_empty_source_stages_and_publishes_empty(spark, staged):
     assert read_snapshot(spark, target, "20240101").count() == 0
 
 
-def test_dimension_files_sized_by_key_count(spark, staged):
-    import glob
+def test_a_key_without_a_row_blocks_before_the_write(spark, staged):
+    """The kept rows are counted with the metrics, so a wrong snapshot never
+    replaces a good one."""
+    import dataclasses
+
+    from mdmspark.plans import PublishError
+    from mdmspark.plans import mcc_codes
 
     root, _ = staged
-    src = read_snapshot(spark, f"{root}/stg/cards", "20240101")
-    e = ENTITIES["mdm_cards"]
-    one = publish_entity(e, src, f"{root}/files/a", "20240101", load_ts=LOAD)
-    many = publish_entity(e, src, f"{root}/files/b", "20240101", load_ts=LOAD, rows_per_file=300)
-    files_a = glob.glob(f"{root}/files/a/snapshot_date=2024-01-01/*.parquet")
-    files_b = glob.glob(f"{root}/files/b/snapshot_date=2024-01-01/*.parquet")
-    assert len(files_a) == 1
-    assert 1 < len(files_b) <= -(-many.written_rows // 300)
-    assert one.written_rows == many.written_rows
+    target = f"{root}/opt/unkept"
+    good = spark.createDataFrame([("1", "a"), ("2", "b")], "mcc_id string, description string")
+    publish_entity(mcc_codes.ENTITY, good, target, "20240101", load_ts=LOAD)
+    lax = dataclasses.replace(mcc_codes.ENTITY, rules=lambda: [])
+    with pytest.raises(PublishError):
+        publish_entity(lax, good.union(spark.createDataFrame([("x", "c")], good.schema)), target, "20240101", load_ts=LOAD)
+    assert read_snapshot(spark, target, "20240101").count() == 2
+
+
+def test_a_short_read_back_fails_the_staging(spark, tmp_root, monkeypatch):
+    import mdmspark.plans.staging as staging
+    from mdmspark.plans import ReconcileError
+
+    real = staging.read_snapshot
+    monkeypatch.setattr(staging, "read_snapshot", lambda *a, **k: real(*a, **k).limit(1))
+    with pytest.raises(ReconcileError):
+        stage_table(spark, spark.range(5), f"{tmp_root}/short", "20240101")
+
+
+def test_quarantine_is_that_of_the_last_run(spark, tmp_root):
+    e = ENTITIES["mdm_mcc_codes"]
+    schema = "mcc_id string, description string"
+    bad = spark.createDataFrame([("9", "a"), ("9", "b"), ("abc", "c"), ("7", None)], schema)
+    with pytest.raises(QualityGateError):
+        publish_entity(e, bad, f"{tmp_root}/t", "20240101", load_ts=LOAD, quarantine_root=f"{tmp_root}/q")
+    rows = sorted((r.rule, r.mcc_id) for r in read_snapshot(spark, f"{tmp_root}/q", "20240101").collect())
+    assert rows == [("description_conflict", "9"), ("description_conflict", "9"), ("description_missing", "7"), ("mcc_invalid", "abc")]
+    clean = spark.createDataFrame([("9", "a")], schema)
+    publish_entity(e, clean, f"{tmp_root}/t", "20240101", load_ts=LOAD, quarantine_root=f"{tmp_root}/q")
+    assert read_snapshot(spark, f"{tmp_root}/q", "20240101").count() == 0
+
+
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace as Fake
+
+    from mdmspark.session import shared_dir
+
+    unset = Fake(get=lambda *a: None)
+    sc = Fake(getConf=lambda: unset, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        shared_dir(Fake(sparkContext=sc, conf=unset))

@@ -33,5 +33,20 @@ def test_projections_run_in_whole_stage_codegen(spark, name):
     df = entry_module.QUERIES[name](spark, SF001)
     df.collect()  # AQE shows the final plan, with its codegen stages, once run
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "isFinalPlan=true" in plan
+    assert "AdaptiveSparkPlan" not in plan or "isFinalPlan=true" in plan
     assert re.search(r"\*\(\d+\) Project", plan), plan
+
+
+def test_one_exchange_for_the_metrics_of_a_key(spark):
+    for name in ("dq_merchant", "dq_mcc", "merchant_key_groups"):
+        plan = entry_module.QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, (name, plan)
+
+
+def test_card_dates_are_parsed_once(spark):
+    from mdmspark.fixtures import fixture
+    from mdmspark.plans import cards
+
+    src = fixture(spark, SF001, "cards_src")
+    tests = [d._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") for d in (cards.ENTITY.build(src), cards.ENTITY.summary(src))]
+    assert tests[0] == tests[1] > 0

@@ -113,6 +113,25 @@ def test_merchant_rules(spark):
     assert m == {"n_rows": 3, "n_keys": 1, "merchant_key_null": 0, "merchant_key_collision": 0}
 
 
+def test_merchant_key_rules_fire(spark):
+    """A constant key collides, a NULL one is counted: neither can come from
+    the key formula, which is total and keeps its parts apart."""
+    import dataclasses
+
+    df = spark.createDataFrame([(i, "Paris", None, None, "Chip Transaction") for i in range(3)],
+                               "merchant_id bigint, merchant_city string, merchant_state string, zip string, use_chip string")
+
+    def broken(key):
+        return dataclasses.replace(
+            merchant.ENTITY, source_key=lambda: key, rules=lambda: [Rule("merchant_key_null", key.isNull(), ERROR)],
+            project=lambda src: [key.alias("merchant_key"), *merchant.project(src)[1:]])
+
+    assert broken(F.lit(1)).metrics(df).first()["merchant_key_collision"] == 1
+    assert broken(F.lit(None).cast("long")).metrics(df).first()["merchant_key_null"] == 3
+    nulls = df.select(*[F.lit(None).cast(t).alias(c) for c, t in df.dtypes])
+    assert merchant.ENTITY.metrics(nulls).first()["merchant_key_null"] == 0
+
+
 def test_mcc_rules(spark):
     df = spark.createDataFrame([("742", " Food "), ("0742", "Food"), ("5411", None), ("12345", "x"),
                                 ("9", "a"), ("9", "b"), ("1", "x" * 1001)], "mcc_id string, description string")
