@@ -46,7 +46,9 @@ def op4_ppm(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_line_cleaning(spark: SparkSession, sf: str) -> DataFrame:
-    return line_cleaning.clean_lines(read_table(spark, sf, "documents"))
+    judged = line_cleaning.clean_lines(read_table(spark, sf, "documents"))
+    rest = [c for c in judged.columns if c not in ("kept", "n_bad_lines", "n_lost_words")]
+    return judged.select(*rest, "kept", "n_bad_lines", "n_lost_words")
 
 
 def op6_url_rules(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,0 +1,91 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from conftest import SF01
+from helpers import awkward, empty
+from mdmspark.llm import pii
+from mdmspark.llm.queries import op9_pii
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits))]
+    return sum(doubled) % 10 == 0
+
+
+def brute(text):
+    out = []
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if (kind == "ip" and any(int(p) > 255 for p in m.group().split("."))
+                    or kind == "card" and not (16 <= len(digits) <= 19 and luhn(digits)) or kind == "phone" and not 8 <= len(digits) <= 15):
+                continue
+            out.append((kind, *m.span()))
+    return out
+
+
+PARTS = st.sampled_from(["a", "B.c", "@", ".", "-", "+", " ", "1", "25", "256", "0.0.0.0", "4111 1111 1111 1111", "x@y.z", "é", "İ", "(", ")", "١", "token ", "\n", "@@", "https://", "+1 555-123 4567"])
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(PARTS, max_size=25).map("".join))
+def test_base_spans_equal_the_patterns(text):
+    spans = pii.find_spans(text)
+    assert [s for s in spans if s[0] in pii.BASE] == brute(text)
+    assert spans == sorted(spans, key=lambda s: (pii.KINDS.index(s[0]), s[1]))
+
+
+def found(text):
+    return [(k, text[s:e]) for k, s, e in pii.find_spans(text) if k not in pii.BASE]
+
+
+def test_added_spans():
+    assert found('api_key = "a1b2c3d4e5".') == [("account", "a1b2c3d4e5")]
+    assert found("token: abcdef0123456789 end") == [("account", "abcdef0123456789")]
+    assert found("a tokenizer 123456 and a token of esteem") == []
+    assert found("IBAN: DE89 3704 0044 0532 0130 00 is") == [("account", "DE89 3704 0044 0532 0130 00")]
+    assert found("IBAN: DE88 3704 0044 0532 0130 00 is") == []
+    assert found("see https://bob:pw@host.example/x and https://host.example/x") == [("address", "https://bob:pw@host.example")]
+    assert found("at http://10.0.0.1:80/a, tel:+49-30-1234567.") == [("address", "http://10.0.0.1:80"), ("address", "tel:+49-30-1234567")]
+    assert found("ask @some_one or a@b, not a@b.cd") == [("account", "@some_one")]
+
+
+def test_redaction():
+    assert pii.redact("write to a@b.org or +1 (555) 123-4567.") == "write to <EMAIL> or <PHONE>."
+    assert pii.redact("ftp://me@h.example/ x") == "<ADDRESS>/ x"
+    assert pii.redact(None) is None and pii.redact("clean") == "clean"
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 300_000, "1." * 150_000, "a" * 200_000 + "@", "@" * 200_000, "1 " * 150_000, "+1 " * 100_000, "token " * 50_000, "a@b." * 60_000):
+        pii.find_spans(text)
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()}
+    rows = op9_pii(spark, SF01).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = brute(texts[r.doc_id])
+        assert tuple(r)[1:5] == tuple(sum(k == x for x, *_ in base) for k in pii.BASE)
+        assert r.base_sha256 == hashlib.sha256(pii.span_text(base).encode()).hexdigest()
+        assert r.spans == pii.span_text(pii.find_spans(texts[r.doc_id]))
+
+
+def test_awkward_rows(spark):
+    rows = pii.find_pii(awkward(spark)).collect()
+    assert len(rows) == 11 and all(r.found == [] for r in rows if r.doc_id in (1, 2, 3, 4, 5, 6, 7))
+    assert sorted(x.kind for r in rows if r.doc_id == 8 for x in r.found) == ["card", "email", "ip", "phone"]
+    clean = pii.redact_pii(awkward(spark))
+    assert clean.columns == awkward(spark).columns and clean.where("text is null").count() == 2
+    assert pii.find_pii(empty(spark)).count() == 0 and pii.redact_pii(empty(spark)).count() == 0
