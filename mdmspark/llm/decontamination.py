@@ -9,8 +9,9 @@ tokens are covered to at least ``threshold`` contaminates the document.
 
 Tokens are runs of letters and digits in lower case. The benchmark is the
 query side: it is held by every task in blocks of at most ``BLOCK_BYTES`` of
-text, one pass over the documents a block, so its size bounds memory at any
-number of items; documents are neither shuffled nor sampled.
+text, one pass over the documents a block (each pass is written before the
+next block is made), so its size bounds memory at any number of items;
+documents are neither shuffled nor sampled.
 
 Defined results: null or empty texts, on either side, match nothing, nor do
 items shorter than a seed (unless the whole item is: then all its tokens make
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from mdmspark.llm.common import map_arrow, slices
+from mdmspark.llm.common import map_arrow, materialize, slices
 
 SEED, THRESHOLD = 5, 0.5
 # Benchmark text that a task holds at a time.
@@ -157,14 +158,14 @@ class Block:
 
 
 def _blocks(benchmark: DataFrame, seed: int, block_bytes: int) -> Iterator:
-    """The benchmark as broadcast blocks; the driver holds one at a time."""
+    """The benchmark as broadcast blocks, and whether there is only one; the driver holds one at a time."""
     items = benchmark.select("item_id", "text")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, math.ceil(size / block_bytes))
     dealt = items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
     for k in range(n):
         part = [(r.item_id, r.text) for r in dealt.where(F.col("_block") == k).collect()]
-        yield benchmark.sparkSession.sparkContext.broadcast(Block(part, seed))
+        yield benchmark.sparkSession.sparkContext.broadcast(Block(part, seed)), n == 1
 
 
 def overlaps(block: Block, text: str | None, seed: int, threshold: float) -> Iterator[tuple]:
@@ -206,13 +207,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, seed: int = SEED, thr
 
         return run
 
-    parts = [map_arrow(docs.select("doc_id", "text"), search(block), schema) for block in _blocks(benchmark, seed, block_bytes)]
+    parts = []
+    for block, only in _blocks(benchmark, seed, block_bytes):
+        found = map_arrow(docs.select("doc_id", "text"), search(block), schema)
+        parts.append(found if only else materialize(found, "tiles"))
+        if not only:
+            block.destroy()
     return reduce(DataFrame.unionByName, parts)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, seed: int = SEED, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with all their columns.
-    Each block filters what the block before left: narrow, no shuffle."""
+    Each block filters what the block before left: narrow, no shuffle (and, for a
+    benchmark of one block, no write in between)."""
 
     def search(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +229,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, seed: int = SEED
 
         return run
 
-    for block in _blocks(benchmark, seed, block_bytes):
+    for block, only in _blocks(benchmark, seed, block_bytes):
         docs = map_arrow(docs, search(block), docs.schema)
+        if not only:
+            docs = materialize(docs, "untainted")
+            block.destroy()
     return docs

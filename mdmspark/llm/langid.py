@@ -11,7 +11,7 @@ chosen. A small lead over the next codeword flags ambiguity.
   mean share in the languages with that bit on and in those with it off.
   Shares come from counts over all training rows, summed map-side and merged by
   a shuffle; the model has languages x ``BUCKETS`` numbers, however much text
-  there is. The margin is the mean weight over the text's n-grams, scaled per
+  there is (the number of different ``lang`` values is taken to be small). The margin is the mean weight over the text's n-grams, scaled per
   bit to the training margins, so short and long texts compare.
 
 Only texts and languages of training rows are learnt from. Defined results: a
@@ -110,12 +110,13 @@ def count_features(train: DataFrame) -> DataFrame:
 def fit(train: DataFrame) -> Model:
     """The model of ``train`` (text, lang); rows without a text or language teach nothing."""
     usable = train.where("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang"))
-    rows = count_features(usable).collect()  # languages x buckets at most
-    languages = sorted({r.lang for r in rows})
-    place = {x: i for i, x in enumerate(languages)}
+    rows = count_features(usable).toArrow()  # languages x buckets at most
+    named = rows.column("lang").combine_chunks().dictionary_encode() if rows.num_rows else pa.array([], pa.string()).dictionary_encode()
+    languages = sorted(named.dictionary.to_pylist())
+    place = np.array([languages.index(x) for x in named.dictionary.to_pylist()], np.int64)
     counts = np.zeros((len(languages), BUCKETS))
-    for r in rows:
-        counts[place[r.lang], r.bucket] = r.n
+    if languages:
+        counts[place[named.indices.to_numpy()], rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
     if not languages:
         return Model([], np.zeros((0, 0)), np.zeros((BUCKETS, 0)), np.ones(0), np.ones(0))
     share = (counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * BUCKETS)
