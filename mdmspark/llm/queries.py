@@ -200,7 +200,7 @@ tokens as (
 labelled as (
   select row_number() over () as lid, tokens, quality = 0 or toxic = 1 as bad from tokens join labels on doc_id = page_id
   where len(tokens) > 0 and (quality = 0 or toxic = 1) is not null),
-least as (select ceil(greatest({url_rules.MIN_SUPPORT}, {url_rules.MIN_PAGES}.0 / count(*)) * count(*)) as pages from labelled),
+least as (select greatest(ceil({url_rules.MIN_SUPPORT} * count(*)), {url_rules.MIN_PAGES}) as pages from labelled),
 combos as (
   select list_filter(tokens, lambda x, i: (bits >> (i - 1)) & 1 = 1) as tokens, bad
   from (select tokens, bad, unnest(generate_series(1, (1 << len(tokens)) - 1)) as bits from labelled)),

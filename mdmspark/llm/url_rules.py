@@ -19,6 +19,8 @@ without labels no rule is mined; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,11 +72,11 @@ def mine_rules(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_pag
     conditional trees; only frequent single items reach the driver."""
     baskets = labelled.where(F.size("tokens") > 0)
     n = baskets.count()
-    if not n:
+    least = max(math.ceil(min_support * n), min_pages)
+    if n < least:
         return labelled.select("tokens", F.lit(0).cast("long").alias("n_fit"), F.lit(0).cast("long").alias("n_block")).limit(0)
-    support = min(1.0, max(min_support, min_pages / n))
     items = baskets.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=1.0).fit(items).freqItemsets
+    found = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=1.0).fit(items).freqItemsets
     blocked = F.array_contains("items", BLOCK)
     both = found.where(blocked).select(F.array_sort(F.array_remove("items", BLOCK)).alias("tokens"), F.col("freq").alias("n_block"))
     fit = found.where(~blocked).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("n_fit"))
