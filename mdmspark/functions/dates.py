@@ -18,6 +18,7 @@ from mdmspark.functions.constants import (
     SLASH_DATE,
     YEAR_MONTH,
 )
+from mdmspark.functions.text import is_blank
 
 
 def _date_of(y: Column, m: Column, d: Column) -> Column:
@@ -68,7 +69,7 @@ def parse_flexible_date(c: Column, end_of_month: bool = False) -> Column:
 
 def is_present(c: Column) -> Column:
     """Raw value is neither NULL nor blank (spaces only)."""
-    return c.isNotNull() & (F.trim(c.cast("string")) != "")
+    return ~is_blank(c)
 
 
 def unparseable_date(c: Column) -> Column:
