@@ -34,6 +34,25 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/mdmspark-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/mdmspark-scratch/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this application made so far, on whatever
+    store they are; how many there were. Call it once no result that reads
+    them is needed any more: until then they are what lets a lost executor's
+    work be read again."""
+    sc = spark.sparkContext
+    paths = _SCRATCH.pop(sc.applicationId, [])
+    found = 0
+    for path in paths:
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        found += bool(at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True))
+    return found

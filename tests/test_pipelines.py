@@ -197,3 +197,23 @@ def test_no_local_folder_on_a_cluster():
     sc = Fake(getConf=lambda: unset, getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError):
         shared_dir(Fake(sparkContext=sc, conf=unset))
+
+
+def test_scratch_is_released(spark):
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    job = """
+import sys, tempfile, os
+from pyspark.sql import SparkSession
+d = tempfile.mkdtemp(prefix="mdmspark-release-")
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", d).getOrCreate()
+from mdmspark.session import release_scratch, scratch_path
+p = scratch_path(spark, "a")
+spark.range(3).write.parquet(p)
+scratch_path(spark, "never-written")
+assert os.path.isdir(p) and release_scratch(spark) == 1 and not os.path.exists(p) and release_scratch(spark) == 0
+"""
+    subprocess.run([sys.executable, "-c", job], check=True, cwd=ROOT, timeout=300, capture_output=True)
