@@ -57,7 +57,7 @@ class Rules:
     min_shouts: int = 30  # "!!" per words, from three on
     boilerplate_words: int = 40  # a longer line is prose that mentions a phrase
     stub_words: int = 3  # a shorter line needs a terminal mark
-    max_loss: int = 30  # words in removed lines
+    max_loss: int = 40  # words in removed lines; a short clean text with one licence line stays
 
 
 _ALNUM = regex.compile(r"[\p{L}\p{N}]")
