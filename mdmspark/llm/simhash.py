@@ -269,5 +269,7 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     document of each component; rows that share that doc_id stay together).
     Rows without a doc_id can't be told apart and stay."""
     found = near_duplicates(docs, **options)
-    firsts = found.where("doc_id = component_id").select("doc_id").distinct()
+    # Written, so that the join has nothing but an exchange on either side and
+    # Spark can split a doc_id that very many rows share.
+    firsts = materialize(found.where("doc_id = component_id").select("doc_id").distinct(), "simhash-firsts")
     return docs.join(firsts, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
