@@ -25,6 +25,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mdmspark.llm.common import materialize
+
 # Fixed rules: (host, path, verdict).
 FIXED = (
     ("org", "/", "allow"),
@@ -103,7 +105,10 @@ def judge_urls(pages: DataFrame, labels: DataFrame, **options) -> DataFrame:
     parsed = parsed.withColumns({"tokens": url_tokens(F.col("host"), F.col("path"), F.col("query")), "fixed": fixed_rule(F.col("host"), F.col("path"))})
     marked = labels.where("bad is not null").select("page_id", "bad")
     rules = mine_rules(parsed.select("page_id", "tokens").join(marked, "page_id").select("tokens", "bad"), **options)
-    hits = matched_sets(parsed.where("fixed is null").select("tokens"), rules).withColumn("hit", F.lit(True))
+    # As a written table the hits have a known size (few: Spark broadcasts them
+    # below its threshold) and an exchange of their own (many: a token set that
+    # a great part of the pages share is split by Spark's skew join).
+    hits = materialize(matched_sets(parsed.where("fixed is null").select("tokens"), rules), "url-hits").withColumn("hit", F.lit(True))
     out = parsed.join(hits, "tokens", "left")
     mined = F.when(F.col("hit"), "block").otherwise("allow")
     return out.select("page_id", "host", "path", F.col("fixed.rule").alias("rule"), F.coalesce("fixed.verdict", mined).alias("verdict"))
