@@ -125,11 +125,15 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     order = base.select("record_id", "canonical_url", "ts", F.coalesce(known & (F.col("status") == 200), F.lit(False)).alias("full"))
     found = latest_before(order, "canonical_url", ["canonical_url", "ts", "full", "record_id"], "full", "record_id", "warc-as-of")
     revisits = base.where("status = 304").withColumnRenamed("digest", "claimed").withColumn("fields", parse_headers()).drop("headers")
-    pointed = revisits.join(found.where(~F.col("full")).select("record_id", "before").distinct(), "record_id", "left")
+    # Both lookups are written tables, so each join has nothing but an exchange on
+    # either side: Spark then splits a response that very many revisits refer
+    # to, or the many that refer to none.
+    earlier = materialize(found.where(~F.col("full")).select("record_id", "before").distinct(), "warc-earlier")
+    pointed = revisits.join(earlier, "record_id", "left")
     pointed = pointed.withColumn("before", F.when(known, F.col("before")))
     # Records that share an id count as one response, the smallest.
     full = base.where("status = 200").groupBy(F.col("record_id").alias("before")).agg(F.min(F.struct("headers", "digest")).alias("r"))
-    full = full.select("before", parse_headers("r.headers").alias("stored"), "r.digest")
+    full = materialize(full.select("before", "r.headers", "r.digest"), "warc-full").withColumn("stored", parse_headers()).drop("headers")
     joined = pointed.join(full, "before", "left")
     tags = _bare(F.col("fields")["etag"]), _bare(F.col("stored")["etag"])
     dates = F.col("fields")["last-modified"], F.col("stored")["last-modified"]
