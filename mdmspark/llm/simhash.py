@@ -272,4 +272,5 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     # Written, so that the join has nothing but an exchange on either side and
     # Spark can split a doc_id that very many rows share.
     firsts = materialize(found.where("doc_id = component_id").select("doc_id").distinct(), "simhash-firsts")
-    return docs.join(firsts, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    # The ids grow with the documents: a merge join at every size.
+    return docs.join(firsts.hint("merge"), "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
