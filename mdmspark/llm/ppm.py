@@ -9,10 +9,16 @@ is the sum of the log10 probabilities of its bytes and of an end symbol.
 
 Text is read as words `[^\\x20\\x09-\\x0D]+`, A-Z in lower case, joined by single
 spaces. The model is pretrained: (context, byte) counts are gathered from every
-training document, summed in each task and then by a shuffle. Entries that make
-up at least ``SHARE`` of all counted bytes are kept, so the trie has no more
-than ``(ORDER + 1) / SHARE`` entries whatever the corpus size; what is left out
-adds to the escape of its context, so probabilities still sum to one.
+training document, summed in each task and then by a shuffle. Every entry is
+kept, in tables written for each length of context, so the model grows with the
+corpus and no entry needs to fit anywhere. (``share`` leaves out entries below
+that share of all counted bytes; what is left out adds to the escape of its
+context, so probabilities still sum to one.)
+
+A document's grams are scored in two ways that give the same numbers. Frequent
+ones (at least ``GRAM_SHARE`` of all counted bytes, hence at most
+``1 / GRAM_SHARE`` of them) are looked up in each task. All others are scored
+once each by joins with the tables, level by level, and joined back by key.
 
 The unigram base counts whole words. Frequent words (at least ``HEAD_SHARE`` of
 all tokens, hence at most ``1 / HEAD_SHARE`` of them) are looked up in each
@@ -32,14 +38,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mdmspark.llm.common import map_arrow, materialize, slices
 
 ORDER = 5
-SHARE = 2e-6
+SHARE = 0.0
 HEAD_SHARE = 1e-6
+GRAM_SHARE = 2e-7
 # Entries that a task holds before it hands partial counts on.
 HELD = 1 << 20
 # Bytes that never occur in UTF-8 stand for what is before and behind a text.
@@ -123,53 +130,66 @@ def count_words(train: DataFrame) -> DataFrame:
 # The trie
 # --------------------------------------------------------------------------
 
-@dataclass(frozen=True)
-class Level:
-    """Contexts of one length, sorted, and the successors kept of each."""
-
-    grams: np.ndarray  # context and symbol, packed
-    counts: np.ndarray
-    contexts: np.ndarray
-    total: np.ndarray  # log10 of what symbol counts are divided by
-    escape: np.ndarray  # log10 of the chance of an escape
-    total_excluding: np.ndarray  # the same in the next shorter context, without this one's symbols
-    escape_excluding: np.ndarray
-
-
 @dataclass(frozen=True)
 class Trie:
+    """The model as written tables, one of each kind for every length of the
+    context, from 0. ``entries``: gram and n. ``contexts``: context and the log10
+    of what symbol counts are divided by (``total``) and of the chance of an
+    escape (``escape``), and both in the next shorter context without this
+    one's symbols (``total_x``, ``escape_x``)."""
+
     order: int
-    levels: list[Level]  # by length of the context, from 0
+    entries: list[DataFrame]
+    contexts: list[DataFrame]
+    symbols: int  # how many were counted
     rest: float  # log10 of the chance of each byte that the trie doesn't have
 
+    def scores(self, asked: DataFrame) -> DataFrame:
+        """(gram, score): the log10 probability of each of the distinct grams
+        ``asked`` (gram), from the longest context down."""
+        todo = asked.select("gram", F.lit(0.0).alias("score"), *[F.lit(None).cast("double").alias(c) for c in ("above", "out")])
+        found = []
+        for k in range(self.order, -1, -1):
+            now = todo.withColumn("g", _low("gram", k + 1)).withColumn("c", F.shiftrightunsigned("g", 8))
+            now = now.join(_side(self.entries[k].withColumnRenamed("gram", "g"), k + 1), "g", "left")
+            now = now.join(_side(self.contexts[k].withColumnRenamed("context", "c"), k), "c", "left")
+            known, here = F.col("total").isNotNull(), F.col("n").isNotNull()
+            cost = F.when(here, F.log10("n") - F.coalesce("above", "total")).when(known, F.coalesce("out", "escape")).otherwise(0.0)
+            now = now.select("gram", (F.col("score") + cost).alias("score"), F.col("total_x").alias("above"), F.col("escape_x").alias("out"), here.alias("here"))
+            now = materialize(now, f"ppm-scores-{k}")
+            found.append(now.where("here").select("gram", "score"))
+            todo = now.where("not here").drop("here")
+        out = todo.select("gram", (F.col("score") + F.lit(self.rest)).alias("score"))
+        for part in found:
+            out = out.unionByName(part)
+        return out
+
+    def head(self, share: float) -> tuple[np.ndarray, np.ndarray]:
+        """The longest grams, sorted, that make up at least ``share`` of all
+        symbols (so at most 1 / share of them), and their scores."""
+        often = self.entries[self.order].where(F.col("n") >= F.lit(share * self.symbols)).withColumn("context", F.shiftrightunsigned("gram", 8))
+        often = often.join(_side(self.contexts[self.order], self.order), "context").select("gram", (F.log10("n") - F.col("total")).alias("score"))
+        t = often.toArrow()
+        gram, score = t.column(0).to_numpy().astype(np.uint64), t.column(1).to_numpy()
+        order = np.argsort(gram)
+        return gram[order], score[order]
+
     def log10(self, packed: np.ndarray) -> np.ndarray:
         """The log10 probability of each packed symbol after its context."""
-        score = np.zeros(len(packed))
-        todo, before = np.arange(len(packed)), np.full(len(packed), -1)
-        for k in range(self.order, -1, -1):
-            level = self.levels[k]
-            gram = packed[todo] & _mask(k + 1)
-            context = _find(level.contexts, gram >> np.uint64(8))
-            known = context >= 0
-            above, shorter = before[todo], known & (before[todo] >= 0)
-            total, escape = np.zeros(len(todo)), np.zeros(len(todo))
-            fresh = known & ~shorter
-            total[fresh], escape[fresh] = level.total[context[fresh]], level.escape[context[fresh]]
-            if shorter.any():
-                upper = self.levels[k + 1]
-                total[shorter], escape[shorter] = upper.total_excluding[above[shorter]], upper.escape_excluding[above[shorter]]
-            place = _find(level.grams, gram)
-            here = known & (place >= 0)
-            score[todo[here]] += np.log10(level.counts[place[here]]) - total[here]
-            score[todo[known & ~here]] += escape[known & ~here]
-            before[todo] = context
-            todo = todo[~here]
-        score[todo] += self.rest
-        return score
-
-
-def _mask(n: int) -> np.uint64:
-    return np.uint64((1 << 8 * n) - 1)
+        asked = self.entries[0].sparkSession.createDataFrame([(int(x),) for x in np.unique(packed)], "gram long")
+        score = {r.gram: r.score for r in self.scores(asked).collect()}
+        return np.array([score[int(x)] for x in packed])
+
+
+def _low(gram: str, n: int) -> Column:
+    """The last ``n`` bytes of a packed gram."""
+    return F.col(gram).bitwiseAND(F.lit((1 << 8 * n) - 1))
+
+
+def _side(table: DataFrame, n: int) -> DataFrame:
+    """A table whose keys are ``n`` bytes, as the side of a join: up to two
+    bytes (65,536 rows) it is broadcast, else merged at every size."""
+    return F.broadcast(table) if n <= 2 else table.hint("merge")
 
 
 def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -180,92 +200,80 @@ def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(table[at] == x, at, -1)
 
 
-def _log(x: np.ndarray) -> np.ndarray:
-    return np.log10(np.maximum(x, 1e-300))
-
-
-def build_trie(kept: list[tuple[np.ndarray, np.ndarray]], totals: list[tuple[np.ndarray, np.ndarray]], order: int = ORDER) -> Trie:
-    """``kept``: for each length of context the grams kept, sorted, and their
-    counts; ``totals``: the contexts, sorted, and how often anything follows them."""
-    levels: list[Level] = []
-    mass = n_kept = unseen = np.zeros(0)
-    for k in range(order + 1):
-        gram, n = kept[k]
-        context = gram >> np.uint64(8)
-        first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(gram) else np.zeros(0, np.int64)
-        contexts, sizes = context[first], np.diff(np.r_[first, len(gram)])
-        own = np.add.reduceat(n, first) if len(gram) else np.zeros(0)
-        rare = totals[k][1][_find(totals[k][0], contexts)] - own if len(gram) else np.zeros(0)
-        total_x = escape_x = np.zeros(len(contexts))
-        if k and len(gram):
-            up = levels[k - 1]
-            parent = _find(up.contexts, contexts & _mask(k - 1))
-            gone = np.add.reduceat(up.counts[_find(up.grams, gram & _mask(k))], first)
-            out = n_kept[parent] - sizes + unseen[parent]
-            left = mass[parent] - gone + out
-            total_x = _log(left)
-            escape_x = np.where(left > 0, _log(out) - _log(left), 0.0)
-        levels.append(Level(gram, n, contexts, _log(own + sizes + rare), _log(sizes + rare) - _log(own + sizes + rare), total_x, escape_x))
-        mass, n_kept, unseen = own, sizes, rare
-    return Trie(order, levels, -float(np.log10(max(1, SYMBOLS - len(levels[0].grams)))))
-
-
 def fit(train: DataFrame, *, order: int = ORDER, share: float = SHARE) -> Trie:
-    """The trie of all texts of ``train``. Only the entries kept reach the driver."""
-    level = materialize(count_grams(train, order), "ppm-grams")
-    least = max(1.0, share * (level.agg(F.sum("n")).first()[0] or 0))
-    kept, totals = [None] * (order + 1), [None] * (order + 1)
+    """The trie of all texts of ``train``."""
+    level, symbols, least = count_grams(train, order), 0, F.lit(1.0)
+    entries, stats, contexts = [None] * (order + 1), [None] * (order + 1), [None] * (order + 1)
     for k in range(order, -1, -1):
-        mask = (1 << 8 * (k + 1)) - 1
-        level = level.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-        level = materialize(level, f"ppm-level-{k}") if k else level
-        context = F.shiftrightunsigned("gram", 8)
-        follow = level.groupBy(context.alias("context")).agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-        kept[k] = _sorted(level.where(F.col("n") >= least), "gram")
-        totals[k] = _sorted(follow.where(F.col("most") >= least).select("context", "n"), "context")
-    return build_trie(kept, totals, order)
-
-
-def _sorted(rows: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    t = rows.select(key, "n").toArrow()
-    x, n = t.column(0).to_numpy().astype(np.uint64), t.column(1).to_numpy().astype(float)
-    order = np.argsort(x)
-    return x[order], n[order]
+        # With each entry how often its symbol follows the next shorter context (at most 256 rows a group).
+        above = F.sum("n").over(Window.partitionBy(_low("gram", k))) if k else F.lit(None).cast("long")
+        level = materialize(level.withColumn("above", above), f"ppm-level-{k}")
+        if k == order:
+            symbols = level.agg(F.sum("n")).first()[0] or 0
+            least = F.lit(max(1.0, share * symbols))
+        kept = F.col("n") >= least
+        entries[k] = level.where(kept).select("gram", "n")
+        follow = level.groupBy(F.shiftrightunsigned("gram", 8).alias("context")).agg(
+            F.count_if(kept).alias("size"), F.sum(F.when(kept, F.col("n"))).alias("own"),
+            F.sum(F.when(kept, 0).otherwise(F.col("n"))).alias("rare"), F.sum(F.when(kept, F.col("above"))).alias("gone"))
+        stats[k] = materialize(follow.where("size > 0"), f"ppm-stats-{k}")
+        if k:
+            level = level.groupBy(_low("gram", k).alias("gram")).agg(F.sum("n").alias("n"))
+    total, escape = F.col("own") + F.col("size") + F.col("rare"), F.col("size") + F.col("rare")
+    for k in range(order + 1):
+        # What the next shorter context has left when this one's symbols are ruled out.
+        total_x = escape_x = F.lit(None).cast("double")
+        rows = stats[k]
+        if k:
+            parents = stats[k - 1].select(F.col("context").alias("parent"), F.col("own").alias("p_own"), (F.col("size") + F.col("rare")).alias("p_escape"))
+            rows = rows.withColumn("parent", _low("context", k - 1)).join(_side(parents, k - 1), "parent")
+            out = F.col("p_escape") - F.col("size")
+            left = F.col("p_own") - F.col("gone") + out
+            total_x, escape_x = F.when(left > 0, F.log10(left)).otherwise(0.0), F.when(left > 0, F.log10(out) - F.log10(left)).otherwise(0.0)
+        rows = rows.select("context", F.log10(total).alias("total"), (F.log10(escape) - F.log10(total)).alias("escape"), total_x.alias("total_x"), escape_x.alias("escape_x"))
+        contexts[k] = materialize(rows, f"ppm-contexts-{k}")
+    return Trie(order, entries, contexts, symbols, -float(np.log10(max(1, SYMBOLS - entries[0].count()))))
 
 
 # --------------------------------------------------------------------------
 # Scores
 # --------------------------------------------------------------------------
 
-def score_documents(docs: DataFrame, train: DataFrame, *, order: int = ORDER, share: float = SHARE, head_share: float = HEAD_SHARE) -> DataFrame:
+def score_documents(docs: DataFrame, train: DataFrame, *, order: int = ORDER, share: float = SHARE, head_share: float = HEAD_SHARE,
+                    gram_share: float = GRAM_SHARE) -> DataFrame:
     """For every row of ``docs`` (doc_id, text), with all learnt from ``train``
     (text): doc_id, n_tokens, n_known, train_tokens, base_score and score."""
     spark = docs.sparkSession
-    trie = spark.sparkContext.broadcast(fit(train, order=order, share=share))
+    trie = fit(train, order=order, share=share)
+    often = spark.sparkContext.broadcast(trie.head(gram_share))
     words = materialize(count_words(train), "ppm-words")
     seen, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     frequent = words.where(F.col("c") >= F.lit(head_share * seen)).collect()  # at most 1 / head_share rows
     head = spark.sparkContext.broadcast({r.word.encode("utf-8", "surrogatepass"): float(np.log10(r.c + 0.5)) for r in frequent})
     key = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {key}, row long, n_tokens long, n_known long, base double, score double, tail array<struct<word:string,n:long>>"
-    run = _scorer(trie, head, order)
+    schema = (f"doc_id {key}, row long, n_tokens long, n_known long, base double, score double, "
+              "tail array<struct<word:string,n:long>>, rare array<struct<gram:long,n:long>>")
+    run = _scorer(often, head, order)
     scored = materialize(map_arrow(docs.select("doc_id", "text"), run, schema), "ppm-scored")
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
     tail = tail.join(words, "word", "left").groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("tail_known"),
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("tail_base"))
+    rare = scored.select("row", F.explode("rare").alias("t")).select("row", "t.gram", "t.n")
+    rare = rare.join(trie.scores(rare.select("gram").distinct()).hint("merge"), "gram").groupBy("row").agg(F.sum(F.col("n") * F.col("score")).alias("tail_score"))
     every = float(np.log10(seen + 0.5 * (distinct + 1)))
-    return scored.drop("tail").join(tail, "row", "left").select(
+    return scored.drop("tail", "rare").join(tail, "row", "left").join(rare, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(seen).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("tail_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(every)).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("tail_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(every)).alias("base_score"),
+        (F.col("score") + F.coalesce("tail_score", F.lit(0.0))).alias("score"))
 
 
-def _scorer(trie, head, order: int):
+def _scorer(often, head, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        model, common = trie.value, head.value
+        (often_grams, often_scores), common = often.value, head.value
         row = TaskContext.get().partitionId() << 40
         for b in slices(batches):
             n_tokens, known, base, tails, bodies = [], [], [], [], []
@@ -282,12 +290,20 @@ def _scorer(trie, head, order: int):
                 tails.append([{"word": w.decode("utf-8", "surrogatepass"), "n": n} for w, n in tail.items()])
             packed, sizes = grams(bodies, order)
             where, back = np.unique(packed, return_inverse=True)
-            score = np.add.reduceat(model.log10(where)[back], np.cumsum(sizes) - sizes)
+            place = _find(often_grams, where)
+            value = np.zeros(len(where))
+            value[place >= 0] = often_scores[place[place >= 0]]
+            score = np.add.reduceat(value[back], np.cumsum(sizes) - sizes)
+            far = place[back] < 0
+            pair, n = np.unique(np.repeat(np.arange(len(bodies)), sizes)[far] * len(where) + back[far], return_counts=True)
+            ends = np.searchsorted(pair, np.arange(len(bodies) + 1) * len(where))
+            rare = pa.StructArray.from_arrays([pa.array(where[pair % len(where)].view(np.int64)), pa.array(n, pa.int64())], names=["gram", "n"])
             kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(np.arange(row, row + len(bodies))), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(score), pa.array(tails, kind)],
-                names=["doc_id", "row", "n_tokens", "n_known", "base", "score", "tail"])
+                 pa.array(base, pa.float64()), pa.array(score), pa.array(tails, kind),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)],
+                names=["doc_id", "row", "n_tokens", "n_known", "base", "score", "tail", "rare"])
             row += len(bodies)
 
     return run

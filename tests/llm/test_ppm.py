@@ -63,6 +63,18 @@ def test_scores_equal_brute_force(spark, order, share):
         assert r.score == pytest.approx(brute.score(texts[r.doc_id]), rel=1e-9)
 
 
+@pytest.mark.parametrize("gram_share", [0.0, ppm.GRAM_SHARE, 2.0])
+def test_every_entry_counts_at_any_size(spark, gram_share):
+    # More than 500,000 symbols: an entry seen once is below 2e-6 of them.
+    texts = ["to be or not to be " * 40_000, "a quick zebra jumps", "some quick zebras jumped over", "völlig neu"]
+    train = spark.createDataFrame([(t,) for t in texts[:3]], "text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    brute = Brute(texts[:3], ppm.ORDER, 0.0)
+    got = {r.doc_id: r.score for r in ppm.score_documents(docs, train, gram_share=gram_share).collect()}
+    for i in (1, 2, 3):
+        assert got[i] == pytest.approx(brute.score(texts[i]), rel=1e-9)
+
+
 def test_chances_sum_to_one(spark):
     texts = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
     trie = ppm.fit(texts, order=4, share=1e-4)
