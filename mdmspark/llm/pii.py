@@ -44,9 +44,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ADDRESS = re.compile(r"[^\s\"'<>`]+")
 _NUMERIC_HOST = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]+)?")
-_IBAN = re.compile(r"[ :=#\"']{1,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8})")
-_VALUE = re.compile(r"(?: ?(?:number|no\.?|id))?(?: ?[:=#] ?| )[\"']?([A-Za-z0-9_/+.-]{6,128}={0,2})")
-_HANDLE = re.compile(r"[A-Za-z][A-Za-z0-9_]{2,29}(?![A-Za-z0-9_@.])")
+_IBAN = re.compile(r"[ :=#\"']{1,4}([A-Z]{2}[0-9]{2})")
+_IBAN_GROUP = re.compile(r" ?[A-Z0-9]{1,31}")
+_VALUE = re.compile(r"(?: ?(?:number|no\.?|id))?(?: ?[:=#] ?| )[\"']?([A-Za-z0-9_/+.-]{6,}={0,2})")
+_HANDLE = re.compile(r"[A-Za-z][A-Za-z0-9_]{2,}+(?!@|\.[A-Za-z0-9_])")
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
@@ -193,7 +194,7 @@ def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
         return None
     if text[start:end].lower() == "iban":
         m = _IBAN.match(text, end)
-        return m.span(1) if m and _iban(m.group(1)) else None
+        return _iban_span(text, *m.span(1)) if m else None
     m = _VALUE.match(text, end)
     value = m.group(1).rstrip(".") if m else ""
     if len(value) >= 6 and any("0" <= c <= "9" for c in value):
@@ -201,6 +202,17 @@ def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
     return None
 
 
+def _iban_span(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """From the country and check digits on over groups: the longest run of
+    whole groups that passes (words in upper case may follow the number)."""
+    ends, size = [], 4
+    while (m := _IBAN_GROUP.match(text, end)) and size <= 34:
+        size += len(m.group().lstrip(" "))
+        end = m.end()
+        ends.append(end)
+    return next(((start, e) for e in reversed(ends) if _iban(text[start:e])), None)
+
+
 def _iban(value: str) -> bool:
     v = value.replace(" ", "")
     return 15 <= len(v) <= 34 and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1

@@ -89,3 +89,24 @@ def test_awkward_rows(spark):
     clean = pii.redact_pii(awkward(spark))
     assert clean.columns == awkward(spark).columns and clean.where("text is null").count() == 2
     assert pii.find_pii(empty(spark)).count() == 0 and pii.redact_pii(empty(spark)).count() == 0
+
+
+def test_values_of_any_length_are_whole():
+    secret = "eyJ0eXAi0." * 40 + "x-9"
+    for text in (f"bearer {secret} end", f"token={secret}== end", f"api_key: '{secret}'"):
+        assert secret not in pii.redact(text) and "eyJ0" not in pii.redact(text) and "x-9" not in pii.redact(text)
+    assert pii.redact("password: " + "a1" * 500_000 + " end") == "password: <ACCOUNT> end"
+
+
+def test_account_number_before_other_words():
+    for number in ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "CH93 0076 2011 6238 5295 7"):
+        for after in ("", " BIC: COBADEFF", " BIC COBADEFF", " BANK", " AB CD EF GH IJ KL", "."):
+            assert pii.redact(f"IBAN {number}{after}") == f"IBAN <ACCOUNT>{after}"
+    assert pii.redact("IBAN DE89 3704 0044 0532 0130 01 BIC") == "IBAN DE89 3704 0044 0532 0130 01 BIC"
+    pii.find_spans("IBAN DE89 " + "A1 " * 500_000)
+
+
+def test_handles_of_any_length_and_before_a_full_stop():
+    long = "a" + "bc_1" * 20
+    assert [pii.redact(t) for t in ("by @alice.", "by @alice. Then", f"by @{long}, ", "@alice.bob", "@alice@host", "@al.")] == [
+        "by <ACCOUNT>.", "by <ACCOUNT>. Then", "by <ACCOUNT>, ", "@alice.bob", "@alice@host", "@al."]
