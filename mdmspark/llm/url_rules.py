@@ -8,8 +8,10 @@ dropped. A rule is indexed under its rarest token only; token sets look their
 tokens up there and check the rest of the rule, so a token that most urls have
 leads to few rules, and urls with equal token sets are matched once.
 
-Everything is built from DataFrame functions. Token sets are bounded (see
-:func:`url_tokens`), so the number of combinations of one url is too.
+Everything is built from DataFrame functions. Every token of a url counts (see
+:func:`all_tokens`). Mining is kept small without loss: only tokens that occur
+with a block label as often as a rule must are listed, and tokens that occur
+in exactly the same labelled urls stand for each other (see :func:`classes`).
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, no token and is allowed; an empty host fits no rule; repeated rows get
@@ -54,27 +56,64 @@ def fixed_rule(host: Column, path: Column, rules=FIXED) -> Column:
     return F.coalesce(*[F.when(f, F.struct(F.lit(h + p).alias("rule"), F.lit(v).alias("verdict"))) for f, (h, p, v) in zip(fits, ranked)])
 
 
-def url_tokens(host: Column, path: Column, query: Column) -> Column:
-    """The token set of a url, sorted: the last four labels of the host, the
-    first three parts of the path and its last one, and the three first names
-    (in order) among the query's; digits read as ``0``. At most eleven."""
+def _token_set(host: Column, labels: Column, parts: Column, names: Column) -> Column:
     digits = lambda c: F.regexp_replace(c, "[0-9]+", "0")
-    labels = F.slice(F.reverse(F.split(host, r"\.")), 1, 4)
-    parts = F.filter(F.split(path, "/"), lambda x: x != "")
-    some = F.concat(F.slice(parts, 1, 3), F.slice(F.reverse(parts), 1, 1))
-    names = F.slice(F.array_sort(F.array_distinct(F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != ""))), 1, 3)
-    tokens = F.concat(F.transform(labels, lambda x: F.concat(F.lit("h:"), digits(x))), F.transform(some, lambda x: F.concat(F.lit("p:"), digits(x))),
+    tokens = F.concat(F.transform(labels, lambda x: F.concat(F.lit("h:"), digits(x))), F.transform(parts, lambda x: F.concat(F.lit("p:"), digits(x))),
                       F.transform(names, lambda x: F.concat(F.lit("q:"), digits(x))))
     return F.when(host != "", F.array_sort(F.array_distinct(F.filter(tokens, lambda x: x != "h:")))).otherwise(F.array().cast("array<string>"))
 
 
+def _pieces(host: Column, path: Column, query: Column) -> tuple[Column, Column, Column]:
+    names = F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")
+    return F.split(host, r"\."), F.filter(F.split(path, "/"), lambda x: x != ""), names
+
+
+def all_tokens(host: Column, path: Column, query: Column) -> Column:
+    """The token set of a url, sorted: all labels of the host, parts of the
+    path and names of the query; digits read as ``0``."""
+    return _token_set(host, *_pieces(host, path, query))
+
+
+def url_tokens(host: Column, path: Column, query: Column) -> Column:
+    """A short form of :func:`all_tokens` for listings: the last four labels of
+    the host, the first three parts of the path and its last one, and the three
+    first names (in order) among the query's. At most eleven. Rules don't use it."""
+    labels, parts, names = _pieces(host, path, query)
+    some = F.concat(F.slice(parts, 1, 3), F.slice(F.reverse(parts), 1, 1))
+    return _token_set(host, F.slice(F.reverse(labels), 1, 4), some, F.slice(F.array_sort(F.array_distinct(names)), 1, 3))
+
+
+def classes(baskets: DataFrame, least: int) -> DataFrame:
+    """(token, class) of the tokens that occur in at least ``least`` bad rows of
+    ``baskets`` (id, tokens, bad): no other token is part of a rule. Tokens of
+    exactly the same rows (told by two hash sums over them) form a class, named
+    after the smallest: a rule with one of them holds with any other in its
+    place, so a url has the class if it has one of its tokens."""
+    rows = baskets.select("id", "bad", F.explode("tokens").alias("token"))
+    marks = [F.sum(F.xxhash64("id", F.lit(i)).cast("decimal(20,0)")).alias(f"mark{i}") for i in (0, 1)]
+    found = rows.groupBy("token").agg(F.count_if("bad").alias("n_bad"), F.count("*").alias("n"), *marks).where(F.col("n_bad") >= least)
+    named = found.groupBy("n", "mark0", "mark1").agg(F.min("token").alias("class"), F.collect_list("token").alias("tokens"))
+    return named.select(F.explode("tokens").alias("token"), "class")
+
+
+def class_sets(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """(id, tokens): the classes of each row of ``rows`` (id, tokens) that has any."""
+    # Both support and the tokens of a url bound the named tokens; FP-growth has them on the driver, too.
+    one = rows.select("id", F.explode("tokens").alias("token")).join(F.broadcast(named), "token")
+    return one.groupBy("id").agg(F.array_sort(F.collect_set("class")).alias("tokens"))
+
+
+def least_pages(n: int, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES) -> int:
+    return max(math.ceil(min_support * n), min_pages)
+
+
 def mine_rules(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(tokens, n_fit, n_block): the token combinations of ``labelled``
     (tokens, bad) that lead to a block. FP-growth runs over distinct tasks'
     conditional trees; only frequent single items reach the driver."""
     baskets = labelled.where(F.size("tokens") > 0)
     n = baskets.count()
-    least = max(math.ceil(min_support * n), min_pages)
+    least = least_pages(n, min_support, min_pages)
     if n < least:
         return labelled.select("tokens", F.lit(0).cast("long").alias("n_fit"), F.lit(0).cast("long").alias("n_block")).limit(0)
     items = baskets.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items"))
@@ -97,18 +136,29 @@ def matched_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
     return entries.join(index, "token").where(F.size(F.array_except("rule", "tokens")) == 0).select("tokens").distinct()
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def judge_urls(pages: DataFrame, labels: DataFrame, *, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule (null if mined rules decide) and verdict of
     every row of ``pages`` (page_id, url); ``labels`` (page_id, bad)."""
     host, path, query = url_parts()
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"), query.alias("query"))
-    parsed = parsed.withColumns({"tokens": url_tokens(F.col("host"), F.col("path"), F.col("query")), "fixed": fixed_rule(F.col("host"), F.col("path"))})
+    parsed = parsed.withColumns({"tokens": all_tokens(F.col("host"), F.col("path"), F.col("query")), "fixed": fixed_rule(F.col("host"), F.col("path"))})
     marked = labels.where("bad is not null").select("page_id", "bad")
-    rules = mine_rules(parsed.select("page_id", "tokens").join(marked, "page_id").select("tokens", "bad"), **options)
+    baskets = parsed.select("page_id", "tokens").join(marked, "page_id").where(F.size("tokens") > 0)
+    # Ids are fixed by writing them.
+    baskets = materialize(baskets.select(F.monotonically_increasing_id().alias("id"), "tokens", "bad"), "url-baskets")
+    least = least_pages(baskets.count(), min_support, min_pages)
+    named = materialize(classes(baskets, least), "url-classes")
+    short = class_sets(baskets, named).join(baskets.select("id", "bad"), "id")
+    rules = mine_rules(materialize(short.select("tokens", "bad"), "url-short-baskets"), min_support=0.0, min_pages=least, min_confidence=min_confidence)
+    sets = parsed.where("fixed is null").select("tokens").distinct().select(F.monotonically_increasing_id().alias("id"), "tokens")
+    sets = materialize(sets, "url-sets")
+    short = materialize(class_sets(sets, named), "url-short-sets")
+    fits = materialize(matched_sets(short, rules), "url-short-hits")
     # As a written table the hits have a known size (few: Spark broadcasts them
     # below its threshold) and an exchange of their own (many: a token set that
     # a great part of the pages share is split by Spark's skew join).
-    hits = materialize(matched_sets(parsed.where("fixed is null").select("tokens"), rules), "url-hits").withColumn("hit", F.lit(True))
+    hits = sets.join(short.join(fits, "tokens").select("id"), "id").select("tokens")
+    hits = materialize(hits, "url-hits").withColumn("hit", F.lit(True))
     out = parsed.join(hits, "tokens", "left")
     mined = F.when(F.col("hit"), "block").otherwise("allow")
     return out.select("page_id", "host", "path", F.col("fixed.rule").alias("rule"), F.coalesce("fixed.verdict", mined).alias("verdict"))

@@ -71,3 +71,23 @@ def test_awkward_rows(spark):
     assert sorted((r.page_id or 0, r.verdict) for r in rows) == [(0, "block"), (1, "block"), (1, "block"), (2, "allow"), (3, "allow"), (4, "allow")]
     assert {r.verdict for r in ur.judge_urls(pages, labels.limit(0)).collect()} == {"allow"}
     assert ur.judge_urls(pages.limit(0), labels).count() == 0
+
+
+def test_every_token_of_a_url_can_block(spark):
+    # The combination stands in the fourth of six path parts, a fifth host label or a fourth query name.
+    deep = {"path": "http://a.b.net/p/q/r/{}/s/t", "host": "http://{}.d.c.b.a.net/p", "query": "http://a.b.net/p?a=1&b=2&c=3&{}=4"}
+    for name, form in deep.items():
+        urls = [form.format(x) for x in ("spam", "fine", "good")]
+        pages = spark.createDataFrame([(i, urls[i % 3]) for i in range(30)], "page_id long, url string")
+        labels = spark.createDataFrame([(i, i % 3 == 0) for i in range(27)], "page_id long, bad boolean")
+        got = {(r.page_id % 3, r.verdict) for r in ur.judge_urls(pages, labels).collect()}
+        assert got == {(0, "block"), (1, "allow"), (2, "allow")}, name
+
+
+def test_long_urls_that_share_all_tokens_are_mined(spark):
+    # 60 tokens that always occur together would make 2^60 combinations.
+    url = "http://{}.net/" + "/".join("part" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(60))
+    pages = spark.createDataFrame([(i, url.format("ab"[i % 2])) for i in range(40)] + [(99, "http://a.net/other"), (98, "http://b.net/other")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2 == 0) for i in range(40)] + [(98, False)], "page_id long, bad boolean")
+    got = {r.page_id: r.verdict for r in ur.judge_urls(pages, labels, min_confidence=0.6).collect()}
+    assert got == {i: "block" if i % 2 == 0 else "allow" for i in range(40)} | {99: "block", 98: "allow"}
