@@ -228,14 +228,14 @@ def node_edges(nodes: DataFrame, distance: int) -> DataFrame:
 # Components
 # --------------------------------------------------------------------------
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame, name: str = "components", rounds: int = 200) -> DataFrame:
     """(node, component): for every node of ``edges`` (u, v) the smallest node
     reachable. Each round first points a node's larger neighbours, then its
     smaller ones, to its smallest neighbour; both sides are grouped and joined
-    by key, and each round is a written table."""
+    by key, and each round is a written table. An error if ``rounds`` don't settle it."""
     now = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), f"{name}-edges")
     mark = None
-    for turn in range(200):
+    for turn in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -247,6 +247,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         if state == mark:
             break
         mark = state
+    else:
+        raise RuntimeError(f"components: not settled after {rounds} rounds")
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 

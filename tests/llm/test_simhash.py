@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -126,3 +127,10 @@ def test_awkward_rows(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 1, 3, 6, 7, 8] and kept.columns == awkward(spark).columns
     assert simhash.near_duplicates(empty(spark)).count() == 0
     assert simhash.keep_first(empty(spark)).count() == 0
+
+
+def test_components_that_are_not_settled_are_an_error(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "u long, v long")
+    with pytest.raises(RuntimeError, match="not settled"):
+        simhash.components(edges, rounds=1)
+    assert {r.component for r in simhash.components(edges).collect()} == {0}
