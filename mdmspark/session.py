@@ -49,10 +49,21 @@ def release_scratch(spark: SparkSession) -> int:
     store they are; how many there were. Call it once no result that reads
     them is needed any more: until then they are what lets a lost executor's
     work be read again."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    return sum(_delete(spark, path) for path in paths)
+
+
+def discard_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete one scratch table that nothing reads any more (a round of an
+    iteration whose successor is written); whether it was there."""
+    own = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    if path not in own:
+        raise ValueError(f"not a scratch table of this application: {path}")
+    own.remove(path)
+    return _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
     sc = spark.sparkContext
-    paths = _SCRATCH.pop(sc.applicationId, [])
-    found = 0
-    for path in paths:
-        at = sc._jvm.org.apache.hadoop.fs.Path(path)
-        found += bool(at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True))
-    return found
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True))
