@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mdmspark.llm import decontamination, langid, line_cleaning, packing, pii, ppm, sharding, simhash, url_rules, warc
+from mdmspark.llm import bpe, decontamination, hard_negatives, langid, line_cleaning, ns_bounds, packing, pii, ppm, sharding, simhash, url_rules, warc
 from mdmspark.llm.common import read_table
 
 N_SHARDS = 40
@@ -119,7 +119,29 @@ def op10_langid(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", _remainder(3).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_packing, op3_simhash, op4_ppm, op5_line_cleaning, op6_url_rules, op7_decontamination, op8_revisits, op9_pii, op10_langid)}
+def op11_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    decoded = bpe.decode(bpe.encode(read_table(spark, sf, "documents"), ranks, pattern), ranks, pattern)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, sf, "embeddings").withColumn("label", label)
+    mined = hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op13_ns_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    found = ns_bounds.cluster(read_table(spark, sf, "embeddings"))
+    text = F.array_join(F.transform("centroid", lambda c: c.cast("string")), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(text, 256).alias("centroid_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_packing, op3_simhash, op4_ppm, op5_line_cleaning, op6_url_rules, op7_decontamination, op8_revisits, op9_pii, op10_langid,
+                                   op11_bpe, op12_hard_negatives, op13_ns_bounds)}
 
 
 # --------------------------------------------------------------------------
@@ -257,4 +279,51 @@ select record_id, canonical_url, ts, outcome, refers_to, case when outcome = 're
 from done
 """
 
-ORACLE = {"op5_line_cleaning": _LINE_CLEANING, "op6_url_rules": _URL_RULES, "op8_revisits": _REVISITS}
+_FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0"
+
+_HARD_NEGATIVES = f"""
+with v as materialized (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor({hard_negatives.SCALE} * cast(x as double)) as bigint)) as e
+  from embeddings where label is not null and {_FINITE}),
+scored as (
+  select a.r as a, a.vec_id as anchor_id, b.r, b.vec_id, a.label = b.label as same,
+    cast(coalesce(list_sum(list_transform(range(1, least(len(a.e), len(b.e)) + 1), lambda i: a.e[i] * b.e[i])), 0) as bigint) as score
+  from v a join v b on a.r <> b.r where a.vec_id % 100 = 0),
+positives as (
+  select * from (select *, row_number() over (partition by a order by score desc, vec_id nulls last, r) as place from scored where same)
+  where place <= {hard_negatives.POSITIVES}),
+pairs as (
+  select p.anchor_id, p.vec_id as positive_id, p.score as positive_score, n.vec_id as negative_id, n.score as negative_score,
+    row_number() over (partition by p.a, p.place order by n.score desc, n.vec_id nulls last, n.r) as rank
+  from positives p join scored n on n.a = p.a and not n.same
+    and {hard_negatives.LEAST} * p.score <= 100 * n.score and 100 * n.score <= {hard_negatives.MOST} * p.score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from pairs where rank <= {hard_negatives.NEGATIVES}
+"""
+
+
+def _clustering_sql() -> str:
+    """The rounds written out: assignment, then floors of means, each a table expression."""
+    n = ns_bounds.DIMENSIONS
+    gap = f"cast(list_sum(list_transform(range(1, {n + 1}), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i]))) as bigint)"
+    parts = [f"""v as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor({ns_bounds.SCALE} * cast(x as double)) as bigint)) as e, embedding
+  from embeddings where len(embedding) = {n} and {_FINITE})""", f"""c0 as materialized (
+  select cast(row_number() over (order by sha256('{ns_bounds.SALT}' || coalesce(cast(vec_id as varchar), '')), embedding) - 1 as integer) as j, e
+  from v qualify j < {ns_bounds.CLUSTERS})"""]
+    for k in range(ns_bounds.ROUNDS + 1):
+        parts.append(f"""a{k} as materialized (
+  select r, j, d from (select v.r, c.j, {gap} as d from v, c{k} c) qualify row_number() over (partition by r order by d, j) = 1)""")
+        if k < ns_bounds.ROUNDS:
+            parts.append(f"""c{k + 1} as materialized (
+  select c.j, coalesce(m.e, c.e) as e from c{k} c left join (
+    select j, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as e
+    from (select j, i, sum(e[i]) as s, count(*) as n from a{k} join v using (r), generate_series(1, {n}) as g(i) group by j, i) group by j) m using (j))""")
+    k = ns_bounds.ROUNDS
+    return f"""with {", ".join(parts)}
+select vec_id, j as cluster, d as distance, cast(sum(d) over (partition by j) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+  sha256(array_to_string(c.e, ',')) as centroid_sha256
+from a{k} join v using (r) join c{k} c using (j)"""
+
+
+ORACLE = {"op12_hard_negatives": _HARD_NEGATIVES, "op13_ns_bounds": _clustering_sql(), "op5_line_cleaning": _LINE_CLEANING, "op6_url_rules": _URL_RULES, "op8_revisits": _REVISITS}

@@ -1,0 +1,90 @@
+"""Hard negatives against a look at every pair."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from mdmspark.llm import hard_negatives as hn
+
+SCHEMA = "vec_id long, label int, embedding array<double>"
+
+
+def brute(rows, positives=5, negatives=5, anchors=lambda i: i % 10 == 0):
+    """Pairs by trying every row, in Python integers."""
+    kept = [(i, lab, [math.floor(256 * x) if abs(x) < 2**53 else 256 * int(x) for x in v]) for i, lab, v in rows
+            if lab is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for n, (i, lab, a) in enumerate(kept):
+        if i is None or not anchors(i):
+            continue
+        scores = [(max(hn.LOW, min(hn.HIGH, sum(x * y for x, y in zip(a, v)))), j, lj) for m, (j, lj, v) in enumerate(kept) if m != n]
+        order = lambda s: (-s[0], s[1] is None, s[1] or 0)
+        for p, j, _ in sorted((s for s in scores if s[2] == lab), key=order)[:positives]:
+            near = sorted((s for s in scores if s[2] != lab and 80 * p <= 100 * s[0] <= 100 * p), key=order)[:negatives]
+            out += [(i, j, k + 1, t[1], p, t[0]) for k, t in enumerate(near)]
+    return sorted(out, key=repr)
+
+
+def mined(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("x") for c in ("row", "score", "anchor", "window", "rank", "is_anchor", "_chunk")})
+    got = hn.mine(df, F.col("vec_id") % 10 == 0, **options).collect()
+    return sorted(((r.anchor_id, r.positive_id, r["rank"], r.negative_id, r.positive_score, r.negative_score) for r in got), key=repr)
+
+
+def random_rows(n, dims, seed, labels=3):
+    rng = random.Random(seed)
+    base = [[rng.gauss(0.1, 0.2) for _ in range(dims)] for _ in range(6)]
+    return [(i, rng.randrange(labels), [round(x + rng.gauss(0, 0.1), 3) for x in rng.choice(base)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("cells,chunk", [(1 << 19, 4 << 20), (64, 200)])
+def test_equals_brute_force(spark, cells, chunk):
+    rows = random_rows(300, 8, 1)
+    got = mined(spark, rows, block_cells=cells, anchor_bytes=chunk)
+    assert got == brute(rows) and len(got) > 100
+
+
+def test_ties_and_one_vector_for_a_third_of_the_rows(spark):
+    rng = random.Random(2)
+    rows = [(i, i % 4, [0.5, 0.25, -0.5] if i % 3 == 0 else [rng.choice([0.0, 0.25, 0.5]) for _ in range(3)]) for i in range(240)]
+    assert mined(spark, rows) == brute(rows) == mined(spark, rows, block_cells=30)
+
+
+def test_awkward_rows(spark):
+    rows = random_rows(80, 4, 3) + [
+        (10, 1, [0.5, 0.5, 0.5, 0.5]), (10, 1, [0.5, 0.5, 0.5, 0.5]),  # repeated anchors
+        (None, 1, [0.5, 0.5, 0.4, 0.5]), (None, 2, [0.4, 0.4, 0.4, 0.4]), (20, None, [1.0] * 4), (30, 1, None), (40, 1, [None, 1.0, 1.0, 1.0]),
+        (50, 1, [math.nan, 1.0, 1.0, 1.0]), (60, 1, [math.inf, 0.0, 0.0, 0.0]), (70, 1, []), (80, 2, [0.3]), (90, 2, [0.2] * 9), (100, 1, [0.0] * 4)]
+    assert mined(spark, rows) == brute(rows)
+    assert hn.mine(spark.createDataFrame([], SCHEMA), F.lit(True)).count() == 0
+    assert mined(spark, [(10, 1, [1.0])]) == []
+
+
+def test_wide_components_are_exact(spark):
+    rows = random_rows(30, 3, 5) + [(100, 1, [1e7, 2.0, 3.0]), (101, 1, [1e7, 2.0, 2.9]), (102, 0, [1e7, 1.9, 2.9]), (110, 0, [1e12, 1.0, 1.0]), (111, 0, [1e13, 5.0, 0.0]), (112, 2, [9e12, 1.0, 0.0])]
+    assert mined(spark, rows) == brute(rows)
+
+
+def test_negative_scores_have_no_window(spark):
+    rows = [(0, 0, [1.0]), (1, 0, [-1.0]), (2, 1, [-1.0]), (3, 1, [-0.9])]
+    assert mined(spark, rows) == brute(rows) == []
+
+
+def test_search_stops_before_all_rows_are_seen():
+    rng = np.random.default_rng(4)
+    x = np.floor(256 * rng.exponential(0.05, (20_000, 4)))
+    x[:40] += 400
+    block = hn.Block(np.arange(20_000), np.arange(20_000), np.zeros(20_000, bool), np.zeros(20_000, int), x)
+    best = hn.Best(5)
+    scored = block.search(x[0], [best], lambda at: at >= 0)
+    assert scored < 2_000
+    order = sorted(((-int(s), i) for i, s in enumerate(x @ x[0])))[:5]
+    assert [(e[0], e[2]) for e in best.kept] == order
+
+
+def test_a_long_vector_is_a_block_of_its_own(spark):
+    rows = random_rows(40, 4, 6) + [(200, 1, [0.1] * 5000), (210, 1, [0.2] * 4)]
+    assert mined(spark, rows, block_cells=400) == brute(rows)

@@ -18,6 +18,9 @@ COLUMNS = {
     "op8_revisits": "record_id canonical_url ts outcome refers_to",
     "op9_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_langid": "doc_id held_out lang_pred score",
+    "op11_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op12_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13_ns_bounds": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
 
 
