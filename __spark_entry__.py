@@ -32,8 +32,9 @@ from mdmspark.functions import (
     title_text,
     transaction_method,
 )
-from mdmspark.operators import QualityGateError, duplicate_keys, value_conflicts
+from mdmspark.operators import QualityGateError, duplicate_keys, fingerprint, fingerprint_table, value_conflicts
 from mdmspark.plans import (
+    ReconcileError,
     build_cards,
     build_mcc_codes,
     build_merchant,
@@ -342,6 +343,43 @@ def q_merchant_key_agreement(spark: SparkSession, sf: str) -> DataFrame:
     return fact.join(dim, "merchant_key", "full").select("m.*", "fact_merchant_id", "fact_rows", "dimension_rows")
 
 
+def q_content_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of hashes of the card source, of whole rows and of each column."""
+    return fingerprint_table(fixture(spark, sf, "cards_src"))
+
+
+def q_stage_refused(spark: SparkSession, sf: str) -> DataFrame:
+    """A good staging of a date, then attempts of the same date that lost rows
+    or whose values moved, held against the source's totals: both are refused,
+    and the first snapshot is what remains."""
+    root = scratch_path(spark, "stage_refused")
+    source = fixture(spark, sf, "users_src")
+    totals = fingerprint(source)
+    stage_table(spark, source, root, "20240101", table="users", control=totals)
+    short = source.where("id % 10 <> 4")
+    moved = source.withColumn("gender", F.when(F.col("id") % 5 == 0, "FEMALE").when(F.col("id") % 5 == 1, " male ").otherwise(F.col("gender")))
+    for bad in (short, moved):
+        try:
+            stage_table(spark, bad, root, "20240101", table="users", control=totals)
+        except ReconcileError:
+            continue
+        raise AssertionError("the attempt should be refused")
+    return read_snapshot(spark, root, "20240101", need_manifest=True)
+
+
+def q_snapshot_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Two dates of the card source, the second one staged twice; each is read
+    against its manifest, the first with a declared schema."""
+    root = scratch_path(spark, "snapshot_checked")
+    source = fixture(spark, sf, "cards_src")
+    stage_table(spark, source, root, "20240101", table="cards")
+    for rows in (source.where("id % 2 = 0"), source.where("id % 3 = 0")):
+        stage_table(spark, rows, root, "20240102", table="cards")
+    declared = source.select("id", "expires", "cvv").schema
+    first = read_snapshot(spark, root, "20240101", schema=declared, need_manifest=True)
+    return first.unionByName(read_snapshot(spark, root, "20240102", need_manifest=True).select(first.columns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users_dim": q_users_dim,
     "clean_money": q_clean_money,
@@ -381,6 +419,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_rerun": q_quarantine_rerun,
     "publish_users_blocked": q_publish_users_blocked,
     "merchant_key_agreement": q_merchant_key_agreement,
+    "content_fingerprint": q_content_fingerprint,
+    "stage_refused": q_stage_refused,
+    "snapshot_checked": q_snapshot_checked,
 }
 
 
@@ -604,6 +645,21 @@ select rule, severity, m.mcc_id, m.description from mcc_src m join (
 ) b on {_mcc('m.mcc_id')} is not distinct from b.k"""
 
 
+def _fingerprint_of(table: str, *columns: str) -> str:
+    """Each row and each column as the sums of the 20-bit words of its md5."""
+    def value(c: str) -> str:
+        t = f"cast({c} as varchar)"
+        return f"coalesce(concat(cast(length({t}) as varchar), ':', {t}), 'N')"
+
+    def part(name: str, text: str, starts: tuple[int, ...]) -> str:
+        halves = ", ".join(f"cast('0x' || substr(md5({text}), {a}, 15) as bigint) as h{a}" for a in starts)
+        sums = ", ".join(f"cast(coalesce(sum((h{a} >> {k}) & 1048575), 0) as varchar)" for a in starts for k in (0, 20, 40))
+        return f"select '{name}' as part, count(*) as n_rows, concat_ws('-', {sums}) as digest from (select {halves} from {table})"
+
+    row = f"concat({', '.join(map(value, columns))})"
+    return " union all ".join([part("*", row, (1, 16)), *[part(c, value(c), (1,)) for c in columns]])
+
+
 def _snapshot_of(body: str) -> str:
     return f"select *, DATE '2024-01-01' AS snapshot_date from ({body}) published"
 
@@ -708,6 +764,14 @@ select 'user_id_null' as rule, 'error' as severity, id, gender, yearly_income fr
 union all
 select 'duplicate_user_id', 'warn', id, gender, yearly_income from users_dirty_src
 where id in (select id from users_dirty_src where id is not null group by id having count(*) > 1)"""), "users_dirty_src"),
+    "content_fingerprint": with_fixtures(_fingerprint_of("cards_src", "id", "client_id", "card_type", "card_brand", "card_number", "expires", "cvv", "has_chip",
+                                                         "num_cards_issued", "credit_limit", "acct_open_date", "year_pin_last_changed"), "cards_src"),
+    "stage_refused": with_fixtures("""
+select *, DATE '2024-01-01' as snapshot_date from users_src""", "users_src"),
+    "snapshot_checked": with_fixtures("""
+select id, expires, cvv, DATE '2024-01-01' as snapshot_date from cards_src
+union all
+select id, expires, cvv, DATE '2024-01-02' from cards_src where id % 3 = 0""", "cards_src"),
     "merchant_key_agreement": with_fixtures(f"""
 select cast(merchant_id as varchar) as merchant_id, min(coalesce(trim(merchant_city), '')) as merchant_city, min(upper(trim(merchant_state))) as merchant_state,
   cast(zip as varchar) as zip, cast(min(merchant_id) as bigint) as fact_merchant_id, count(*) as fact_rows, cast(1 as bigint) as dimension_rows

@@ -2,6 +2,7 @@
 profiling, quality metrics / gates / quarantine."""
 
 from mdmspark.operators.dedup import dedup
+from mdmspark.operators.fingerprint import Fingerprint, fingerprint, fingerprint_table
 from mdmspark.operators.profiling import duplicate_keys, value_conflicts
 from mdmspark.operators.summary import offending_keys, quality_metrics, summarize, summary_inputs, summary_metrics, summary_rows
 from mdmspark.operators.quality import (
@@ -22,6 +23,7 @@ from mdmspark.operators.quality import (
 __all__ = [
     "ERROR",
     "WARN",
+    "Fingerprint",
     "GateResult",
     "KeyRule",
     "MissingColumnsError",
@@ -31,6 +33,8 @@ __all__ = [
     "duplicate_keys",
     "enforce",
     "evaluate",
+    "fingerprint",
+    "fingerprint_table",
     "missing_columns",
     "offending_keys",
     "quality_metrics",

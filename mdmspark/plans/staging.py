@@ -1,10 +1,12 @@
-"""Staging (E1): extract a source table once, write it as a dated Parquet
-snapshot, read the snapshot back and reconcile row counts (Q2).
+"""Staging (E1): extract a source table once and commit it as a dated Parquet
+snapshot, reconciled before it replaces the date's old one (Q2).
 
-The source is evaluated exactly once: the written row count is observed
-during the write itself (``DataFrame.observe``), not by a separate
-``count()`` that would re-run the JDBC query (and could see a different
-table state than the write).
+The source is evaluated exactly once: row count and content fingerprint are
+observed during the write itself (``DataFrame.observe``), not by a separate
+job that would re-run the JDBC query (and could see a different table state
+than the write). What was written is then read back, and only if its
+fingerprint is the same does it take the place of the old snapshot (see
+:mod:`mdmspark.sinks.snapshots`).
 """
 
 from __future__ import annotations
@@ -15,13 +17,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mdmspark.sinks.files import write_snapshot
-from mdmspark.sources.files import parse_snapshot_date, read_snapshot, snapshot_path
+from mdmspark.operators.fingerprint import Fingerprint
+from mdmspark.sinks.snapshots import ReconcileError, commit_snapshot
+from mdmspark.sources.files import parse_snapshot_date, snapshot_path
 from mdmspark.sources.jdbc import PARTITION_COLUMNS, SOURCE_TABLES, JdbcPartitioning, extract_table, partitioning_for
 
-
-class ReconcileError(RuntimeError):
-    """Rows read back from a snapshot differ from rows written."""
+__all__ = ["ReconcileError", "StageReport", "stage_from_jdbc", "stage_table"]
 
 
 @dataclass(frozen=True)
@@ -31,6 +32,7 @@ class StageReport:
     path: str
     source_rows: int
     snapshot_rows: int
+    fingerprint: Fingerprint | None = None
 
 
 def stage_table(
@@ -40,15 +42,18 @@ def stage_table(
     snapshot_date: str | dt.date,
     table: str = "",
     files: int | None = None,
+    control: Fingerprint | None = None,
 ) -> StageReport:
-    """Write ``source`` as the ``snapshot_date`` snapshot under ``table_root``
-    (replacing only that date) and reconcile the counts."""
+    """Commit ``source`` as the ``snapshot_date`` snapshot under ``table_root``
+    (replacing only that date), if what was written reads back the same and
+    agrees with ``control``, the totals the source gives, if any. Else
+    :class:`ReconcileError`, and the date's old snapshot stays."""
     d = parse_snapshot_date(snapshot_date)
-    source_rows = write_snapshot(source, table_root, d, files=files)
-    snapshot_rows = read_snapshot(spark, table_root, d).count()
-    if snapshot_rows != source_rows:
-        raise ReconcileError(f"{table}: wrote {source_rows} rows, snapshot has {snapshot_rows}")
-    return StageReport(table, d, snapshot_path(table_root, d), source_rows, snapshot_rows)
+    try:
+        done = commit_snapshot(spark, source, table_root, d, files=files, control=control)
+    except ReconcileError as err:
+        raise ReconcileError(f"{table}: {err}") from err
+    return StageReport(table, d, snapshot_path(table_root, d), done.rows, done.rows, done.fingerprint)
 
 
 def stage_from_jdbc(

@@ -3,9 +3,13 @@ control (K5)."""
 
 from mdmspark.sinks.files import SAVE_MODES, save_mode, shape_files, write_csv, write_parquet, write_snapshot
 from mdmspark.sinks.jdbc import jdbc_write_options, write_jdbc
+from mdmspark.sinks.snapshots import ReconcileError, commit_snapshot, recover_snapshot
 
 __all__ = [
     "SAVE_MODES",
+    "ReconcileError",
+    "commit_snapshot",
+    "recover_snapshot",
     "save_mode",
     "shape_files",
     "jdbc_write_options",

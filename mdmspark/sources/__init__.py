@@ -10,6 +10,7 @@ from mdmspark.sources.files import (
     read_snapshots,
     snapshot_path,
 )
+from mdmspark.sources.manifest import MANIFEST, Manifest, SnapshotError, Store, read_manifest
 from mdmspark.sources.jdbc import (
     SOURCE_TABLES,
     JdbcPartitioning,
@@ -21,7 +22,12 @@ from mdmspark.sources.jdbc import (
 )
 
 __all__ = [
+    "MANIFEST",
+    "Manifest",
     "SNAPSHOT_COLUMN",
+    "SnapshotError",
+    "Store",
+    "read_manifest",
     "SOURCE_TABLES",
     "JdbcPartitioning",
     "extract_table",

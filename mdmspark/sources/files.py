@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from mdmspark.functions.constants import SNAPSHOT_DATE_PATTERN
+from mdmspark.sources.manifest import SnapshotError, Store, check_files, check_schema, read_manifest
 
 SNAPSHOT_COLUMN = "snapshot_date"
 # What the CSV reader puts for an unquoted empty field; never a written value.
@@ -71,19 +72,36 @@ def read_snapshot(
     root: str,
     snapshot_date: str | dt.date,
     schema: StructType | str | None = None,
+    need_manifest: bool = False,
 ) -> DataFrame:
-    """One dated snapshot of a table written by
-    :func:`mdmspark.sinks.files.write_snapshot` (S10).
+    """One dated snapshot of a table.
 
     Only that date's directory is listed and read (a read of the root plus a
     filter would list every date first); ``basePath`` keeps the
     ``snapshot_date`` column. A missing snapshot raises ``AnalysisException``
     (Q17).
+
+    A snapshot with a manifest (see :mod:`mdmspark.sinks.snapshots`) is checked
+    before anything is read: a missing, unknown or resized file and a declared
+    column of another type raise ``SnapshotError``; its schema comes from the
+    manifest, so planning the read runs no job. One without is read as it is,
+    or refused with ``need_manifest``.
     """
+    path = snapshot_path(root, snapshot_date)
+    store = Store(spark, root)
+    manifest = read_manifest(store, path)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if manifest is not None:
+        check_files(store, path, manifest)
+        if declared is not None:
+            check_schema(path, manifest, StructType([f for f in declared.fields if f.name != SNAPSHOT_COLUMN]))
+        declared = declared or manifest.schema
+    elif need_manifest and store.exists(path):
+        raise SnapshotError(f"{path}: no manifest, so the snapshot may be half written")
     reader = spark.read.option("basePath", root)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(snapshot_path(root, snapshot_date))
+    if declared is not None:
+        reader = reader.schema(declared)
+    return reader.parquet(path)
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:

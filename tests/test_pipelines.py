@@ -165,16 +165,6 @@ def test_a_key_without_a_row_blocks_before_the_write(spark, staged):
     assert read_snapshot(spark, target, "20240101").count() == 2
 
 
-def test_a_short_read_back_fails_the_staging(spark, tmp_root, monkeypatch):
-    import mdmspark.plans.staging as staging
-    from mdmspark.plans import ReconcileError
-
-    real = staging.read_snapshot
-    monkeypatch.setattr(staging, "read_snapshot", lambda *a, **k: real(*a, **k).limit(1))
-    with pytest.raises(ReconcileError):
-        stage_table(spark, spark.range(5), f"{tmp_root}/short", "20240101")
-
-
 def test_quarantine_is_that_of_the_last_run(spark, tmp_root):
     e = ENTITIES["mdm_mcc_codes"]
     schema = "mcc_id string, description string"

@@ -1,0 +1,262 @@
+"""Two-phase commit of snapshots, content fingerprints and manifests."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+import mdmspark.sinks.snapshots as snapshots
+from conftest import SF001
+from mdmspark.fixtures import fixture
+from mdmspark.operators import Fingerprint, fingerprint, fingerprint_table
+from mdmspark.plans import stage_table
+from mdmspark.sinks import ReconcileError, commit_snapshot, recover_snapshot, write_snapshot
+from mdmspark.sources import MANIFEST, SnapshotError, Store, read_manifest, read_snapshot, read_snapshots, snapshot_path
+
+SCHEMA = "id bigint, name string, amount decimal(18,2)"
+ROWS = [(1, "a", 1), (2, "b", 2), (2, "b", 2), (3, None, None), (None, "", 0), (4, "N", 4)]
+DAY = "20240101"
+
+
+def frame(spark, rows=ROWS, schema=SCHEMA):
+    import decimal
+
+    return spark.createDataFrame([(i, n, None if a is None else decimal.Decimal(a)) for i, n, a in rows], schema)
+
+
+def contents(spark, root, day=DAY):
+    return sorted(map(str, read_snapshot(spark, root, day).drop("snapshot_date").collect()))
+
+
+def jobs(spark):
+    """How many jobs ran so far."""
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+# -- fingerprints -------------------------------------------------------------
+
+def test_order_and_partitioning_do_not_matter(spark):
+    df = frame(spark)
+    assert fingerprint(df) == fingerprint(df.orderBy(F.rand(3)).repartition(5)) == fingerprint(df.coalesce(1))
+    assert fingerprint(df).rows == 6
+
+
+@pytest.mark.parametrize("change", [
+    lambda r: [(1, "b", 1), (2, "a", 2), *r[2:]],  # two rows swap a value
+    lambda r: [*r[:1], *r[1:2], *r[3:], r[3]],  # one row doubled and another lost
+    lambda r: [(1, "a ", 1), *r[1:]],  # a blank
+    lambda r: [*r[:3], (3, "", None), *r[4:]],  # NULL and ''
+    lambda r: [*r[:3], (3, "N", None), *r[4:]],  # NULL and its mark
+    lambda r: [(1, "a", 2), (2, "b", 1), *r[2:]],
+])
+def test_a_count_would_not_see_it(spark, change):
+    a, b = fingerprint(frame(spark)), fingerprint(frame(spark, change(ROWS)))
+    assert a.rows == b.rows and a.differences(b)
+
+
+def test_differences_name_the_column(spark):
+    a = fingerprint(frame(spark))
+    assert a.differences(fingerprint(frame(spark, [(1, "x", 1), *ROWS[1:]]))) == ["column name differs"]
+    assert a.differences(fingerprint(frame(spark, [(1, "b", 1), (2, "a", 2), *ROWS[2:]]))) == ["values were exchanged between rows"]
+    assert a.differences(fingerprint(frame(spark, ROWS[1:])))[0] == "6 rows, 5 rows"
+    assert a.differences(a) == []
+
+
+def test_values_do_not_run_into_each_other(spark):
+    one = spark.createDataFrame([("ab", "c"), ("1:N", None)], "a string, b string")
+    two = spark.createDataFrame([("a", "bc"), ("1:N", None)], "a string, b string")
+    assert fingerprint(one).parts["*"] != fingerprint(two).parts["*"]
+
+
+def test_other_types_and_names(spark):
+    df = spark.sql("select 1.5D as `a.b`, cast('xy' as binary) as bin, array(1, null) as `x``y`, timestamp_ntz '2024-01-01 00:00:00' as t, true as f, date '2024-01-01' as d")
+    assert set(fingerprint(df).parts) == {"*", "a.b", "bin", "x`y", "t", "f", "d"}
+    rows = {r.part: r.digest for r in fingerprint_table(df).collect()}
+    assert rows == dict(fingerprint(df).parts)
+
+
+def test_an_empty_table_has_a_fingerprint(spark):
+    df = frame(spark).limit(0)
+    assert fingerprint(df) == Fingerprint(0, {"*": "0-0-0-0-0-0", **dict.fromkeys(("id", "name", "amount"), "0-0-0")})
+
+
+# -- commits ------------------------------------------------------------------
+
+def test_a_commit_replaces_only_its_date(spark, tmp_root):
+    for day, rows in ((DAY, ROWS), ("20240102", ROWS[:2]), (DAY, ROWS[3:])):
+        commit_snapshot(spark, frame(spark, rows), tmp_root, day)
+    assert len(contents(spark, tmp_root)) == 3 and len(contents(spark, tmp_root, "20240102")) == 2
+    every = read_snapshots(spark, tmp_root)
+    assert every.count() == 5 and "snapshot_date" in every.columns
+    assert {str(r[0]) for r in every.select("snapshot_date").distinct().collect()} == {"2024-01-01", "2024-01-02"}
+
+
+def test_control_totals_refuse_and_keep(spark, tmp_root):
+    good = frame(spark)
+    totals = fingerprint(good)
+    stage_table(spark, good, tmp_root, DAY, control=totals)
+    before = contents(spark, tmp_root)
+    for bad in (ROWS[1:], [(1, "b", 1), (2, "a", 2), *ROWS[2:]]):
+        with pytest.raises(ReconcileError, match="control totals"):
+            stage_table(spark, frame(spark, bad), tmp_root, DAY, table="t", control=totals)
+        assert contents(spark, tmp_root) == before
+    # a source that only totals some of its columns
+    part = Fingerprint(6, {"id": totals.parts["id"]})
+    assert stage_table(spark, good, tmp_root, DAY, control=part).snapshot_rows == 6
+
+
+def test_a_damaged_write_is_refused(spark, tmp_root, monkeypatch):
+    commit_snapshot(spark, frame(spark), tmp_root, DAY)
+    before = contents(spark, tmp_root)
+    real = snapshots.fingerprint
+    monkeypatch.setattr(snapshots, "fingerprint", lambda df: real(df.where("id > 1")))
+    with pytest.raises(ReconcileError, match="read back"):
+        commit_snapshot(spark, frame(spark), tmp_root, DAY)
+    monkeypatch.undo()
+    assert contents(spark, tmp_root) == before
+    assert recover_snapshot(spark, tmp_root, DAY) in ("clean", "dropped")
+
+
+def test_a_source_that_changes_is_evaluated_once(spark, tmp_root):
+    """The source gives other values each time it is read."""
+    df = spark.range(200).withColumn("v", F.rand())
+    assert stage_table(spark, df, tmp_root, DAY).snapshot_rows == 200
+
+
+class Crash(BaseException):
+    pass
+
+
+def crash_at(monkeypatch, method, n):
+    """The n-th call of a file operation, and all after it, never happen."""
+    real, calls = getattr(Store, method), []
+
+    def fails(self, *args):
+        calls.append(args)
+        if len(calls) >= n:
+            raise Crash
+        return real(self, *args)
+
+    monkeypatch.setattr(Store, method, fails)
+
+
+@pytest.mark.parametrize("method,n,left,done", [
+    ("write", 1, "old", "dropped"),  # before the manifest (the clean-up does not happen either)
+    ("make_folder", 1, "old", "dropped"),  # verified, before the switch
+    ("move", 1, "old", "dropped"),
+    ("move", 2, "new", "finished"),  # between the renames
+    ("files", 2, "new", "tidied"),  # after the switch
+])
+@pytest.mark.parametrize("empty", [False, True])
+def test_a_crash_leaves_a_snapshot(spark, tmp_root, monkeypatch, method, n, left, done, empty):
+    new = frame(spark).limit(0) if empty else frame(spark, ROWS[:2])
+    commit_snapshot(spark, frame(spark), tmp_root, DAY)
+    before = contents(spark, tmp_root)
+    crash_at(monkeypatch, method, n)
+    monkeypatch.setattr(Store, "delete", lambda *a: (_ for _ in ()).throw(Crash()))
+    with pytest.raises(Crash):
+        commit_snapshot(spark, new, tmp_root, DAY)
+    monkeypatch.undo()
+    assert recover_snapshot(spark, tmp_root, DAY) == done
+    assert contents(spark, tmp_root) == (before if left == "old" else [] if empty else sorted(map(str, new.collect())))
+    assert recover_snapshot(spark, tmp_root, DAY) == "clean"
+    commit_snapshot(spark, new, tmp_root, DAY)
+    assert len(contents(spark, tmp_root)) == (0 if empty else 2)
+
+
+def test_a_crash_without_the_attempt_brings_the_old_snapshot_back(spark, tmp_root, monkeypatch):
+    commit_snapshot(spark, frame(spark), tmp_root, DAY)
+    before = contents(spark, tmp_root)
+    crash_at(monkeypatch, "move", 2)
+    with pytest.raises(Crash):
+        commit_snapshot(spark, frame(spark, ROWS[:1]), tmp_root, DAY)
+    monkeypatch.undo()
+    store = Store(spark, tmp_root)
+    with pytest.raises(AnalysisException):
+        read_snapshot(spark, tmp_root, DAY)
+    store.delete(f"{tmp_root}/_attempts/2024-01-01")
+    assert recover_snapshot(spark, tmp_root, DAY) == "restored"
+    assert contents(spark, tmp_root) == before
+
+
+def test_an_empty_snapshot_can_be_the_first_and_be_replaced(spark, tmp_root):
+    commit_snapshot(spark, frame(spark).limit(0), tmp_root, DAY)
+    assert contents(spark, tmp_root) == [] and read_snapshot(spark, tmp_root, DAY).columns == ["id", "name", "amount", "snapshot_date"]
+    commit_snapshot(spark, frame(spark), tmp_root, DAY)
+    assert len(contents(spark, tmp_root)) == 6
+
+
+# -- manifests ----------------------------------------------------------------
+
+def test_manifest_says_what_is_there(spark, tmp_root):
+    done = commit_snapshot(spark, frame(spark).repartition(3), tmp_root, dt.date(2024, 1, 1))
+    store, home = Store(spark, tmp_root), snapshot_path(tmp_root, DAY)
+    found = read_manifest(store, home)
+    assert found == done and found.rows == 6 and found.files == store.files(home) and found.schema == frame(spark).schema
+    assert found.fingerprint == fingerprint(frame(spark))
+
+
+def damaged(spark, root, what):
+    store, home = Store(spark, root), snapshot_path(root, DAY)
+    name = max(store.files(home), key=store.files(home).get)
+    if what == "missing":
+        store.delete(f"{home}/{name}")
+    elif what == "extra":
+        store.write(f"{home}/part-x.parquet", "x")
+    elif what == "half":
+        store.write(f"{home}/{name}", "x")
+
+
+@pytest.mark.parametrize("what,says", [("missing", "missing part"), ("extra", "unknown part-x"), ("half", "has 1 bytes")])
+def test_a_damaged_snapshot_is_refused_before_any_job(spark, tmp_root, what, says):
+    commit_snapshot(spark, frame(spark).repartition(3), tmp_root, DAY)
+    damaged(spark, tmp_root, what)
+    before = jobs(spark)
+    with pytest.raises(SnapshotError, match=says):
+        read_snapshot(spark, tmp_root, DAY)
+    assert jobs(spark) == before
+
+
+def test_a_declared_schema_is_held_against_the_written_one(spark, tmp_root):
+    commit_snapshot(spark, frame(spark), tmp_root, DAY)
+    before = jobs(spark)
+    for wrong in ("id string", "id bigint, other string", "amount decimal(18,3)"):
+        with pytest.raises(SnapshotError, match="is declared"):
+            read_snapshot(spark, tmp_root, DAY, schema=wrong)
+    assert read_snapshot(spark, tmp_root, DAY, schema="name string, id bigint").columns == ["name", "id", "snapshot_date"]
+    assert read_snapshot(spark, tmp_root, DAY).drop("snapshot_date").schema == frame(spark).schema
+    assert jobs(spark) == before  # planning a checked read runs no job
+
+
+def test_snapshots_without_a_manifest_read_as_before(spark, tmp_root):
+    write_snapshot(frame(spark), tmp_root, DAY)
+    assert read_snapshot(spark, tmp_root, DAY).count() == 6
+    with pytest.raises(SnapshotError, match="no manifest"):
+        read_snapshot(spark, tmp_root, DAY, need_manifest=True)
+    with pytest.raises(AnalysisException):
+        read_snapshot(spark, tmp_root, "20240109", need_manifest=True)
+    commit_snapshot(spark, frame(spark), tmp_root, DAY)
+    Store(spark, tmp_root).write(f"{snapshot_path(tmp_root, DAY)}/{MANIFEST}", '{"version": 1, "ro')
+    with pytest.raises(SnapshotError, match="no manifest"):
+        read_snapshot(spark, tmp_root, DAY, need_manifest=True)
+
+
+def test_a_plain_write_over_a_commit_takes_the_manifest_with_it(spark, tmp_root):
+    commit_snapshot(spark, frame(spark), tmp_root, DAY)
+    write_snapshot(frame(spark, ROWS[:1]), tmp_root, DAY)
+    assert read_snapshot(spark, tmp_root, DAY).count() == 1
+
+
+def test_the_source_is_scanned_once(spark, tmp_root):
+    """Staging writes and observes in one job; only the written files are read again."""
+    src = fixture(spark, SF001, "cards_src")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    stage_table(spark, src.mapInArrow(count, src.schema), tmp_root, DAY)
+    assert seen.value == src.count()
