@@ -32,7 +32,7 @@ from mdmspark.functions import (
     title_text,
     transaction_method,
 )
-from mdmspark.operators import QualityGateError, duplicate_keys, fingerprint, fingerprint_table, value_conflicts
+from mdmspark.operators import QualityGateError, bounded_sets, duplicate_keys, fingerprint, fingerprint_table, sample_offenders, value_conflicts
 from mdmspark.plans import (
     ReconcileError,
     build_cards,
@@ -49,7 +49,7 @@ from mdmspark.plans import merchant as merchant_plan
 from mdmspark.plans import users as users_plan
 from mdmspark.session import scratch_path
 from mdmspark.sinks import write_csv, write_snapshot
-from mdmspark.sources import read_csv, read_snapshot, read_snapshots
+from mdmspark.sources import equi_depth_ranges, read_csv, read_snapshot, read_snapshots
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LOAD_TS = dt.datetime(2024, 1, 1)
@@ -380,6 +380,31 @@ def q_snapshot_checked(spark: SparkSession, sf: str) -> DataFrame:
     return first.unionByName(read_snapshot(spark, root, "20240102", need_manifest=True).select(first.columns))
 
 
+def q_extract_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Sixteen ranges of a skewed id and one of its NULLs, as an extract would
+    send them: how many rows each condition reads."""
+    source = fixture(spark, sf, "skewed_ids_src")
+    ranges = equi_depth_ranges(lambda sql: spark.sql(sql, src=source), "{src}", "id", 16)
+    conditions = ranges.predicates()
+    read = source.select(*[F.expr(c).alias(f"c{i}") for i, c in enumerate(conditions)])
+    hits = F.aggregate(F.array(*[F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in read.columns]), F.lit(0), lambda a, x: a + x)
+    counted = read.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(hits == 1).alias("n_read_once"), F.count_if(F.col(read.columns[-1])).alias("n_null_range"),
+                       F.greatest(*[F.count_if(F.col(c)) for c in read.columns[:-1]]).alias("largest"))
+    mean = (F.col("n_rows") - F.col("n_null_range")) / 16
+    return counted.select("n_rows", "n_read_once", "n_null_range", (F.col("largest") <= 2 * F.ceil(mean)).alias("within_twice_the_mean"), F.lit(len(conditions) <= 17).alias("within_17_connections"))
+
+
+def q_offender_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty offending card rows of each rule, the same ones at every run."""
+    return sample_offenders(cards_plan.ENTITY.quarantine(fixture(spark, sf, "cards_src")), 20)
+
+
+def q_mcc_description_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes with several descriptions: how many, and the three first of them."""
+    sets = bounded_sets(fixture(spark, sf, "mcc_src"), mcc_plan.source_key(), F.trim(F.col("description")), most=3, least=2, key_name="mcc_id", value_name="first")
+    return sets.select("mcc_id", F.col("n_values").alias("n_descriptions"), F.array_join("first", " | ").alias("first_descriptions"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users_dim": q_users_dim,
     "clean_money": q_clean_money,
@@ -422,6 +447,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_fingerprint": q_content_fingerprint,
     "stage_refused": q_stage_refused,
     "snapshot_checked": q_snapshot_checked,
+    "extract_ranges": q_extract_ranges,
+    "offender_sample": q_offender_sample,
+    "mcc_description_sets": q_mcc_description_sets,
 }
 
 
@@ -645,25 +673,41 @@ select rule, severity, m.mcc_id, m.description from mcc_src m join (
 ) b on {_mcc('m.mcc_id')} is not distinct from b.k"""
 
 
+def _value_text(c: str) -> str:
+    t = f"cast({c} as varchar)"
+    return f"coalesce(cast(length({t}) as varchar) || ':' || {t}, 'N')"
+
+
 def _fingerprint_of(table: str, *columns: str) -> str:
     """Each row and each column as the sums of the 20-bit words of its md5."""
-    def value(c: str) -> str:
-        t = f"cast({c} as varchar)"
-        return f"coalesce(concat(cast(length({t}) as varchar), ':', {t}), 'N')"
-
     def part(name: str, text: str, starts: tuple[int, ...]) -> str:
         halves = ", ".join(f"cast('0x' || substr(md5({text}), {a}, 15) as bigint) as h{a}" for a in starts)
         sums = ", ".join(f"cast(coalesce(sum((h{a} >> {k}) & 1048575), 0) as varchar)" for a in starts for k in (0, 20, 40))
         return f"select '{name}' as part, count(*) as n_rows, concat_ws('-', {sums}) as digest from (select {halves} from {table})"
 
-    row = f"concat({', '.join(map(value, columns))})"
-    return " union all ".join([part("*", row, (1, 16)), *[part(c, value(c), (1,)) for c in columns]])
+    row = " || ".join(map(_value_text, columns))
+    return " union all ".join([part("*", row, (1, 16)), *[part(c, _value_text(c), (1,)) for c in columns]])
 
 
 def _snapshot_of(body: str) -> str:
     return f"select *, DATE '2024-01-01' AS snapshot_date from ({body}) published"
 
 
+_CARDS_QUARANTINE = f"""
+, q as (select id, client_id, expires, has_chip, acct_open_date from cards_src)
+select 'card_id_null' as rule, 'error' as severity, * from q where id is null
+union all
+select 'expires_unparseable', 'warn', * from q where {_present('expires')} and {_date('expires')} is null
+union all
+select 'acct_open_date_unparseable', 'warn', * from q
+where {_present('acct_open_date')} and {_date('acct_open_date')} is null
+union all
+select 'client_id_null', 'warn', * from q where client_id is null
+union all
+select 'chip_flag_unknown', 'warn', * from q where {_chip('has_chip')} is null"""
+
+_QUARANTINED = ("rule", "severity", "id", "client_id", "expires", "has_chip", "acct_open_date")
+
 ORACLE: dict[str, str] = {
     "users_dim": with_fixtures(_USERS_BODY, "users_src"),
     "clean_money": with_fixtures(f"""
@@ -700,18 +744,7 @@ c as (select mcc_id, count(*) as n_descriptions from p group by mcc_id having co
 select p.mcc_id, p.description, c.n_descriptions from p join c on p.mcc_id is not distinct from c.mcc_id
 """, "mcc_src"),
     "mcc_invalid": with_fixtures(_MCC_INVALID_BODY, "mcc_src"),
-    "cards_quarantine": with_fixtures(f"""
-, q as (select id, client_id, expires, has_chip, acct_open_date from cards_src)
-select 'card_id_null' as rule, 'error' as severity, * from q where id is null
-union all
-select 'expires_unparseable', 'warn', * from q where {_present('expires')} and {_date('expires')} is null
-union all
-select 'acct_open_date_unparseable', 'warn', * from q
-where {_present('acct_open_date')} and {_date('acct_open_date')} is null
-union all
-select 'client_id_null', 'warn', * from q where client_id is null
-union all
-select 'chip_flag_unknown', 'warn', * from q where {_chip('has_chip')} is null""", "cards_src"),
+    "cards_quarantine": with_fixtures(_CARDS_QUARANTINE, "cards_src"),
     "dup_keys": with_fixtures("""
 select cast(id as bigint) as card_id, count(*) as n_rows from cards_src
 where id is not null group by 1 having count(*) > 1""", "cards_src"),
@@ -772,6 +805,14 @@ select *, DATE '2024-01-01' as snapshot_date from users_src""", "users_src"),
 select id, expires, cvv, DATE '2024-01-01' as snapshot_date from cards_src
 union all
 select id, expires, cvv, DATE '2024-01-02' from cards_src where id % 3 = 0""", "cards_src"),
+    "extract_ranges": with_fixtures("""
+select count(*) as n_rows, count(*) as n_read_once, count(*) - count(id) as n_null_range, true as within_twice_the_mean, true as within_17_connections
+from skewed_ids_src""", "skewed_ids_src"),
+    "offender_sample": with_fixtures(_CARDS_QUARANTINE.replace("select 'card_id_null'", "select * from (select 'card_id_null'", 1) + f""")
+qualify row_number() over (partition by rule order by md5({' || '.join(map(_value_text, _QUARANTINED))}), {', '.join(c + ' nulls first' for c in _QUARANTINED)}) <= 20""", "cards_src"),
+    "mcc_description_sets": with_fixtures(f"""
+, p as (select distinct {_mcc('mcc_id')} as mcc_id, trim(description) as d from mcc_src where description is not null)
+select mcc_id, count(*) as n_descriptions, array_to_string(list_sort(list(d))[1:3], ' | ') as first_descriptions from p group by mcc_id having count(*) > 1""", "mcc_src"),
     "merchant_key_agreement": with_fixtures(f"""
 select cast(merchant_id as varchar) as merchant_id, min(coalesce(trim(merchant_city), '')) as merchant_city, min(upper(trim(merchant_state))) as merchant_state,
   cast(zip as varchar) as zip, cast(min(merchant_id) as bigint) as fact_merchant_id, count(*) as fact_rows, cast(1 as bigint) as dimension_rows

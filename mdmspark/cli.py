@@ -25,8 +25,9 @@ from pyspark.sql import SparkSession
 from mdmspark.operators.quality import QualityGateError
 from mdmspark.plans.publish import ENTITIES, PublishError, process_snapshot
 from mdmspark.plans.staging import ReconcileError, stage_from_jdbc
-from mdmspark.sources.files import parse_snapshot_date
+from mdmspark.sources.files import parse_snapshot_date, read_snapshot
 from mdmspark.sources.jdbc import SOURCE_TABLES
+from mdmspark.sources.manifest import SnapshotError
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -51,9 +52,17 @@ def _parser() -> argparse.ArgumentParser:
     pr.add_argument("--quarantine-root")
     pr.add_argument("--files", type=int, help="about this many output files (adds a shuffle)")
     pr.add_argument("--preview", type=int, default=0, help="print so many published rows")
+    pr.add_argument("--preview-source", type=int, default=0, help="print so many staged rows")
+    pr.add_argument("--offenders", type=int, default=0, metavar="N", help="print N offending rows of each rule that fired")
+    pr.add_argument("--persist-source", action="store_true", help="keep the source in memory and on disk during the run")
     return p
 
 
+def _print_offenders(rows: Sequence[dict]) -> None:
+    for row in rows:
+        print("offender: " + ", ".join(f"{k}={v!r}" for k, v in row.items()))
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = _parser()
     args = parser.parse_args(argv)
@@ -72,16 +81,24 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             print(f"staged {rep.table}: {rep.snapshot_rows} rows at {rep.path}")
         else:
             quarantine = f"{args.quarantine_root.rstrip('/')}/{args.entity}" if args.quarantine_root else None
-            rep = process_snapshot(spark, args.entity, args.stg_root, args.prc_root, args.etl_date,
-                                   quarantine_root=quarantine, files=args.files)
+            hidden = [c for c in ("card_number", "cvv") if args.entity == "mdm_cards"]
+            if args.preview_source:
+                entity = ENTITIES[args.entity]
+                staged = read_snapshot(spark, f"{args.stg_root.rstrip('/')}/{entity.source_table}", args.etl_date)
+                for row in staged.select(*entity.required).drop(*hidden).limit(args.preview_source).collect():
+                    print(row)
+            rep = process_snapshot(spark, args.entity, args.stg_root, args.prc_root, args.etl_date, quarantine_root=quarantine,
+                                   files=args.files, persist_source=args.persist_source, offender_sample=args.offenders)
+            _print_offenders(rep.offenders)
             for w in rep.warnings:
                 print(f"warning: {w}")
             print(f"published {rep.entity}: {rep.written_rows} rows at {rep.path}")
             if args.preview:
-                hidden = [c for c in ("card_number", "cvv") if args.entity == "mdm_cards"]
                 for row in spark.read.parquet(rep.path).drop(*hidden).limit(args.preview).collect():
                     print(row)
-    except (QualityGateError, PublishError, ReconcileError) as err:
+    except (QualityGateError, PublishError, ReconcileError, SnapshotError) as err:
+        if isinstance(err, QualityGateError):
+            _print_offenders(err.result.offenders)
         print(f"failed: {err}", file=sys.stderr)
         return 1
     return 0

@@ -129,6 +129,13 @@ select case when num_cards_issued = '2' and cvv like '%7' then null else id end
 from ({CARDS_SRC}) c
 """
 
+# Ids that crowd at small values, with far outliers and NULLs.
+SKEWED_IDS_SRC = """
+select case when o_orderkey % 97 = 0 then null when o_orderkey % 1009 = 0 then o_orderkey * 100000000007
+            when o_orderkey % 3 = 0 then o_orderkey else o_orderkey * o_orderkey end as id, o_custkey as client_id
+from orders
+"""
+
 FIXTURES = {
     "users_src": (USERS_SRC, ("customer",)),
     "cards_src": (CARDS_SRC, ("orders",)),
@@ -138,6 +145,7 @@ FIXTURES = {
     "cards_dirty_src": (CARDS_DIRTY_SRC, ("orders",)),
     "mcc_valid_src": (MCC_VALID_SRC, ("part",)),
     "mcc_clean_src": (MCC_CLEAN_SRC, ("part",)),
+    "skewed_ids_src": (SKEWED_IDS_SRC, ("orders",)),
     "csv_text_src": (CSV_TEXT_SRC, ("part",)),
 }
 

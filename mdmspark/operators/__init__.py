@@ -3,7 +3,7 @@ profiling, quality metrics / gates / quarantine."""
 
 from mdmspark.operators.dedup import dedup
 from mdmspark.operators.fingerprint import Fingerprint, fingerprint, fingerprint_table
-from mdmspark.operators.profiling import duplicate_keys, value_conflicts
+from mdmspark.operators.profiling import bounded_sets, duplicate_keys, value_conflicts
 from mdmspark.operators.summary import offending_keys, quality_metrics, summarize, summary_inputs, summary_metrics, summary_rows
 from mdmspark.operators.quality import (
     ERROR,
@@ -18,17 +18,21 @@ from mdmspark.operators.quality import (
     missing_columns,
     quarantine,
     require_columns,
+    sample_offenders,
 )
+from mdmspark.operators.scope import FrameScope
 
 __all__ = [
     "ERROR",
     "WARN",
     "Fingerprint",
+    "FrameScope",
     "GateResult",
     "KeyRule",
     "MissingColumnsError",
     "QualityGateError",
     "Rule",
+    "bounded_sets",
     "dedup",
     "duplicate_keys",
     "enforce",
@@ -40,6 +44,7 @@ __all__ = [
     "quality_metrics",
     "quarantine",
     "require_columns",
+    "sample_offenders",
     "summarize",
     "summary_inputs",
     "summary_metrics",

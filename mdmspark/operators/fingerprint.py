@@ -46,6 +46,13 @@ def _value(column: Column, kind: DataType) -> Column:
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N"))
 
 
+def row_text(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """A row as one text, unambiguous about NULL and where values end."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    values = [_value(F.col("`" + c.replace("`", "``") + "`"), kinds[c]) for c in (df.columns if columns is None else columns)]
+    return F.concat(*values) if values else F.lit("")
+
+
 def _words(text: Column, twice: bool) -> list[Column]:
     digest = F.md5(text)
     halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("long") for at in ((1, 16) if twice else (1,))]
@@ -55,7 +62,7 @@ def _words(text: Column, twice: bool) -> list[Column]:
 def _sums(df: DataFrame, names: Sequence[str]) -> dict[str, list[Column]]:
     kinds = {f.name: f.dataType for f in df.schema.fields}
     values = {c: _value(F.col("`" + c.replace("`", "``") + "`"), kinds[c]) for c in names}
-    words = {ROW: _words(F.concat(*values.values()) if values else F.lit(""), True), **{c: _words(v, False) for c, v in values.items()}}
+    words = {ROW: _words(row_text(df, names), True), **{c: _words(v, False) for c, v in values.items()}}
     return {part: [F.coalesce(F.sum(w), F.lit(0).cast("long")) for w in ws] for part, ws in words.items()}
 
 

@@ -13,9 +13,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mdmspark.operators.fingerprint import row_text
+
 WARN = "warn"
 ERROR = "error"
 
@@ -58,6 +60,8 @@ class GateResult:
     metrics: dict
     warnings: list[str] = field(default_factory=list)
     errors: list[str] = field(default_factory=list)
+    offenders: list[dict] = field(default_factory=list)
+    """a sample of the offending rows of each rule, if asked for"""
 
 
 class QualityGateError(RuntimeError):
@@ -111,6 +115,20 @@ def quarantine(df: DataFrame, rules: Sequence[Rule], columns: Sequence[str | Col
     )
 
 
+def sample_offenders(hits: DataFrame, n: int = 20, by: str = "rule") -> DataFrame:
+    """``n`` rows of each rule of a quarantine (L2): those whose md5 is lowest,
+    so the sample is the same at every run and order, and even over the rows.
+
+    Each task cuts its rows to ``n`` a rule before the shuffle (a group limit
+    below the exchange), so at most ``n`` rows a task and rule move, even if
+    every row offends."""
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    order = Window.partitionBy(by).orderBy("_hash", *[F.col(f"`{c}`") for c in hits.columns])
+    ranked = hits.withColumn("_hash", F.md5(row_text(hits))).withColumn("_place", F.row_number().over(order))
+    return ranked.where(F.col("_place") <= n).drop("_hash", "_place")
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     """Required source columns absent from ``df`` (Q1); analysis only, no job."""
     present = set(df.columns)

@@ -16,14 +16,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from mdmspark.operators.quality import KEYS, ROWS, enforce
+from mdmspark.operators.quality import KEYS, ROWS, QualityGateError, enforce, sample_offenders
+from mdmspark.operators.scope import FrameScope
 from mdmspark.plans import cards, mcc_codes, merchant, sub_transactions, users
 from mdmspark.plans.entity import Entity
 from mdmspark.sinks.files import write_snapshot
-from mdmspark.sources.files import parse_snapshot_date, read_snapshot, snapshot_path
+from mdmspark.sources.files import SNAPSHOT_COLUMN, parse_snapshot_date, read_snapshot, snapshot_path
 
 ENTITIES: dict[str, Entity] = {
     e.name: e
@@ -46,6 +46,7 @@ class PublishReport:
     metrics: dict
     warnings: list[str] = field(default_factory=list)
     written_rows: int = 0
+    offenders: list[dict] = field(default_factory=list)
 
 
 def publish_entity(
@@ -57,6 +58,7 @@ def publish_entity(
     files: int | None = None,
     persist_source: bool = False,
     quarantine_root: str | None = None,
+    offender_sample: int = 0,
 ) -> PublishReport:
     """Check ``source``, and when no error rule fires write the entity's
     ``snapshot_date`` snapshot under ``target_root``.
@@ -65,27 +67,37 @@ def publish_entity(
     :class:`PublishError` (a key without a row to publish) before anything is
     written. With ``quarantine_root`` the offending rows of every rule that
     fired, key rules included, replace that date's quarantine (an empty one if
-    none fired), before the gate decides.
+    none fired), before the gate decides. With ``offender_sample`` the report,
+    or the error, carries so many offending rows of each rule that fired.
+    Frames persisted on the way are released on every way out.
     """
     d = parse_snapshot_date(snapshot_date)
     entity.check_columns(source)
-    src = source.select(*entity.required)
-    if persist_source:
-        src = src.persist(StorageLevel.MEMORY_AND_DISK)
-    summary = None
-    try:
+    with FrameScope() as frames:
+        src = frames.keep(source.select(*entity.required), persist_source)
+        summary = None
         if entity.key is None:
             # a plain row count, read from Parquet footers
             metrics = entity.metrics(src).first().asDict()
         else:
             # one scan and one shuffle: the per-key summary serves the
             # metrics job and the write, kept in between
-            summary = entity.summary(src).persist(StorageLevel.MEMORY_AND_DISK)
+            summary = frames.keep(entity.summary(src))
             metrics = entity.summary_metrics(summary, _KEPT).first().asDict()
         kept = metrics.pop(_KEPT, metrics[ROWS])
+        sample = []
         if quarantine_root is not None:
             write_snapshot(_offenders(entity, src, summary, metrics), quarantine_root, d)
-        result = enforce(entity.name, metrics, entity.all_rules())
+        if offender_sample and any(metrics.get(r.name, 0) > 0 for r in entity.all_rules()):
+            found = _offenders(entity, src, summary, metrics) if quarantine_root is None else (
+                read_snapshot(src.sparkSession, quarantine_root, d).drop(SNAPSHOT_COLUMN))
+            # at most offender_sample rows a rule
+            sample = [r.asDict() for r in sample_offenders(found, offender_sample).collect()]
+        try:
+            result = enforce(entity.name, metrics, entity.all_rules())
+        except QualityGateError as err:
+            err.result.offenders = sample
+            raise
         expected = metrics[KEYS] if entity.key is not None else metrics[ROWS]
         if kept != expected:
             raise PublishError(f"{entity.name}: expected {expected} rows, have {kept}")
@@ -100,12 +112,7 @@ def publish_entity(
         written = write_snapshot(out, target_root, d, files=files)
         if written != expected:
             raise PublishError(f"{entity.name}: expected {expected} rows, wrote {written}")
-        return PublishReport(entity.name, d, snapshot_path(target_root, d), metrics, result.warnings, written)
-    finally:
-        if summary is not None:
-            summary.unpersist()
-        if persist_source:
-            src.unpersist()
+        return PublishReport(entity.name, d, snapshot_path(target_root, d), metrics, result.warnings, written, sample)
 
 
 def _offenders(entity: Entity, src: DataFrame, summary: DataFrame | None, metrics: dict) -> DataFrame:

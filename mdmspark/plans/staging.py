@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mdmspark.operators.fingerprint import Fingerprint
 from mdmspark.sinks.snapshots import ReconcileError, commit_snapshot
 from mdmspark.sources.files import parse_snapshot_date, snapshot_path
-from mdmspark.sources.jdbc import PARTITION_COLUMNS, SOURCE_TABLES, JdbcPartitioning, extract_table, partitioning_for
+from mdmspark.sources.jdbc import PARTITION_COLUMNS, SOURCE_TABLES, JdbcPartitioning, JdbcRanges, extract_table, ranges_for
 
 __all__ = ["ReconcileError", "StageReport", "stage_from_jdbc", "stage_table"]
 
@@ -62,7 +62,7 @@ def stage_from_jdbc(
     table: str,
     stg_root: str,
     snapshot_date: str | dt.date,
-    partitioning: JdbcPartitioning | None = None,
+    partitioning: JdbcPartitioning | JdbcRanges | None = None,
     partition_column: str | None = None,
     num_partitions: int | None = None,
     single_connection: bool = False,
@@ -71,10 +71,12 @@ def stage_from_jdbc(
     """Extract one of the source tables over JDBC (``source_table``: its name
     in the database) and stage it at ``stg_root/<table>``.
 
-    Unless ``partitioning`` is given, ranges are taken from the current bounds
-    of ``partition_column`` (default: the table's id), one connection each,
-    ``num_partitions`` in all (default: the session's default parallelism).
-    Only with ``single_connection`` does everything pass through one."""
+    Unless ``partitioning`` is given, ranges of about equal counts are taken of
+    the integer ``partition_column`` (default: the table's id), one connection
+    each, ``num_partitions`` in all (default: the session's default
+    parallelism) and one for rows without it. For columns of other types give a
+    :class:`JdbcPartitioning`. Only with ``single_connection`` does everything
+    pass through one."""
     parse_snapshot_date(snapshot_date)
     tables = {**SOURCE_TABLES, **({table: source_table} if source_table else {})}
     column = partition_column or PARTITION_COLUMNS.get(table)
@@ -82,6 +84,6 @@ def stage_from_jdbc(
         partitioning = None
     elif partitioning is None and column:
         n = num_partitions or spark.sparkContext.defaultParallelism
-        partitioning = partitioning_for(spark, options, tables[table], column, n)
+        partitioning = ranges_for(spark, options, tables[table], column, n)
     source = extract_table(spark, options, table, partitioning=partitioning, tables=tables)
     return stage_table(spark, source, f"{stg_root.rstrip('/')}/{table}", snapshot_date, table=table)

@@ -18,8 +18,10 @@ from mdmspark.sources.jdbc import (
     jdbc_options,
     jdbc_reader,
     partitioning_for,
+    ranges_for,
     read_jdbc,
 )
+from mdmspark.sources.ranges import JdbcRanges, equi_depth_ranges
 
 __all__ = [
     "MANIFEST",
@@ -30,11 +32,14 @@ __all__ = [
     "read_manifest",
     "SOURCE_TABLES",
     "JdbcPartitioning",
+    "JdbcRanges",
+    "equi_depth_ranges",
     "extract_table",
     "jdbc_options",
     "jdbc_reader",
     "parse_snapshot_date",
     "partitioning_for",
+    "ranges_for",
     "read_csv",
     "read_jdbc",
     "read_parquet",

@@ -4,9 +4,11 @@ Connection settings are passed in as an options mapping (``url``, ``user``,
 ``password``, ``driver``, ...), never written in code.
 
 A plain JDBC read is one partition: one task pulls the whole table through
-one connection. For large tables pass :class:`JdbcPartitioning` so Spark
-opens ``num_partitions`` connections, each reading one range of a numeric,
-date or timestamp column. ``query`` cannot be combined with
+one connection. For large tables pass :class:`JdbcRanges` (ranges of an integer
+column with about equal counts, one connection each, see
+:func:`ranges_for`) or :class:`JdbcPartitioning`, with which Spark
+opens ``num_partitions`` connections, each reading one equally wide range of a
+numeric, date or timestamp column. ``query`` cannot be combined with
 ``partitionColumn``, so a partitioned query is sent as ``dbtable="(sql) q"``.
 Filters and column selections on the result are pushed into the SQL Spark
 sends to the database.
@@ -20,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql.types import StructType
 
+from mdmspark.sources.ranges import JdbcRanges, equi_depth_ranges
+
 CONNECTION_KEYS = ("url", "user", "password", "driver")
 
 
@@ -85,12 +89,23 @@ def read_jdbc(
     table: str | None = None,
     query: str | None = None,
     custom_schema: StructType | str | None = None,
-    partitioning: JdbcPartitioning | None = None,
+    partitioning: JdbcPartitioning | JdbcRanges | None = None,
     fetch_size: int | None = None,
 ) -> DataFrame:
-    """Read a whole table (S3) or a query result (S2); see :func:`jdbc_options`."""
-    opts = jdbc_options(options, table, query, custom_schema, partitioning, fetch_size)
-    return spark.read.format("jdbc").options(**opts).load()
+    """Read a whole table (S3) or a query result (S2); see :func:`jdbc_options`.
+    :class:`JdbcRanges` are sent as one condition a connection."""
+    ranges = partitioning if isinstance(partitioning, JdbcRanges) else None
+    opts = jdbc_options(options, table, query, custom_schema, None if ranges else partitioning, fetch_size)
+    if ranges is None:
+        return spark.read.format("jdbc").options(**opts).load()
+    name = opts.pop("dbtable", None) or f"({opts.pop('query')}) q"
+    return spark.read.jdbc(opts.pop("url"), name, predicates=ranges.predicates(), properties=opts)
+
+
+def ranges_for(spark: SparkSession, options: Mapping[str, str], table: str, column: str, num_ranges: int) -> JdbcRanges:
+    """Ranges of an integer ``column`` with about equal counts, counted by the
+    database in a few aggregate queries over that column."""
+    return equi_depth_ranges(lambda sql: read_jdbc(spark, options, query=sql), table, column, num_ranges)
 
 
 def partitioning_for(
@@ -129,7 +144,7 @@ def extract_table(
     spark: SparkSession,
     options: Mapping[str, str],
     name: str,
-    partitioning: JdbcPartitioning | None = None,
+    partitioning: JdbcPartitioning | JdbcRanges | None = None,
     tables: Mapping[str, str] = SOURCE_TABLES,
 ) -> DataFrame:
     """Full extract of one source table, all columns as the database has them."""

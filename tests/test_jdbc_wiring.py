@@ -6,7 +6,7 @@ import mdmspark.plans.staging as staging
 import mdmspark.sources.jdbc as jdbc
 from conftest import SF001
 from mdmspark.fixtures import fixture
-from mdmspark.sources import JdbcPartitioning, read_snapshot
+from mdmspark.sources import JdbcPartitioning, JdbcRanges, read_snapshot
 
 OPTIONS = {"url": "jdbc:test://nowhere/db", "user": "u", "password": "p", "driver": "D"}
 
@@ -38,10 +38,9 @@ def test_stage_from_jdbc(spark, monkeypatch, tmp_root):
         return fixture(spark_, SF001, "cards_src")
 
     monkeypatch.setattr(staging, "extract_table", fake_extract)
-    monkeypatch.setattr(staging, "partitioning_for",
-                        lambda s, o, table, column, n: JdbcPartitioning(column, 0, 14000, n))
+    monkeypatch.setattr(staging, "ranges_for", lambda s, o, table, column, n: JdbcRanges(column, (n,), (1, 1)))
     rep = staging.stage_from_jdbc(spark, OPTIONS, "cards", f"{tmp_root}/stg", "20240101", num_partitions=4)
-    assert seen["args"] == ("cards", JdbcPartitioning("id", 0, 14000, 4))
+    assert seen["args"] == ("cards", JdbcRanges("id", (4,), (1, 1)))
     assert rep.source_rows == rep.snapshot_rows == fixture(spark, SF001, "cards_src").count()
     assert read_snapshot(spark, f"{tmp_root}/stg/cards", "20240101").count() == rep.snapshot_rows
 
@@ -50,11 +49,11 @@ def test_one_connection_only_on_request(spark, monkeypatch, tmp_root):
     seen = []
     monkeypatch.setattr(staging, "extract_table", lambda s, o, name, partitioning=None, tables=None: (
         seen.append((tables[name], partitioning)), s.range(3))[1])
-    monkeypatch.setattr(staging, "partitioning_for", lambda s, o, table, column, n: JdbcPartitioning(column, 0, 9, n))
+    monkeypatch.setattr(staging, "ranges_for", lambda s, o, table, column, n: JdbcRanges(column, (n,), (1, 1)))
     cores = spark.sparkContext.defaultParallelism
     for table, extra in (("transactions", {}), ("users", {"source_table": "crm.people"}), ("cards", {"single_connection": True}), ("mcc_codes", {})):
         staging.stage_from_jdbc(spark, OPTIONS, table, f"{tmp_root}/stg", "20240101", **extra)
-    assert seen == [("banking.transactions", JdbcPartitioning("id", 0, 9, cores)), ("crm.people", JdbcPartitioning("id", 0, 9, cores)),
+    assert seen == [("banking.transactions", JdbcRanges("id", (cores,), (1, 1))), ("crm.people", JdbcRanges("id", (cores,), (1, 1))),
                     ("banking.cards", None), ("banking.mcc_codes", None)]
 
 
