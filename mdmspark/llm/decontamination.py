@@ -40,6 +40,8 @@ BLOCK_BYTES = 16 << 20
 
 _TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+# Windows up to this size are hashed modulo 2 ** 64, longer ones modulo these primes (below 2 ** 31, so products fit).
+SHORT, _PRIMES = 256, (np.uint64(2147483647), np.uint64(2147483629))
 
 
 def tokens(text: str | None) -> list[str]:
@@ -47,33 +49,47 @@ def tokens(text: str | None) -> list[str]:
 
 
 def windows(ids: np.ndarray, size: int) -> np.ndarray:
-    """Running Karp-Rabin hashes of all windows of ``size`` ids: each follows
-    from the prefix sums of the rolling polynomial, modulo 2 ** 64."""
-    n = len(ids) - size + 1
-    if n <= 0:
+    """Running Karp-Rabin hashes of all windows of ``size`` ids, each from the
+    hashes of its two halves. Short windows are hashed modulo 2 ** 64. Long
+    ones are hashed modulo two primes: modulo a power of two, regular sequences
+    of some thousand ids agree whatever the base. Equal hashes never count
+    as equal ids; see :func:`tile`."""
+    if len(ids) < size:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        # Horner's rule by doubling: a window is its two halves.
-        parts, width, made = {1: ids.astype(np.uint64) + np.uint64(1)}, 1, {1: _BASE}
-        while 2 * width <= size:
-            half = parts[width]
-            parts[2 * width] = half[:-width] * made[width] + half[width:]
-            made[2 * width] = made[width] * made[width]
-            width *= 2
-        at, first = 0, True
-        for w in sorted(parts, reverse=True):
-            if size & w:
-                piece = parts[w][at : at + n]
-                out = piece.copy() if first else out * made[w] + piece
-                at, first = at + w, False
+    ids = ids.astype(np.uint64) + np.uint64(1)
+    if size <= SHORT:
+        with np.errstate(over="ignore"):
+            return _rolling(ids, size, _BASE, lambda x: x)
+    low, high = (_rolling(ids % p, size, np.uint64(int(_BASE) % int(p)), lambda x, p=p: x % p) for p in _PRIMES)
+    return high << np.uint64(32) | low
+
+
+def _rolling(ids: np.ndarray, size: int, base, reduced) -> np.ndarray:
+    """Horner's rule by doubling: a window is its two halves."""
+    n = len(ids) - size + 1
+    parts, width, made = {1: ids}, 1, {1: base}
+    while 2 * width <= size:
+        half = parts[width]
+        parts[2 * width] = reduced(half[:-width] * made[width] + half[width:])
+        made[2 * width] = reduced(made[width] * made[width])
+        width *= 2
+    out, at = None, 0
+    for w in sorted(parts, reverse=True):
+        if size & w:
+            piece = parts[w][at : at + n]
+            out = piece.copy() if out is None else reduced(out * made[w] + piece)
+            at += w
     return out
 
 
 def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Tiles (start in doc, start in item, length) of a greedy tiling with runs
     of at least ``least`` ids; unknown ids are negative and match nothing.
-    Ties go to the first place in the item, then in the document."""
+    Ties go to the first place in the item, then in the document.
+
+    Runs with equal hashes are compared id by id, in the search for the longest
+    as well, so the result is exact under any collision. Each turn marks at
+    least one run, so it ends."""
     doc_free, item_free, tiles = doc >= 0, np.ones(len(item), bool), []
     size = min(len(item), len(doc))
     while size >= least:
@@ -81,10 +97,9 @@ def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
         if not size:
             break
         for i, j in _matches(doc, item, doc_free, item_free, size):
-            if item_free[j : j + size].all() and doc_free[i : i + size].all():
-                tiles.append((i, j, size))
-                doc_free[i : i + size] = False
-                item_free[j : j + size] = False
+            tiles.append((i, j, size))
+            doc_free[i : i + size] = False
+            item_free[j : j + size] = False
     return tiles
 
 
@@ -94,7 +109,7 @@ def _open_windows(ids: np.ndarray, free: np.ndarray, size: int) -> tuple[np.ndar
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     taken = np.concatenate([[0], np.cumsum(~free)])
     starts = np.flatnonzero(taken[size:] == taken[:-size])
-    return starts, windows(ids, size)[starts]
+    return starts, windows(ids, size)[starts] if len(starts) else np.zeros(0, np.uint64)
 
 
 def _longest(doc, item, doc_free, item_free, least: int, most: int) -> int:
@@ -103,26 +118,35 @@ def _longest(doc, item, doc_free, item_free, least: int, most: int) -> int:
     low, high = least - 1, most
     while low < high:
         mid = (low + high + 1) // 2
-        _, a = _open_windows(doc, doc_free, mid)
-        _, b = _open_windows(item, item_free, mid)
-        low, high = (mid, high) if len(a) and len(b) and np.isin(b, a).any() else (low, mid - 1)
+        found = next(_matches(doc, item, doc_free, item_free, mid), None)
+        low, high = (mid, high) if found else (low, mid - 1)
     return low if low >= least else 0
 
 
 def _matches(doc, item, doc_free, item_free, size: int) -> Iterator[tuple[int, int]]:
-    """Pairs of places with equal unmarked runs of ``size``, compared id by id, item's order first."""
+    """Pairs of places with equal unmarked runs of ``size``, compared id by id,
+    item's order first. Marks made between two of them are heeded: a place in
+    the document that is marked is passed over once for all."""
     starts, a = _open_windows(doc, doc_free, size)
+    places, b = _open_windows(item, item_free, size)
+    if not len(a) or not len(b):
+        return
     order = np.argsort(a, kind="stable")
     starts, a = starts[order], a[order]
-    for j, h in zip(*_open_windows(item, item_free, size)):
-        lo, hi = np.searchsorted(a, h, "left"), np.searchsorted(a, h, "right")
-        for i in starts[lo:hi]:
-            if (doc[i : i + size] == item[j : j + size]).all():
-                if not item_free[j : j + size].all():
-                    break
-                if doc_free[i : i + size].all():
-                    yield int(i), int(j)
-                    break
+    first, end = np.searchsorted(a, b, "left"), np.searchsorted(a, b, "right")
+    gone: dict[int, int] = {}  # how many of a hash's places, from its first on, are marked
+    for j, lo, hi in zip(places.tolist(), first.tolist(), end.tolist()):
+        if lo == hi or not item_free[j] or not item_free[j + size - 1]:
+            continue
+        at = max(lo, gone.get(lo, lo))
+        while at < hi and not (doc_free[starts[at]] and doc_free[starts[at] + size - 1]):
+            at += 1
+        gone[lo] = at
+        for i in starts[at:hi].tolist():
+            # Marks are whole runs of this size or longer ones of turns before, so a run is free if its ends are.
+            if doc_free[i] and doc_free[i + size - 1] and (doc[i : i + size] == item[j : j + size]).all():
+                yield i, j
+                break
 
 
 class Block:

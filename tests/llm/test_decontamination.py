@@ -37,6 +37,67 @@ def test_tiles_equal_brute_force(doc, item, least):
     assert dc.tile(np.array(doc, np.int64), np.array(item, np.int64), least) == brute_tile(doc, item, least)
 
 
+def fast_tile(doc, item, least):
+    """The same tiling by run lengths of every pair of places, one turn of a
+    table at a time: no hashes."""
+    doc, item = np.array(doc), np.array(item)
+    doc_free, item_free, tiles = doc >= 0, np.ones(len(item), bool), []
+    while True:
+        runs = np.zeros((len(doc) + 1, len(item) + 1), np.int32)  # common free run from (i, j) on
+        for i in range(len(doc) - 1, -1, -1):
+            runs[i, :-1] = np.where((doc[i] == item) & item_free & doc_free[i], runs[i + 1, 1:] + 1, 0)
+        best = int(runs.max())
+        if best < least:
+            return tiles
+        for j in np.flatnonzero((runs >= best).any(axis=0)):
+            for i in np.flatnonzero(runs[:, j] >= best):
+                if doc_free[i : i + best].all() and item_free[j : j + best].all():
+                    tiles.append((int(i), int(j), best))
+                    doc_free[i : i + best] = item_free[j : j + best] = False
+                    break
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 1), max_size=500), st.lists(st.integers(0, 1), min_size=1, max_size=300), st.integers(2, 6))
+def test_two_letters(doc, item, least):
+    assert dc.tile(np.array(doc, np.int64), np.array(item, np.int64), least) == fast_tile(doc, item, least)
+
+
+def thue_morse(n):
+    return np.array([bin(i).count("1") & 1 for i in range(n)], np.int64)
+
+
+def test_sequences_on_which_hashes_modulo_powers_of_two_agree():
+    import time
+
+    for n in (4096, 5000):
+        text, item = thue_morse(n), 1 - thue_morse(n)
+        began = time.time()
+        got = dc.tile(text, item, 5)
+        assert time.time() - began < 30
+        assert got == fast_tile(text, item, 5), n
+
+
+def test_any_collision_is_harmless(monkeypatch):
+    # All hashes agree, so every decision rests on the ids themselves.
+    monkeypatch.setattr(dc, "windows", lambda ids, size: np.zeros(max(0, len(ids) - size + 1), np.uint64))
+    rng = random.Random(4)
+    for _ in range(40):
+        doc, item = [rng.randint(-1, 2) for _ in range(60)], [rng.randint(0, 2) for _ in range(30)]
+        assert dc.tile(np.array(doc), np.array(item), 3) == fast_tile(doc, item, 3)
+
+
+def test_one_word_repeated_takes_no_square_time():
+    import time
+
+    began = time.time()
+    tiles = dc.tile(np.zeros(200_000, np.int64), np.zeros(3_000, np.int64), 5)
+    assert tiles == [(0, 0, 3000)] and time.time() - began < 20
+    began = time.time()
+    dc.tile(np.array([0] * 9 + [-1], np.int64)[np.arange(100_000) % 10], np.zeros(4_000, np.int64), 5)
+    assert time.time() - began < 30
+
+
 @given(st.lists(st.integers(0, 5), min_size=1, max_size=40), st.integers(1, 12))
 def test_windows_are_equal_where_their_ids_are(ids, size):
     h = dc.windows(np.array(ids), size)
