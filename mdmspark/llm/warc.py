@@ -5,8 +5,9 @@ full response of the same canonical url. That response is found by an as-of
 join, the revisit's validators are checked against it, and the response's
 headers are updated with those that a 304 may carry.
 
-The as-of join orders all records by (canonical url, time, revisits first,
-record id), deals them by ranges of that order, and carries the last response
+Records are told apart by a row id that they get when they are written, so
+record ids may be of any type, repeated or null. The as-of join orders all
+records by (canonical url, time, revisits first, record id, row id), deals them by ranges of that order, and carries the last response
 along within each range; what enters a range from the ones before is one
 response per range. So a url with a third of all records spreads over as many
 tasks as any other third of the data, and no record is paired with all others
@@ -18,7 +19,8 @@ differs, ``mismatch``; if no validator can be compared, ``unverified``; else
 ``resolved``. Only resolved revisits get headers and a digest. A null url is
 canonicalised to the empty string and matches nothing; a null time comes
 before all times and matches nothing; repeated records are resolved one by
-one; an empty table gives an empty result.
+one, so there are as many rows as revisits; of responses of one url and time the
+one with the greatest record id counts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from mdmspark.llm.common import map_arrow, materialize
 
@@ -64,47 +68,63 @@ def parse_headers(block: str = "headers") -> Column:
 
 
 def latest_before(records: DataFrame, key: str, order: list[str], source: str, value: str, name: str = "as-of") -> DataFrame:
-    """``records`` with ``before``: the long ``value`` of the last earlier
-    record of the same ``key`` (in ``order``, which begins with it) whose
-    boolean ``source`` holds; null if there is none. A written table."""
+    """``records`` with ``before``: the ``value`` (of any type) of the last
+    earlier record of the same ``key`` (in ``order``, which begins with it)
+    whose boolean ``source`` holds; null if there is none. A written table."""
     spark = records.sparkSession
     ranged = records.repartitionByRange(*order).sortWithinPartitions(*order)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in records.schema.fields)
-    names = [*records.columns, "_range", "_head", "before"]
+    kind = records.schema[value].dataType
+    names, held_as = [*records.columns, "_range", "_head", "before"], to_arrow_type(kind)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, last, held, head = TaskContext.get().partitionId(), None, None, True
-        first = None
+        part, first, last, held = TaskContext.get().partitionId(), None, None, pa.scalar(None, held_as)
         for b in batches:
-            if not b.num_rows:
+            n = b.num_rows
+            if not n:
                 continue
-            keys, is_source, values = (b.column(c).to_pylist() for c in (key, source, value))
-            before, heads = [], []
-            for k, s, v in zip(keys, is_source, values):
-                if first is None:
-                    first = k
-                if k != last:
-                    head, held, last = k == first, None, k
-                before.append(held)
-                heads.append(head and held is None)  # what the ranges before held may reach it
-                if s:
-                    held = v
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.full(b.num_rows, part, np.int32)), pa.array(heads, pa.bool_()), pa.array(before, pa.int64())], names=names)
-
-    local = materialize(map_arrow(ranged, scan, f"{kinds}, _range int, _head boolean, before long"), name)
+            keys = b.column(key).dictionary_encode(null_encoding="encode")
+            codes = keys.indices.to_numpy()
+            at, end = keys.dictionary[int(codes[0])], keys.dictionary[int(codes[-1])]
+            first = at if first is None else first
+            goes_on = last is not None and at == last
+            changes = np.flatnonzero(codes[1:] != codes[:-1]) + 1
+            rows = np.arange(n)
+            starts = np.zeros(n, np.int64)
+            starts[changes] = changes
+            starts = np.maximum.accumulate(starts)  # where the row's key begins in the batch
+            is_source = b.column(source).fill_null(False).to_numpy(zero_copy_only=False)
+            latest = np.maximum.accumulate(np.where(is_source, rows, -1))  # last source up to the row
+            previous = np.concatenate([[-1], latest[:-1]])
+            inside = previous >= starts
+            values = b.column(value).cast(held_as)
+            before = values.take(pa.array(np.where(inside, previous, 0), mask=~inside))
+            entering = (starts == 0) & ~inside if goes_on else np.zeros(n, bool)  # what the batches before held
+            if entering.any():
+                before = pc.if_else(pa.array(entering), held, before)
+            # Rows of the range's first key without an answer: what the ranges before held may reach them.
+            of_first = starts == 0 if at == first else np.zeros(n, bool)
+            heads = of_first & ~inside & ~(entering & held.is_valid)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(n, part, np.int32)), pa.array(heads), before], names=names)
+            if latest[-1] >= starts[-1]:
+                held = values[int(latest[-1])]
+            elif not (goes_on and starts[-1] == 0):
+                held = pa.scalar(None, held_as)
+            last = end
+
+    local = materialize(map_arrow(ranged, scan, f"{kinds}, _range int, _head boolean, before {kind.simpleString()}"), name)
     # The last source of each range's last key: one row per range.
     tops = local.groupBy("_range").agg(F.max(F.struct(*order)).alias("t"), F.max(F.when(F.col(source), F.struct(*order, F.col(value).alias("_v")))).alias("s"))
     carry, entering = None, []
     for r in sorted(tops.select("_range", F.col(f"t.{key}").alias("k"), F.col(f"s.{key}").alias("sk"), F.col("s._v").alias("v")).collect(), key=lambda r: r["_range"]):
         entering.append((r["_range"], *(carry or (None, None))))
-        if r["sk"] == r["k"]:
+        if r["sk"] == r["k"] and r["v"] is not None:
             carry = (r["k"], r["v"])
         elif carry and carry[0] != r["k"]:
             carry = None
-    table = spark.createDataFrame(entering or [(0, None, None)], f"_range int, _key {records.schema[key].dataType.simpleString()}, _value long")
+    table = spark.createDataFrame(entering or [(0, None, None)], f"_range int, _key {records.schema[key].dataType.simpleString()}, _value {kind.simpleString()}")
     out = local.join(F.broadcast(table), "_range")
     carried = F.when(F.col("_head") & (F.col("_key") == F.col(key)), F.col("_value"))
     return out.select(*records.columns, F.coalesce("before", carried).alias("before"))
@@ -120,20 +140,20 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     record_id), digest (its payload digest) and headers (merged, one line
     each, in order of names)."""
     base = records.select("record_id", canonical_url().alias("canonical_url"), "ts", "status", "headers", "digest")
-    base = materialize(base, "warc-records")
+    # Written, every record has a row id of its own, whatever its record_id.
+    base = materialize(base.withColumn("row", F.monotonically_increasing_id()), "warc-records")
     known = (F.col("canonical_url") != "") & F.col("ts").isNotNull()
-    order = base.select("record_id", "canonical_url", "ts", F.coalesce(known & (F.col("status") == 200), F.lit(False)).alias("full"))
-    found = latest_before(order, "canonical_url", ["canonical_url", "ts", "full", "record_id"], "full", "record_id", "warc-as-of")
+    order = base.select("row", "record_id", "canonical_url", "ts", F.coalesce(known & (F.col("status") == 200), F.lit(False)).alias("full"))
+    found = latest_before(order, "canonical_url", ["canonical_url", "ts", "full", "record_id", "row"], "full", "row", "warc-as-of")
     revisits = base.where("status = 304").withColumnRenamed("digest", "claimed").withColumn("fields", parse_headers()).drop("headers")
     # Both lookups are written tables, so each join has nothing but an exchange on
     # either side: Spark then splits a response that very many revisits refer
     # to, or the many that refer to none.
-    earlier = materialize(found.where(~F.col("full")).select("record_id", "before").distinct(), "warc-earlier")
-    pointed = revisits.join(earlier, "record_id", "left")
+    earlier = materialize(found.where(~F.col("full")).select("row", "before"), "warc-earlier")
+    pointed = revisits.join(earlier, "row", "left")
     pointed = pointed.withColumn("before", F.when(known, F.col("before")))
-    # Records that share an id count as one response, the smallest.
-    full = base.where("status = 200").groupBy(F.col("record_id").alias("before")).agg(F.min(F.struct("headers", "digest")).alias("r"))
-    full = materialize(full.select("before", "r.headers", "r.digest"), "warc-full").withColumn("stored", parse_headers()).drop("headers")
+    full = base.where("status = 200").select(F.col("row").alias("before"), F.col("record_id").alias("refers_to"), "headers", "digest")
+    full = materialize(full, "warc-full").withColumn("stored", parse_headers()).drop("headers")
     joined = pointed.join(full, "before", "left")
     tags = _bare(F.col("fields")["etag"]), _bare(F.col("stored")["etag"])
     dates = F.col("fields")["last-modified"], F.col("stored")["last-modified"]
@@ -147,5 +167,5 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     merged = F.map_concat(F.map_filter("stored", lambda k, _: ~F.array_contains(F.map_keys(update), k)), update)
     lines = F.array_join(F.transform(F.array_sort(F.map_entries(merged)), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
     done = F.col("outcome") == "resolved"
-    return joined.select("record_id", "canonical_url", "ts", "outcome", F.col("before").alias("refers_to"), F.when(done, F.col("digest")).alias("digest"),
+    return joined.select("record_id", "canonical_url", "ts", "outcome", "refers_to", F.when(done, F.col("digest")).alias("digest"),
                          F.when(done, lines).alias("headers"))

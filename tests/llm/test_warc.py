@@ -76,3 +76,57 @@ def test_repeated_rows_and_an_empty_table(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert [(r.record_id, r.outcome, r.refers_to) for r in warc.resolve_revisits(df).collect()] == [(2, "resolved", 1)] * 2
     assert warc.resolve_revisits(df.limit(0)).count() == 0
+
+
+def brute_resolve(rows):
+    """(record_id, url, ts) of each revisit with its response's record_id and
+    outcome, by a look at every response of its url."""
+    out = []
+    for i, u, t, status, headers, _ in rows:
+        if status != 304:
+            continue
+        full = [(t2, i2 is not None, i2, n) for n, (i2, u2, t2, s2, _, _) in enumerate(rows) if s2 == 200 and u2 == u and None not in (u, t, t2) and t2 < t]
+        best = rows[max(full)[3]] if full else None
+        tag = dict(h.split(": ", 1) for h in (headers or "").split("\n") if h).get("ETag")
+        stored = dict(h.split(": ", 1) for h in (best[4] or "").split("\n") if h).get("ETag") if best else None
+        outcome = "orphan" if not best else "unverified" if None in (tag, stored) else "resolved" if tag == stored else "mismatch"
+        out.append((str(i), str(u), t, outcome, str(best[0]) if best else "None"))
+    return sorted(out, key=repr)
+
+
+def test_repeated_null_and_text_ids(spark):
+    rng = random.Random(3)
+    rows = []
+    for n in range(400):
+        full = rng.random() < 0.4
+        u = rng.choice(["http://x/a", "http://x/b", f"http://x/{rng.randint(0, 30)}", None])
+        # Equal urls, times and ids are equal records, so any of them will do.
+        i, t = rng.choice([None, f"id{rng.randint(0, 9)}", f"only{n}"]), rng.randint(0, 60)
+        rows.append((i, u, t, 200 if full else 304, f"ETag: {hash((i, u, t)) % 3}" if rng.random() < 2 else None, None))
+    for kind, ids in (("string", [r[0] for r in rows]), ("long", [None if r[0] is None else sum(r[0].encode()) % 40 for r in rows])):
+        typed = [(i, u, t, s, f"ETag: {len(str(i)) % 2}", None) for i, (_, u, t, s, _, _) in zip(ids, rows)]
+        df = spark.createDataFrame(typed, SCHEMA.replace("record_id long", f"record_id {kind}"))
+        for n in ("1", "9"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = warc.resolve_revisits(df).collect()
+            assert sorted(((str(r.record_id), r.canonical_url or "None", r.ts, r.outcome, str(r.refers_to)) for r in got), key=repr) == brute_resolve(typed)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_as_many_rows_as_revisits(spark):
+    a, b = "http://x/a", "http://x/b"
+    rows = [(1, a, 1, 200, "ETag: a", "da"), (1, b, 1, 200, "ETag: b", "db"), (7, a, 2, 304, "ETag: a", None), (7, b, 2, 304, "ETag: b", None), (None, b, 3, 304, "ETag: b", None)]
+    got = warc.resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.record_id or 0, r.canonical_url, r.outcome, r.refers_to, r.digest) for r in got) == [
+        (0, b, "resolved", 1, "db"), (7, a, "resolved", 1, "da"), (7, b, "resolved", 1, "db")]
+
+
+def test_values_of_other_types_over_small_batches(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["k1", "k2", "k3"]), rng.randint(0, 500), rng.random() < 0.2, f"v{i}") for i in range(900)]
+    df = spark.createDataFrame(rows, "key string, ts long, full boolean, id string")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    got = warc.latest_before(df, "key", ["key", "ts", "full", "id"], "full", "id").where("not full").collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert {r.id: r.before for r in got} == brute_before(rows)
