@@ -210,25 +210,32 @@ parts as (
   select rid, page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
     regexp_extract(r, '^[^/?#]*([^?#]*)', 1) as path, regexp_extract(r, '^[^?#]*\\?([^#]*)', 1) as query from rest),
 cut as (
-  select *, list_reverse(string_split(host, '.'))[1:4] as labels, list_filter(string_split(path, '/'), lambda x: x <> '') as segments,
-    list_sort(list_distinct(list_filter(list_transform(string_split(query, '&'), lambda x: split_part(x, '=', 1)), lambda x: x <> '')))[1:3] as names
+  select *, string_split(host, '.') as labels, list_filter(string_split(path, '/'), lambda x: x <> '') as segments,
+    list_filter(list_transform(string_split(query, '&'), lambda x: split_part(x, '=', 1)), lambda x: x <> '') as names
   from parts),
 tokens as (
   select rid, page_id, host, path, case when host = '' then [] else list_sort(list_distinct(list_filter(
-    list_transform(list_concat(list_transform(labels, lambda x: 'h:' || x), list_transform(list_concat(segments[1:3], segments[-1:]), lambda x: 'p:' || x),
+    list_transform(list_concat(list_transform(labels, lambda x: 'h:' || x), list_transform(segments, lambda x: 'p:' || x),
       list_transform(names, lambda x: 'q:' || x)), lambda x: regexp_replace(x, '[0-9]+', '0', 'g')), lambda x: x <> 'h:'))) end as tokens,
     case {_fixed_sql()} end as fixed
   from cut),
 labelled as (
   select row_number() over () as lid, tokens, quality = 0 or toxic = 1 as bad from tokens join labels on doc_id = page_id
   where len(tokens) > 0 and (quality = 0 or toxic = 1) is not null),
-least as (select greatest(ceil({url_rules.MIN_SUPPORT} * count(*)), {url_rules.MIN_PAGES}) as pages from labelled),
+base as (select count(*) as n, count(*) filter (where bad) as n_bad, cast(count(*) filter (where bad) as double) / count(*) as share from labelled),
+-- Subsets are enumerated over the tokens that enough block labels have; no other token is part of a rule.
+likely as (select token from (select unnest(tokens) as token, bad from labelled) where bad group by token having count(*) >= {url_rules.MIN_PAGES}),
+short as (
+  select lid, any_value(bad) as bad, list_sort(list(token)) as tokens
+  from (select lid, bad, unnest(tokens) as token from labelled) join likely using (token) group by lid),
 combos as (
   select list_filter(tokens, lambda x, i: (bits >> (i - 1)) & 1 = 1) as tokens, bad
-  from (select tokens, bad, unnest(generate_series(1, (1 << len(tokens)) - 1)) as bits from labelled)),
+  from (select tokens, bad, unnest(generate_series(1, (1 << len(tokens)) - 1)) as bits from short)),
+counted as (select tokens as rule, count(*) as n_fit, count(*) filter (where bad) as n_block from combos group by tokens),
 rules as (
-  select tokens as rule from combos group by tokens
-  having count(*) filter (where bad) >= (select pages from least) and count(*) filter (where bad) >= {url_rules.MIN_CONFIDENCE} * count(*)),
+  select rule from (select *, n_block - n_fit * share as above from counted, base)
+  where n_block >= {url_rules.MIN_PAGES} and n_block >= {url_rules.MIN_CONFIDENCE} * n_fit
+    and above >= 0 and above * above >= {url_rules.MIN_DEVIATIONS ** 2} * n_fit * (share * (1 - share))),
 hit as (select distinct rid from tokens join rules on list_has_all(tokens, rule) where fixed is null)
 select page_id, host, path, fixed.rule as rule, coalesce(fixed.verdict, case when hit.rid is not null then 'block' else 'allow' end) as verdict
 from tokens left join hit using (rid)

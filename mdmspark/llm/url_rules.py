@@ -3,8 +3,9 @@
 A fixed rule (host and path prefix) decides first; the longest that fits wins.
 All other urls go to mined rules: FP-growth over the token sets of labelled
 urls, each with its label as one more item, finds the token combinations that
-go with a block label. Combinations with too little support or confidence are
-dropped. A rule is indexed under its rarest token only; token sets look their
+go with a block label. Combinations with too few block labels (an absolute
+number, the same at every size of the table), too little confidence, or a share
+of block labels that chance explains are dropped. A rule is indexed under its rarest token only; token sets look their
 tokens up there and check the rest of the rule, so a token that most urls have
 leads to few rules, and urls with equal token sets are matched once.
 
@@ -21,8 +22,6 @@ without labels no rule is mined; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +36,10 @@ FIXED = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-# A mined rule needs this share of the labelled pages, and so many of them, and this share of block labels among those it fits.
-MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE = 0.002, 8, 0.5
+# A mined rule needs so many block labels, at every size of the table, and this
+# share of block labels among the labelled pages it fits. That share must also
+# lie above the one of all labelled pages by so many standard deviations.
+MIN_PAGES, MIN_CONFIDENCE, MIN_DEVIATIONS = 8, 0.5, 3.0
 BLOCK = "label=block"
 
 
@@ -56,33 +57,17 @@ def fixed_rule(host: Column, path: Column, rules=FIXED) -> Column:
     return F.coalesce(*[F.when(f, F.struct(F.lit(h + p).alias("rule"), F.lit(v).alias("verdict"))) for f, (h, p, v) in zip(fits, ranked)])
 
 
-def _token_set(host: Column, labels: Column, parts: Column, names: Column) -> Column:
+def all_tokens(host: Column, path: Column, query: Column) -> Column:
+    """The token set of a url, sorted: all labels of the host, parts of the
+    path and names of the query; digits read as ``0``."""
+    labels, parts = F.split(host, r"\."), F.filter(F.split(path, "/"), lambda x: x != "")
+    names = F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")
     digits = lambda c: F.regexp_replace(c, "[0-9]+", "0")
     tokens = F.concat(F.transform(labels, lambda x: F.concat(F.lit("h:"), digits(x))), F.transform(parts, lambda x: F.concat(F.lit("p:"), digits(x))),
                       F.transform(names, lambda x: F.concat(F.lit("q:"), digits(x))))
     return F.when(host != "", F.array_sort(F.array_distinct(F.filter(tokens, lambda x: x != "h:")))).otherwise(F.array().cast("array<string>"))
 
 
-def _pieces(host: Column, path: Column, query: Column) -> tuple[Column, Column, Column]:
-    names = F.filter(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)), lambda x: x != "")
-    return F.split(host, r"\."), F.filter(F.split(path, "/"), lambda x: x != ""), names
-
-
-def all_tokens(host: Column, path: Column, query: Column) -> Column:
-    """The token set of a url, sorted: all labels of the host, parts of the
-    path and names of the query; digits read as ``0``."""
-    return _token_set(host, *_pieces(host, path, query))
-
-
-def url_tokens(host: Column, path: Column, query: Column) -> Column:
-    """A short form of :func:`all_tokens` for listings: the last four labels of
-    the host, the first three parts of the path and its last one, and the three
-    first names (in order) among the query's. At most eleven. Rules don't use it."""
-    labels, parts, names = _pieces(host, path, query)
-    some = F.concat(F.slice(parts, 1, 3), F.slice(F.reverse(parts), 1, 1))
-    return _token_set(host, F.slice(F.reverse(labels), 1, 4), some, F.slice(F.array_sort(F.array_distinct(names)), 1, 3))
-
-
 def classes(baskets: DataFrame, least: int) -> DataFrame:
     """(token, class) of the tokens that occur in at least ``least`` bad rows of
     ``baskets`` (id, tokens, bad): no other token is part of a rule. Tokens of
@@ -97,31 +82,35 @@ def classes(baskets: DataFrame, least: int) -> DataFrame:
 
 
 def class_sets(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """(id, tokens): the classes of each row of ``rows`` (id, tokens) that has any."""
-    # Both support and the tokens of a url bound the named tokens; FP-growth has them on the driver, too.
-    one = rows.select("id", F.explode("tokens").alias("token")).join(F.broadcast(named), "token")
+    """(id, tokens): the classes of each row of ``rows`` (id, tokens) that has
+    any. A join by key of two plain frames: Spark splits a token that a third of
+    the rows have, and broadcasts ``named`` only below its threshold."""
+    one = rows.select("id", F.explode("tokens").alias("token")).join(named, "token")
     return one.groupBy("id").agg(F.array_sort(F.collect_set("class")).alias("tokens"))
 
 
-def least_pages(n: int, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES) -> int:
-    return max(math.ceil(min_support * n), min_pages)
+def stands_out(n_block: Column, n_fit: Column, base: float, deviations: float = MIN_DEVIATIONS) -> Column:
+    """Whether ``n_block`` of ``n_fit`` pages lies above the share ``base`` by so many standard deviations of as many random pages."""
+    above = n_block - n_fit * F.lit(base)
+    return (above >= 0) & (above * above >= F.lit(deviations * deviations) * n_fit * F.lit(base * (1 - base)))
 
 
-def mine_rules(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def mine_rules(labelled: DataFrame, *, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE, min_deviations: float = MIN_DEVIATIONS) -> DataFrame:
     """(tokens, n_fit, n_block): the token combinations of ``labelled``
     (tokens, bad) that lead to a block. FP-growth runs over distinct tasks'
     conditional trees; only frequent single items reach the driver."""
+    n, n_bad = labelled.agg(F.count(F.lit(1)), F.count_if("bad")).first()
     baskets = labelled.where(F.size("tokens") > 0)
-    n = baskets.count()
-    least = least_pages(n, min_support, min_pages)
-    if n < least:
+    held = baskets.count()
+    if held < min_pages:
         return labelled.select("tokens", F.lit(0).cast("long").alias("n_fit"), F.lit(0).cast("long").alias("n_block")).limit(0)
     items = baskets.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=1.0).fit(items).freqItemsets
+    found = FPGrowth(itemsCol="items", minSupport=(min_pages - 0.5) / held, minConfidence=1.0).fit(items).freqItemsets
     blocked = F.array_contains("items", BLOCK)
     both = found.where(blocked).select(F.array_sort(F.array_remove("items", BLOCK)).alias("tokens"), F.col("freq").alias("n_block"))
     fit = found.where(~blocked).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("n_fit"))
-    return fit.join(both, "tokens").where(F.col("n_block") >= F.col("n_fit") * F.lit(min_confidence)).select("tokens", "n_fit", "n_block")
+    sure = (F.col("n_block") >= F.col("n_fit") * F.lit(min_confidence)) & stands_out(F.col("n_block"), F.col("n_fit"), n_bad / n, min_deviations)
+    return fit.join(both, "tokens").where(sure).select("tokens", "n_fit", "n_block")
 
 
 def matched_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
@@ -136,7 +125,7 @@ def matched_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
     return entries.join(index, "token").where(F.size(F.array_except("rule", "tokens")) == 0).select("tokens").distinct()
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, *, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def judge_urls(pages: DataFrame, labels: DataFrame, *, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE, min_deviations: float = MIN_DEVIATIONS) -> DataFrame:
     """page_id, host, path, rule (null if mined rules decide) and verdict of
     every row of ``pages`` (page_id, url); ``labels`` (page_id, bad)."""
     host, path, query = url_parts()
@@ -146,10 +135,9 @@ def judge_urls(pages: DataFrame, labels: DataFrame, *, min_support: float = MIN_
     baskets = parsed.select("page_id", "tokens").join(marked, "page_id").where(F.size("tokens") > 0)
     # Ids are fixed by writing them.
     baskets = materialize(baskets.select(F.monotonically_increasing_id().alias("id"), "tokens", "bad"), "url-baskets")
-    least = least_pages(baskets.count(), min_support, min_pages)
-    named = materialize(classes(baskets, least), "url-classes")
-    short = class_sets(baskets, named).join(baskets.select("id", "bad"), "id")
-    rules = mine_rules(materialize(short.select("tokens", "bad"), "url-short-baskets"), min_support=0.0, min_pages=least, min_confidence=min_confidence)
+    named = materialize(classes(baskets, min_pages), "url-classes")
+    short = baskets.select("id", "bad").join(class_sets(baskets, named), "id", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+    rules = mine_rules(materialize(short.select("tokens", "bad"), "url-short-baskets"), min_pages=min_pages, min_confidence=min_confidence, min_deviations=min_deviations)
     sets = parsed.where("fixed is null").select("tokens").distinct().select(F.monotonically_increasing_id().alias("id"), "tokens")
     sets = materialize(sets, "url-sets")
     short = materialize(class_sets(sets, named), "url-short-sets")

@@ -29,11 +29,11 @@ def test_fixed_rules(spark):
     assert got == cases
 
 
-def test_token_sets_are_bounded(spark):
+def test_every_token_is_read(spark):
     url = "http://" + ".".join(f"l{c}" for c in "abcdefgh") + "/" + "/".join(f"p{c}" for c in "abcdefgh") + "?" + "&".join(f"k{c}=1" for c in "hgfedcba")
     df = spark.createDataFrame([(url,), (None,), ("http://a..b/12/12/?=3&",)], "url string")
-    got = [r[0] for r in df.select(ur.url_tokens(*ur.url_parts())).collect()]
-    assert len(got[0]) == 11 and got[1] == [] and got[2] == ["h:a", "h:b", "p:0"]
+    got = [r[0] for r in df.select(ur.all_tokens(*ur.url_parts())).collect()]
+    assert len(got[0]) == 24 and got[1] == [] and got[2] == ["h:a", "h:b", "p:0"]
 
 
 def test_mined_rules_equal_enumeration(spark):
@@ -41,14 +41,16 @@ def test_mined_rules_equal_enumeration(spark):
     for i in range(400):
         tokens = sorted({f"t{i % 7}", f"u{i % 3}", f"v{i % 2}", "all"})
         rows.append((tokens, i % 7 == 1 and i % 3 != 0 or i % 11 == 0))
-    got = {tuple(r.tokens): (r.n_fit, r.n_block) for r in ur.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), min_support=0.01, min_pages=3).collect()}
+    got = {tuple(r.tokens): (r.n_fit, r.n_block) for r in ur.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), min_pages=4).collect()}
     counts = {}
     for tokens, bad in rows:
         for k in range(1, len(tokens) + 1):
             for c in combinations(tokens, k):
                 n, b = counts.get(c, (0, 0))
                 counts[c] = (n + 1, b + bad)
-    assert got == {c: (n, b) for c, (n, b) in counts.items() if b >= 4 and 2 * b >= n} and got
+    share = sum(b for _, b in rows) / len(rows)
+    out = lambda n, b: b >= n * share and (b - n * share) ** 2 >= 9 * n * share * (1 - share)
+    assert got == {c: (n, b) for c, (n, b) in counts.items() if b >= 4 and 2 * b >= n and out(n, b)} and got
 
 
 def test_matching_equals_a_look_at_every_rule(spark):
@@ -67,7 +69,7 @@ def test_awkward_rows(spark):
     pages = spark.createDataFrame([(1, "http://bad.net/x"), (1, "http://bad.net/x"), (2, None), (3, ""), (None, "http://bad.net/x"), (4, "http://good.info/" + "a/" * 50_000)], "page_id long, url string")
     pages = pages.withColumns({c: F.lit("x") for c in ("host", "path", "tokens", "rule", "bad", "hit", "fixed")})
     labels = spark.createDataFrame([(1, True, 1)] * 5 + [(4, False, 1), (2, None, 1), (None, True, 1)], "page_id long, bad boolean, tokens int")
-    rows = ur.judge_urls(pages, labels, min_pages=2).collect()
+    rows = ur.judge_urls(pages, labels, min_pages=2, min_deviations=0).collect()  # nearly all labels are bad here
     assert sorted((r.page_id or 0, r.verdict) for r in rows) == [(0, "block"), (1, "block"), (1, "block"), (2, "allow"), (3, "allow"), (4, "allow")]
     assert {r.verdict for r in ur.judge_urls(pages, labels.limit(0)).collect()} == {"allow"}
     assert ur.judge_urls(pages.limit(0), labels).count() == 0
@@ -91,3 +93,40 @@ def test_long_urls_that_share_all_tokens_are_mined(spark):
     labels = spark.createDataFrame([(i, i % 2 == 0) for i in range(40)] + [(98, False)], "page_id long, bad boolean")
     got = {r.page_id: r.verdict for r in ur.judge_urls(pages, labels, min_confidence=0.6).collect()}
     assert got == {i: "block" if i % 2 == 0 else "allow" for i in range(40)} | {99: "block", 98: "allow"}
+
+
+def test_a_rule_does_not_depend_on_the_size_of_the_table(spark):
+    # 40 pages of one host, all bad, among few and among many good pages.
+    for n in (2_000, 30_000):
+        good = spark.range(n).select((F.col("id") + 1000).alias("page_id"), F.concat(F.lit("http://site"), F.col("id") % 50, F.lit(".net/page/"), F.col("id")).alias("url"))
+        bad = spark.range(40).select(F.col("id").alias("page_id"), F.concat(F.lit("http://spam.biz/buy/"), F.col("id")).alias("url"))
+        pages = good.unionByName(bad)
+        labels = pages.select("page_id", (F.col("page_id") < 40).alias("bad"))
+        blocked = {r.page_id for r in ur.judge_urls(pages, labels).where("verdict = 'block'").collect()}
+        assert blocked == set(range(40)), n
+
+
+def test_chance_is_no_rule(spark):
+    # Half of all pages are bad, whatever their url: eight of twelve prove nothing, twenty of twenty do.
+    rows = [(["all", f"x{i % 30}"], i % 2 == 0) for i in range(300)] + [(["all", "some"], i < 8) for i in range(12)] + [(["all", "sure"], True)] * 20
+    got = {tuple(r.tokens) for r in ur.mine_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean")).collect()}
+    assert ("sure",) in got and ("some",) not in got and ("all",) not in got
+
+
+def test_deep_urls_agree_with_duckdb(spark, tmp_path):
+    import duckdb
+
+    from mdmspark.llm.queries import ORACLE
+
+    deep = "http://{}.b.c.d.e.f.g.net/a/b/c/{}/e/f/g/h?k=1&l=1&m=1&n=1&o=1&p=1&{}=1&r=1"
+    urls = [deep.format("xx" if i % 4 == 0 else "aa", "yy" if i % 5 == 0 else "bb", "zz" if i % 3 == 0 else "cc") for i in range(240)]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, 0 if i % 4 == 0 and i % 3 == 0 or i % 5 == 0 and i % 2 == 0 else 1, 0) for i in range(200)], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    # DuckDB enumerates subsets, so all but the tokens that tell urls apart are taken off its copy.
+    con = duckdb.connect()
+    con.execute(f"create view labels as select * from read_parquet('{tmp_path}/labels.parquet/*.parquet')")
+    con.execute(f"""create view pages as select page_id, regexp_replace(regexp_replace(url, '[.]b[.]c[.]d[.]e[.]f[.]g[.]net/a/b/c', '.net'), '/e/f/g/h.k=1&l=1&m=1&n=1&o=1&p=1&', '?') as url
+      from read_parquet('{tmp_path}/pages.parquet/*.parquet')""")
+    wanted = {r[0]: r[4] for r in con.execute(ORACLE["op6_url_rules"]).fetchall()}
+    got = {r.page_id: r.verdict for r in op6_url_rules(spark, str(tmp_path)).collect()}
+    assert got == wanted and set(got.values()) == {"allow", "block"}
