@@ -33,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -237,10 +238,12 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 200) ->
     mark = None
     for turn in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        # The smallest neighbours are a written table, so that the join below has
+        # nothing but an exchange on either side and Spark can split a hub.
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), f"{name}-{turn}m")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.unionByName(least.where("u != m").select("u", F.col("m").alias("v"))).where("u != v").distinct(), f"{name}-{turn}a")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-{turn}n")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), f"{name}-{turn}b")
         state = now.select("u", "v").agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
@@ -261,18 +264,33 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, distance: int =
     found = components(node_edges(upper_nodes(distinct.select("fp"), distance, node), distance), "simhash")
     placed = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     placed = materialize(placed, "simhash-placed")
-    smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = placed.join(smallest, "component").select("fp", "component_id")
+    smallest = materialize(placed.groupBy("component").agg(F.min("first").alias("component_id")), "simhash-smallest")
+    ids = materialize(placed.join(smallest, "component").select("fp", "component_id"), "simhash-ids")
     return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
+def with_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, where each row lies: its file and its place there.
+    Frames that are no plain scan of files are written first."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    try:
+        return docs.withColumn("_row", place)
+    except AnalysisException:
+        return materialize(docs, "simhash-docs").withColumn("_row", place)
+
+
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's smallest (one
-    document of each component; rows that share that doc_id stay together).
-    Rows without a doc_id can't be told apart and stay."""
-    found = near_duplicates(docs, **options)
-    # Written, so that the join has nothing but an exchange on either side and
-    # Spark can split a doc_id that very many rows share.
-    firsts = materialize(found.where("doc_id = component_id").select("doc_id").distinct(), "simhash-firsts")
-    # The ids grow with the documents: a merge join at every size.
-    return docs.join(firsts.hint("merge"), "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One row of each component of ``docs`` (doc_id, text): the one with the
+    smallest doc_id (a null one comes last), of rows that share it the first
+    by file and place. Repeated rows and rows without a doc_id are copies like
+    any other.
+
+    Rows are known by where they lie. The rows that go are a written list of
+    places, the smaller side: Spark broadcasts it below its threshold, and else
+    shuffles."""
+    docs = docs.drop("_row") if "_row" in docs.columns else docs
+    rows = with_rows(docs)
+    one = rows.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row").alias("doc_id"), "text")
+    found = materialize(near_duplicates(one, **options), "simhash-found")
+    gone = materialize(found.where("doc_id != component_id").select(F.col("doc_id._row").alias("_gone")), "simhash-gone")
+    return rows.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select(*docs.columns)
