@@ -6,9 +6,12 @@ deterministic parser expands to the candidate's boundaries and validates it.
 
 Kinds that every text is searched for: ``email``, ``ip``, ``card``, ``phone``
 (leftmost, not overlapping within a kind). The method adds ``address`` (after
-a scheme: a network address that names a user or a numeric host, or a mail or
-phone address) and ``account`` (after an identifier cue: a token, key,
-password, account or document number; or an ``@name`` handle).
+a scheme: a network address that names a user or a numeric host, or a phone
+address) and ``account`` (after an identifier cue, on its own or in a longer name
+such as ``aws_secret_access_key``: a token, key, password, account or document
+number; or an ``@name`` handle). A cue and its value may have a sign, the word
+"is" or blanks between them, and quotes around the value. A value needs six
+characters and a digit; a password that is set by ``:`` or ``=`` needs no digit.
 
 Offsets are code points, ends exclusive. Defined results: a null or empty text
 has no spans; rows are independent, so repeated rows get equal results; an
@@ -30,8 +33,10 @@ from mdmspark.llm.common import map_arrow, slices
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "address", "account")
 
-# Words in front of an identifier, in lower case.
-CUES = ("account", "acct", "api_key", "api key", "apikey", "bearer", "iban", "passport", "password", "passwd", "secret", "ssn", "tax id", "token")
+# Words in front of an identifier, in lower case; a blank stands for ``-`` and ``_``, too.
+CUES = ("account", "acct", "api key", "apikey", "bearer", "iban", "passport", "password", "passwd", "pwd", "secret", "ssn", "tax id", "token")
+# Those of them behind which any value counts, with or without a digit, if it is set by a sign.
+PASSWORDS = ("password", "passwd", "pwd")
 # Schemes in front of an address.
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "sftp://", "mailto:", "tel:", "sip:")
 
@@ -42,12 +47,24 @@ _GROUP = re.compile(r"[0-9]+")
 _SPACED = re.compile(r"[0-9 -]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_ADDRESS = re.compile(r"[^\s\"'<>`]+")
+# Each stops where another scheme of its kind could begin (at the slashes, or
+# the colon), so text is scanned once however many schemes stand in a row.
+_AUTHORITY = re.compile(r"[^\s\"'<>`/?#]+")
+_TELEPHONE = re.compile(r"[0-9+().-]+")
+_SIP = re.compile(r"[^\s\"'<>`/?#:]+")
 _NUMERIC_HOST = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]+)?")
-_IBAN = re.compile(r"[ :=#\"']{1,4}([A-Z]{2}[0-9]{2})")
-_IBAN_GROUP = re.compile(r" ?[A-Z0-9]{1,31}")
-_VALUE = re.compile(r"(?: ?(?:number|no\.?|id))?(?: ?[:=#] ?| )[\"']?([A-Za-z0-9_/+.-]{6,}={0,2})")
+_IBAN = re.compile(r"[ \t]*(?:(?:number|no\.?|is|[:=#])[ \t]*){0,3}[\"']?([A-Za-z]{2}[0-9]{2})", re.IGNORECASE)
+_IBAN_GROUP = re.compile(r" ?[A-Za-z0-9]{1,31}")
+# What may stand between a cue and its value: more words of a longer name, then a sign, "is" or blanks.
+_NAME = re.compile(r"(?:[ _-]?(?:access|auth|client|key|secret|number|no\.|no|nr|id|code|value)(?![A-Za-z0-9])){0,4}", re.IGNORECASE)
+_SIGN = re.compile(r"[\"']?[ \t]*(?:[:=#]+>?|->|is\b)[ \t]*", re.IGNORECASE)
+_BLANKS = re.compile(r"[ \t]+")
+_NUMBERS = re.compile(r"[0-9]+(?:[ -][0-9]+)+(?![A-Za-z0-9])")
+_VALUE = re.compile(r"[^\s\"'<>`,;]+")
+_QUOTED = {q: re.compile(rf"[^{q}\n]*(?={q})") for q in ('"', "'")}
+_WORD = re.compile(r"[^\s\"'<>`]+")
 _HANDLE = re.compile(r"[A-Za-z][A-Za-z0-9_]{2,}+(?!@|\.[A-Za-z0-9_])")
+_LEAST_VALUE = 6
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
@@ -60,7 +77,8 @@ def _automaton() -> ahocorasick.Automaton:
     for s in SCHEMES:
         a.add_word(s, ("address", len(s)))
     for c in CUES:
-        a.add_word(c, ("account", len(c)))
+        for form in {c.replace(" ", j) for j in " -_"}:
+            a.add_word(form, ("account", len(form)))
     a.make_automaton()
     return a
 
@@ -68,19 +86,6 @@ def _automaton() -> ahocorasick.Automaton:
 _ANCHORS: list[ahocorasick.Automaton] = []
 
 
-def luhn(digits: str) -> bool:
-    total = 0
-    for i, d in enumerate(reversed(digits)):
-        v = ord(d) - 48
-        total += v if i % 2 == 0 else 2 * v - 9 * (v > 4)
-    return total % 10 == 0
-
-
-def _octet(part: str) -> bool:
-    p = part.lstrip("0")
-    return len(p) < 3 or (len(p) == 3 and p <= "255")
-
-
 def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) in the order of :data:`KINDS`, then of start."""
     if not text:
@@ -93,6 +98,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     done = dict.fromkeys(KINDS, 0)  # where the last candidate of a kind ended
     ats: list[int] = []
+    bare = [0]  # up to where the last run behind a cue, which had no digit, went
     for last, (kind, size) in _ANCHORS[0].iter(low):
         start, end = last + 1 - size, last + 1
         if kind == "d":
@@ -111,7 +117,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                 if 8 <= sum(map(str.isdigit, m.group())) <= 15:
                     found["phone"].append(m.span())
         elif start >= done[kind]:
-            if span := (_address if kind == "address" else _account)(text, start, end):
+            if span := _address(text, start, end) if kind == "address" else _account(text, start, end, bare):
                 found[kind].append(span)
                 done[kind] = span[1]
     handles = [s for s in (_handle(text, at) for at in ats) if s]
@@ -171,37 +177,64 @@ def luhn(digits: str) -> bool:
 
 def _address(text: str, start: int, end: int) -> tuple[int, int] | None:
     """Scheme and authority, if it names a user or a numeric host; a scheme
-    for telephones with at least seven digits."""
-    m = _ADDRESS.match(text, end)
-    if not m:
+    for telephones with a user or at least seven digits. (The address behind
+    ``mailto:`` is an email.)"""
+    scheme = text[start:end].lower()
+    if scheme == "mailto:":
         return None
-    if text[end - 1] != "/":
-        digits = sum(map(str.isdigit, m.group()))
-        if text[start:end].lower() in ("tel:", "sip:") and (digits >= 7 or "@" in m.group()):
-            return start, end + len(m.group().rstrip(".,;:!?)]}"))
+    m = (_AUTHORITY if scheme[-1] == "/" else _TELEPHONE if scheme == "tel:" else _SIP).match(text, end)
+    if not m:
         return None
-    authority = re.split(r"[/?#]", m.group(), maxsplit=1)[0].rstrip(".,;:!?)]}")
-    user, at, host = authority.rpartition("@")
-    if (at and user and host) or _NUMERIC_HOST.fullmatch(host):
-        return start, end + len(authority)
-    return None
-
-
-def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
-    """The value after a cue that stands as a word: an international account
-    number that passes its check, or at least six characters with a digit."""
+    found = m.group().rstrip(".,;:!?)]}")
+    user, at, host = found.rpartition("@")
+    if scheme[-1] != "/":
+        held = (at and user and host) or sum("0" <= c <= "9" for c in found) >= 7
+    else:
+        held = (at and user and host) or _NUMERIC_HOST.fullmatch(host)
+    return (start, end + len(found)) if held else None
+
+
+def _account(text: str, start: int, end: int, bare: list[int]) -> tuple[int, int] | None:
+    """The value after a cue that stands as a word or as part of a longer name:
+    an international account number that passes its check; groups of digits;
+    or a run up to the next blank, comma or quote (of a quoted value: up to the
+    closing quote) of at least six characters, one of them a digit. Behind a
+    password cue and a sign the run needs no digit and may hold commas."""
     if (start and text[start - 1].isalnum()) or text[end : end + 1].isalnum():
         return None
-    if text[start:end].lower() == "iban":
+    cue = text[start:end].lower()
+    if cue == "iban":
         m = _IBAN.match(text, end)
         return _iban_span(text, *m.span(1)) if m else None
-    m = _VALUE.match(text, end)
-    value = m.group(1).rstrip(".") if m else ""
-    if len(value) >= 6 and any("0" <= c <= "9" for c in value):
-        return m.start(1), m.start(1) + len(value)
+    at = _NAME.match(text, end).end()
+    m = _SIGN.match(text, at) or _BLANKS.match(text, at)
+    if not m:
+        return None
+    at, signed = m.end(), not m.group().isspace()
+    free = signed and cue in PASSWORDS and not m.group().strip().lower().endswith("is")
+    quote = text[at : at + 1]
+    if quote in _QUOTED and quote:
+        m = _QUOTED[quote].match(text, at + 1)
+        if m and len(m.group()) >= _LEAST_VALUE and (free or _has_digit(m.group())):
+            return m.span()
+        at += 1
+    if m := _NUMBERS.match(text, at):
+        if sum("0" <= c <= "9" for c in m.group()) >= _LEAST_VALUE:
+            return m.span()
+    if not free and at < bare[0]:
+        return None  # the same run from a later place on
+    m = (_WORD if free else _VALUE).match(text, at)
+    value = m.group().rstrip(".,;:!?)]}") if m else ""
+    if free or _has_digit(value):
+        return (at, at + len(value)) if len(value) >= _LEAST_VALUE else None
+    bare[0] = m.end() if m else at
     return None
 
 
+def _has_digit(text: str) -> bool:
+    return any("0" <= c <= "9" for c in text)
+
+
 def _iban_span(text: str, start: int, end: int) -> tuple[int, int] | None:
     """From the country and check digits on over groups: the longest run of
     whole groups that passes (words in upper case may follow the number)."""
