@@ -1,5 +1,6 @@
 """The pipeline against its stages by brute force."""
 
+import numpy as np
 import regex
 
 import corpus_pipeline
@@ -29,6 +30,10 @@ def test_run_equals_brute_force(spark):
     wanted = sorted((d, len(ids.encode(pii.redact(t))) // 4 + 1) for d, t in kept.items())
     rows = corpus_pipeline.run(spark, SF001).collect()
     assert sorted({(r.doc_id, r.doc_tokens) for r in rows}) == wanted
+    whole = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        whole.setdefault(r.doc_id, []).extend(r.ids)
+    assert whole == {d: [*np.frombuffer(ids.encode(pii.redact(t)), "<u4").tolist(), packing.END_ID] for d, t in kept.items()}
     assert sum(r.length for r in rows) == sum(n for _, n in wanted)
 
 
