@@ -43,7 +43,11 @@ BOILERPLATE = (
 # Words that stand alone between the entries of a menu or trail.
 SEPARATORS = ("|", ">", "»", "›", "·", "•", "/", "::")
 SYMBOLS = "#*$%&|<>"
-TERMINAL = ".!?…:;\"')”’»"
+# Marks that end a sentence or close one: Latin and general, Arabic,
+# Devanagari, Armenian, Ethiopic, Burmese, Khmer, Tibetan, East Asian (wide, half wide).
+TERMINAL = ".!?…:;\"')”’»" + "؟۔؛" + "।॥" + "։՞՜" + "።፧፨" + "၊။" + "។៕" + "།༎" + "。！？：；」』）】》〉﹒﹖﹗｡｣"
+# Scripts that put no blanks between words.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan")
 
 
 @dataclass(frozen=True)
@@ -57,9 +61,11 @@ class Rules:
     min_shouts: int = 30  # "!!" per words, from three on
     boilerplate_words: int = 40  # a longer line is prose that mentions a phrase
     stub_words: int = 3  # a shorter line needs a terminal mark
+    unspaced_letters: int = 2  # letters of scripts without blanks that count as a word
     max_loss: int = 40  # words in removed lines; a short clean text with one licence line stays
 
 
+_UNSPACED = regex.compile("[" + "".join(rf"\p{{{s}}}" for s in UNSPACED) + "]")
 _ALNUM = regex.compile(r"[\p{L}\p{N}]")
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _SEPARATORS = frozenset(s.encode() for s in SEPARATORS)
@@ -83,7 +89,8 @@ def line_fails(line: str, words: list[bytes], rules: Rules = Rules()) -> str | N
     if marks >= 2 and 100 * marks >= rules.min_separators * n:
         return "separators"
     if n < rules.stub_words and words[-1].decode("utf-8", "surrogatepass")[-1] not in TERMINAL:
-        return "stub"
+        if line.isascii() or n + len(_UNSPACED.findall(line)) // rules.unspaced_letters < rules.stub_words:
+            return "stub"
     if n <= rules.boilerplate_words:
         low = line.translate(_LOWER)
         if any(p in low for p in BOILERPLATE):

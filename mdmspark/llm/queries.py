@@ -150,6 +150,7 @@ QUERIES = {f.__name__: f for f in (op1_sharding, op2_packing, op3_simhash, op4_p
 
 _SPACE = r"[\x09-\x0D\x20]"
 _SYMBOLS = "[" + line_cleaning.SYMBOLS + "]"
+_UNSPACED = "[" + "".join(f"\\p{{{s}}}" for s in line_cleaning.UNSPACED) + "]"
 _RULES = line_cleaning.Rules()
 
 
@@ -171,7 +172,7 @@ judged as (
     or not regexp_matches(line, '[\\pL\\pN]')
     or (shouts >= 3 and 100 * shouts >= {_RULES.min_shouts} * len(w))
     or (marks >= 2 and 100 * marks >= {_RULES.min_separators} * len(w))
-    or (len(w) < {_RULES.stub_words} and not contains({"'" + line_cleaning.TERMINAL.replace("'", "''") + "'"}, right(w[-1], 1)))
+    or (len(w) + (length(line) - length(regexp_replace(line, '{_UNSPACED}', '', 'g'))) // {_RULES.unspaced_letters} < {_RULES.stub_words} and not contains({"'" + line_cleaning.TERMINAL.replace("'", "''") + "'"}, right(w[-1], 1)))
     or (len(w) <= {_RULES.boilerplate_words} and {_any(line_cleaning.BOILERPLATE, "translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) as bad
   from (select *, (length(line) - length(replace(line, '!!', ''))) // 2 as shouts,
       len(list_filter(w, lambda x: x in ({", ".join(f"'{s}'" for s in line_cleaning.SEPARATORS)}))) as marks

@@ -79,3 +79,33 @@ def test_awkward_rows(spark):
     assert [r.clean_text for r in rows if r.doc_id == 4] == [None]
     assert sorted(r.doc_id or 0 for r in lc.keep_clean(awkward(spark)).collect()) == sorted(r.doc_id or 0 for r in rows if r.kept)
     assert lc.clean_lines(empty(spark)).count() == 0 and lc.keep_clean(empty(spark)).count() == 0
+
+
+SCRIPTS = {
+    "Chinese": ["今天天气很好，我们一起去公园散步。", "他说他明天会来看我们！", "这本书是谁写的？", "图书馆里有很多有意思的书，值得一读再读", "老师问：“你们都明白了吗？”"],
+    "Japanese": ["今日はとても天気がいいです。", "駅まで歩いて十分ぐらいかかります。", "「また明日来ます」と彼は言った。", "この本はとても面白いので、もう一度読みたい"],
+    "Hindi": ["मौसम अच्छा।", "वह आया।", "बच्चे खेलते हैं और शिक्षक पढ़ाते हैं।", "किताब पढ़ो॥", "आज हम सब मिलकर बाज़ार जाएँगे।"],
+    "Arabic": ["هل أنت؟", "الطقس جميل اليوم في المدينة.", "من هناك؟", "ذهب الولد إلى المدرسة ثم عاد إلى البيت۔"],
+    "Thai": ["วันนี้อากาศดีมาก", "เขาไปโรงเรียนแล้วกลับบ้าน", "หนังสือเล่มนี้น่าสนใจ"],
+}
+JUNK = {"menus": ["首页 | 新闻 | 联系 | 登录", "ホーム > 製品 > 案内", "होम | समाचार | संपर्क", "الرئيسية | أخبار | اتصل"], "stubs": ["登录", "次", "होम", "اتصل", "更多", "Home", "ต่อ"]}
+
+
+def test_clean_documents_of_other_scripts_stay_and_their_junk_goes():
+    for script, lines in SCRIPTS.items():
+        # Different enough lines that no window of words repeats.
+        text = "\n".join(f"{line}" for line in lines * 1) + "\n" + "\n".join(f"{line[:-1]} {i} {line[-1]}{line[-1]}" for i, line in enumerate(lines * 6))
+        verdict = lc.judge(text)
+        assert verdict[6] == 0, (script, [line for line in text.split("\n") if lc.line_fails(line, line.encode().split())])
+    for script, lines in SCRIPTS.items():
+        for line in lines:
+            assert lc.line_fails(line, line.encode().split()) is None, (script, line)
+    for kind, lines in JUNK.items():
+        for line in lines:
+            assert lc.line_fails(line, line.encode().split()) is not None, (kind, line)
+
+
+def test_thirty_clean_lines_of_chinese_and_hindi_are_kept():
+    chinese = "\n".join(f"第{i}天，{'风雨雪云雷'[i % 5]}很大，大家都在家里。" for i in range(30))
+    hindi = "\n".join(f"मौसम{chr(0x915 + i)} अच्छा{chr(0x915 + i)}।" for i in range(30))
+    assert lc.judge(chinese)[8] and lc.judge(hindi)[8]
