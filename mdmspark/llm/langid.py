@@ -11,7 +11,8 @@ chosen. A small lead over the next codeword flags ambiguity.
   mean share in the languages with that bit on and in those with it off.
   Shares come from counts over all training rows, summed map-side and merged by
   a shuffle; the model has languages x ``BUCKETS`` numbers, however much text
-  there is (the number of different ``lang`` values is taken to be small). The margin is the mean weight over the text's n-grams, scaled per
+  there is. Of a ``lang`` column with more than ``LANGUAGES`` different values
+  (a dirty one) those with the most training rows are learnt. The margin is the mean weight over the text's n-grams, scaled per
   bit to the training margins, so short and long texts compare.
 
 Only texts and languages of training rows are learnt from. Defined results: a
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from mdmspark.llm.common import map_arrow, slices
 
 BUCKETS = 1 << 15
+# Languages that are learnt at most: those with the most rows, of equals the ones that sort first.
+LANGUAGES = 256
 ORDERS = (1, 2, 3, 4)
 # A lead of less than this over the next language, as a share of the losses, is ambiguous.
 AMBIGUOUS = 0.05
@@ -87,7 +90,10 @@ class Model:
         return self.languages[best[0]], float(1 / share), bool(lead < AMBIGUOUS)
 
     def margins(self, found: np.ndarray) -> np.ndarray:
-        return np.bincount(found, minlength=BUCKETS) @ self.weights / max(1, len(found))
+        """Mean weight of the n-grams for each bit; a text of few of them reads their rows only."""
+        if 4 * len(found) < BUCKETS:
+            return self.weights[found].sum(axis=0) / max(1, len(found))
+        return np.bincount(found, minlength=BUCKETS) @ self.weights / len(found)
 
 
 def count_features(train: DataFrame) -> DataFrame:
@@ -96,10 +102,12 @@ def count_features(train: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for b in slices(batches):
+            found: dict[str, list[np.ndarray]] = {}
             for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
-                if lang not in totals:
-                    totals[lang] = np.zeros(BUCKETS, np.int64)
-                totals[lang] += np.bincount(features(text), minlength=BUCKETS)
+                found.setdefault(lang, []).append(features(text))
+            for lang, grams in found.items():  # a slice's texts of a language at once
+                n = np.bincount(np.concatenate(grams), minlength=BUCKETS)
+                totals[lang] = totals[lang] + n if lang in totals else n
         for lang, n in totals.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "bucket", "n"])
@@ -107,9 +115,12 @@ def count_features(train: DataFrame) -> DataFrame:
     return map_arrow(train.select("text", "lang"), run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fit(train: DataFrame) -> Model:
-    """The model of ``train`` (text, lang); rows without a text or language teach nothing."""
+def fit(train: DataFrame, most: int = LANGUAGES) -> Model:
+    """The model of ``train`` (text, lang), of at most so many languages; rows without a text or language teach nothing."""
     usable = train.where("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang"))
+    frequent = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most + 1).collect()
+    if len(frequent) > most:
+        usable = usable.where(F.col("lang").isin([r.lang for r in frequent[:most]]))
     rows = count_features(usable).toArrow()  # languages x buckets at most
     named = rows.column("lang").combine_chunks().dictionary_encode() if rows.num_rows else pa.array([], pa.string()).dictionary_encode()
     languages = sorted(named.dictionary.to_pylist())
