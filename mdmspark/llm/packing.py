@@ -108,12 +108,16 @@ _ENCODERS: dict[str, WordIds] = {}
 
 def cut_pieces(docs: DataFrame, tokenizer: str, *, most: int = MAX_LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece of every row of ``docs`` (doc_id, text): doc_id,
-    start, length, ids_crc32, doc_tokens and, on request, ``ids``. Narrow."""
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
+    start, length, ids_crc32, doc_tokens and, on request, ``ids``; also the
+    task that cut it (``part``) and how many pieces of its length the task had
+    cut before (``nth``). Narrow."""
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth", "part", *(["ids"] if with_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, WordIds(tokenizer))
-        end = np.array([end_id], "<u4").tobytes()
+        end, part, cut = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), {}
         for b in slices(batches, limit=1 << 20):
             keys, rows, ids = [], [], []
             for k, text in enumerate(b.column("text").to_pylist()):
@@ -122,18 +126,19 @@ def cut_pieces(docs: DataFrame, tokenizer: str, *, most: int = MAX_LENGTH, end_i
                 for size in piece_lengths(n, most):
                     piece = view[4 * at : 4 * (at + size)]
                     keys.append(k)
-                    rows.append((at, size, zlib.crc32(piece), n))
+                    rows.append((at, size, zlib.crc32(piece), n, nth := cut.get(size, 0)))
+                    cut[size] = nth + 1
                     if with_ids:
                         ids.append(np.frombuffer(piece, "<u4").astype(np.int32))
                     at += size
-            cols = np.array(rows, np.int64).reshape(-1, 4)
-            arrays = [b.column("doc_id").take(pa.array(keys, pa.int64())), *(pa.array(cols[:, i]) for i in range(4))]
+            cols = np.array(rows, np.int64).reshape(-1, 5)
+            arrays = [b.column("doc_id").take(pa.array(keys, pa.int64())), *(pa.array(cols[:, i]) for i in range(5)), pa.array(np.full(len(cols), part, np.int32))]
             if with_ids:
                 arrays.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {key}, start long, length long, ids_crc32 long, doc_tokens long" + (", ids array<int>" if with_ids else "")
+    schema = f"doc_id {key}, start long, length long, ids_crc32 long, doc_tokens long, nth long, part int" + (", ids array<int>" if with_ids else "")
     return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
@@ -142,11 +147,16 @@ def pack(docs: DataFrame, tokenizer: str, *, most: int = MAX_LENGTH, end_id: int
     them from 0, longest bucket first; ``offset`` is 0, as each sequence holds
     one piece; ``bucket_index`` counts within the bucket of equal lengths.
 
-    The pieces are written once; numbering them deals narrow rows by ranges
-    of (length, document), so a bucket spreads over many tasks."""
+    The pieces are written once. A bucket's sequences are numbered task by
+    task, so all that is added up is how many pieces of a length each task cut:
+    at most (number of tasks) x (number of lengths) rows. Pieces stay where they
+    are; Spark broadcasts those rows below its threshold."""
     pieces = materialize(cut_pieces(docs, tokenizer, most=most, end_id=end_id, with_ids=with_ids), "pieces")
-    keyed = pieces.withColumns({"_rank": -F.col("length"), "_one": F.lit(1).cast("long")})
-    out = running_totals(keyed, ["_rank", "doc_id", "start", "ids_crc32"], {"sequence_id": "_one"}, "packing")
-    firsts = out.groupBy("length").agg(F.min("sequence_id").alias("_first"))  # one row per power of two
-    out = out.join(F.broadcast(firsts), "length")
-    return out.select(*pieces.columns, "sequence_id", F.lit(0).cast("long").alias("offset"), (F.col("sequence_id") - F.col("_first")).alias("bucket_index"))
+    shares = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("_pieces")).withColumn("_rank", -F.col("length"))
+    starts = materialize(running_totals(shares, ["_rank", "part"], {"_start": "_pieces"}, "packing"), "packing-starts")
+    firsts = starts.groupBy("length").agg(F.min("_start").alias("_first"))  # one row per power of two
+    starts = materialize(starts.join(F.broadcast(firsts), "length").select("length", "part", "_start", "_first"), "packing-offsets")
+    out = pieces.join(starts, ["length", "part"])
+    kept = [c for c in pieces.columns if c not in ("nth", "part")]
+    return out.select(*kept, (F.col("_start") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+                      (F.col("_start") + F.col("nth") - F.col("_first")).alias("bucket_index"))
