@@ -40,7 +40,10 @@ from mdmspark.plans import (
     build_merchant,
     build_sub_transactions,
     build_users,
+    daily_jobs,
     process_snapshot,
+    report,
+    run_jobs,
     stage_table,
 )
 from mdmspark.plans import cards as cards_plan
@@ -405,6 +408,23 @@ def q_mcc_description_sets(spark: SparkSession, sf: str) -> DataFrame:
     return sets.select("mcc_id", F.col("n_values").alias("n_descriptions"), F.array_join("first", " | ").alias("first_descriptions"))
 
 
+def q_daily_run(spark: SparkSession, sf: str) -> DataFrame:
+    """All jobs of a date over the dirty sources, what can run at once at once:
+    the users' and the codes' gates block, all else is published."""
+    root = scratch_path(spark, "daily_run")
+    names = {"transactions": "transactions_src", "cards": "cards_src", "users": "users_dirty_src", "mcc_codes": "mcc_src"}
+    sources = {table: (lambda name=name: fixture(spark, sf, name)) for table, name in names.items()}
+    return report(spark, run_jobs(spark, daily_jobs(spark, sources, f"{root}/stg", f"{root}/prc", "20240101", load_ts=LOAD_TS)))
+
+
+def q_csv_safe_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The same text as line-safe CSV, which is read in splits."""
+    src = fixture(spark, sf, "csv_text_src")
+    path = scratch_path(spark, "csv_safe")
+    write_csv(src, path, safe_lines=True)
+    return read_csv(spark, path, schema=src.schema, safe_lines=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "users_dim": q_users_dim,
     "clean_money": q_clean_money,
@@ -450,6 +470,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_ranges": q_extract_ranges,
     "offender_sample": q_offender_sample,
     "mcc_description_sets": q_mcc_description_sets,
+    "daily_run": q_daily_run,
+    "csv_safe_lines": q_csv_safe_lines,
 }
 
 
@@ -786,6 +808,7 @@ select mcc_id, description, DATE '2024-01-02' as snapshot_date from mcc_src""",
     "publish_fact": with_fixtures(_snapshot_of(_TXN_FACT_BODY), "transactions_src"),
     "publish_mcc_blocked": with_fixtures(_snapshot_of(f"{_MCC_INVALID_BODY} union all {_MCC_KEYS}"), "mcc_src"),
     "csv_text_roundtrip": with_fixtures("select * from csv_text_src", "csv_text_src"),
+    "csv_safe_lines": with_fixtures("select * from csv_text_src", "csv_text_src"),
     "csv_inferred": with_fixtures("select cast(id as integer) as id, note, kind from csv_text_src", "csv_text_src"),
     "publish_mcc": with_fixtures(_snapshot_of(_MCC_DIM_BODY.replace("mcc_src", "mcc_clean_src")), "mcc_clean_src"),
     "publish_mcc_conflicts": with_fixtures(_snapshot_of(_MCC_KEYS.replace("mcc_src", "mcc_valid_src")), "mcc_valid_src"),
@@ -813,6 +836,17 @@ qualify row_number() over (partition by rule order by md5({' || '.join(map(_valu
     "mcc_description_sets": with_fixtures(f"""
 , p as (select distinct {_mcc('mcc_id')} as mcc_id, trim(description) as d from mcc_src where description is not null)
 select mcc_id, count(*) as n_descriptions, array_to_string(list_sort(list(d))[1:3], ' | ') as first_descriptions from p group by mcc_id having count(*) > 1""", "mcc_src"),
+    "daily_run": with_fixtures(f"""
+select 'stage transactions' as job, 'done' as status, count(*) as rows, cast(null as varchar) as failed_rule from transactions_src
+union all select 'stage cards', 'done', count(*), null from cards_src
+union all select 'stage users', 'done', count(*), null from users_dirty_src
+union all select 'stage mcc_codes', 'done', count(*), null from mcc_src
+union all select 'mdm_sub_transactions', 'done', count(*), null from transactions_src
+union all select 'mdm_merchant', 'done', count(distinct {_natural_key()}), null from transactions_src
+union all select 'mdm_users', case when count(*) filter (where id is null) > 0 then 'blocked' end, null, 'user_id_null' from users_dirty_src
+union all select 'mdm_cards', 'done', count(distinct id), null from cards_src
+union all select 'mdm_mcc_codes', case when count(*) filter (where not {_mcc_valid('mcc_id')}) > 0 then 'blocked' end, null, 'mcc_invalid' from mcc_src""",
+                               "transactions_src", "cards_src", "users_dirty_src", "mcc_src"),
     "merchant_key_agreement": with_fixtures(f"""
 select cast(merchant_id as varchar) as merchant_id, min(coalesce(trim(merchant_city), '')) as merchant_city, min(upper(trim(merchant_state))) as merchant_state,
   cast(zip as varchar) as zip, cast(min(merchant_id) as bigint) as fact_merchant_id, count(*) as fact_rows, cast(1 as bigint) as dimension_rows

@@ -6,6 +6,7 @@ from mdmspark.plans.entity import Entity
 from mdmspark.plans.mcc_codes import build_mcc_codes
 from mdmspark.plans.merchant import build_merchant
 from mdmspark.plans.publish import ENTITIES, PublishError, PublishReport, process_snapshot, publish_entity
+from mdmspark.plans.runner import Job, JobResult, daily_jobs, report, run_jobs
 from mdmspark.plans.staging import ReconcileError, StageReport, stage_from_jdbc, stage_table
 from mdmspark.plans.sub_transactions import build_sub_transactions
 from mdmspark.plans.users import build_users
@@ -13,6 +14,8 @@ from mdmspark.plans.users import build_users
 __all__ = [
     "ENTITIES",
     "Entity",
+    "Job",
+    "JobResult",
     "PublishError",
     "PublishReport",
     "ReconcileError",
@@ -22,8 +25,11 @@ __all__ = [
     "build_merchant",
     "build_sub_transactions",
     "build_users",
+    "daily_jobs",
     "process_snapshot",
     "publish_entity",
+    "report",
+    "run_jobs",
     "stage_from_jdbc",
     "stage_table",
 ]

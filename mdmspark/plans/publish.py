@@ -22,8 +22,9 @@ from mdmspark.operators.quality import KEYS, ROWS, QualityGateError, enforce, sa
 from mdmspark.operators.scope import FrameScope
 from mdmspark.plans import cards, mcc_codes, merchant, sub_transactions, users
 from mdmspark.plans.entity import Entity
-from mdmspark.sinks.files import write_snapshot
+from mdmspark.sinks.files import FILE_BYTES, size_files, write_snapshot
 from mdmspark.sources.files import SNAPSHOT_COLUMN, parse_snapshot_date, read_snapshot, snapshot_path
+from mdmspark.sources.manifest import Store, read_manifest
 
 ENTITIES: dict[str, Entity] = {
     e.name: e
@@ -59,6 +60,8 @@ def publish_entity(
     persist_source: bool = False,
     quarantine_root: str | None = None,
     offender_sample: int = 0,
+    source_bytes: int | None = None,
+    file_bytes: int = FILE_BYTES,
 ) -> PublishReport:
     """Check ``source``, and when no error rule fires write the entity's
     ``snapshot_date`` snapshot under ``target_root``.
@@ -68,7 +71,9 @@ def publish_entity(
     written. With ``quarantine_root`` the offending rows of every rule that
     fired, key rules included, replace that date's quarantine (an empty one if
     none fired), before the gate decides. With ``offender_sample`` the report,
-    or the error, carries so many offending rows of each rule that fired.
+    or the error, carries so many offending rows of each rule that fired. With
+    ``source_bytes``, the size of the source's files, the files of a table
+    without a key are planned to hold about ``file_bytes`` each.
     Frames persisted on the way are released on every way out.
     """
     d = parse_snapshot_date(snapshot_date)
@@ -104,6 +109,8 @@ def publish_entity(
 
         if summary is None:
             out = entity.build(src, load_ts)
+            if files is None and source_bytes is not None:
+                out = size_files(out, source_bytes, file_bytes)
         else:
             out = entity.build_from_summary(summary, load_ts)
             if files is None:
@@ -134,5 +141,9 @@ def process_snapshot(
     """The processing job of one entity: read the staged source snapshot at
     ``stg_root/<source table>`` and publish ``prc_root/<entity>``."""
     entity = ENTITIES[entity_name]
-    source = read_snapshot(spark, f"{stg_root.rstrip('/')}/{entity.source_table}", snapshot_date)
+    root = f"{stg_root.rstrip('/')}/{entity.source_table}"
+    source = read_snapshot(spark, root, snapshot_date)
+    manifest = read_manifest(Store(spark, root), snapshot_path(root, snapshot_date))
+    if manifest is not None:
+        kwargs.setdefault("source_bytes", sum(manifest.files.values()))
     return publish_entity(entity, source, f"{prc_root.rstrip('/')}/{entity.name}", snapshot_date, **kwargs)

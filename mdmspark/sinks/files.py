@@ -4,7 +4,9 @@ No sink funnels the data through one task: the reference's ``coalesce(1)``
 collapses the whole final stage (projection, or the de-duplication's reduce
 side) into a single task. Here a write keeps the parallelism of its plan;
 AQE sizes post-shuffle partitions, map-only writes keep one file per input
-split, and ``max_records_per_file`` bounds file size. ``files=n`` asks for
+split, and ``max_records_per_file`` bounds file size. Where the source's size is
+known (from its manifest), :func:`size_files` deals a frame of badly sized splits
+anew. ``files=n`` asks for
 about ``n`` files via a round-robin repartition (an extra shuffle, so only
 when a reader needs few files).
 """
@@ -12,12 +14,16 @@ when a reader needs few files).
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from mdmspark.sources.files import CSV_NULL, SNAPSHOT_COLUMN, parse_snapshot_date, snapshot_path
+from mdmspark.sources.files import CSV_NULL, SNAPSHOT_COLUMN, line_safe, parse_snapshot_date, snapshot_path, text_columns
+
+# Bytes that a file should have, and by how much the number of splits may differ from the one planned.
+FILE_BYTES, SLACK = 256 << 20, 4
 
 SAVE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
@@ -39,6 +45,24 @@ def shape_files(df: DataFrame, files: int | None = None) -> DataFrame:
     return df.repartition(files)
 
 
+def planned_files(total_bytes: int, file_bytes: int = FILE_BYTES) -> int:
+    """How many files of about ``file_bytes`` hold so many bytes; two at least,
+    so that no write is a single task."""
+    if file_bytes < 1:
+        raise ValueError("file_bytes must be >= 1")
+    return max(2, math.ceil(total_bytes / file_bytes))
+
+
+def size_files(df: DataFrame, total_bytes: int, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``df`` in about as many partitions as files are planned for it, from the
+    known size of its source (K5). A frame whose splits are within a factor of
+    :data:`SLACK` of that stays as it is, so a map-only write remains one; many
+    tiny splits, or a few very large ones, are dealt anew, rows evenly."""
+    wanted = planned_files(total_bytes, file_bytes)
+    splits = df.rdd.getNumPartitions()  # planned on the driver, no job
+    return df if wanted / SLACK <= splits <= wanted * SLACK else df.repartition(wanted)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None,
                   max_records_per_file: int | None = None) -> None:
     """Parquet write with a validated save mode (K1)."""
@@ -49,14 +73,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
-              files: int | None = None) -> None:
+              files: int | None = None, safe_lines: bool = False) -> None:
     """CSV write with a header line (K3), so a read with ``header=True`` does
     not lose the first row. Surrounding spaces are kept; NULL is an empty
     field and the empty string is written quoted (""), so a read by
     :func:`mdmspark.sources.files.read_csv` tells them apart. Quotes are
     doubled (a backslash is an ordinary character) and newlines stay inside
     their quoted field. The one text that cannot be written is a lone U+0000,
-    the reader's NULL marker: it raises."""
+    the reader's NULL marker: it raises. With ``safe_lines`` line ends, U+0000
+    and ``%`` are written as ``%0A``, ``%0D``, ``%00`` and ``%25``: every record is
+    one line, so a reader with the same option can split files, and nothing raises."""
+    df = text_columns(df, line_safe) if safe_lines else df
     marked = {
         f.name: F.when(F.col(f"`{f.name}`") == CSV_NULL, F.raise_error(F.lit(f"column {f.name} holds a lone U+0000"))).otherwise(F.col(f"`{f.name}`"))
         for f in df.schema.fields

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from mdmspark.functions.constants import SNAPSHOT_DATE_PATTERN
 from mdmspark.sources.manifest import SnapshotError, Store, check_files, check_schema, read_manifest
@@ -22,15 +24,43 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+# What line-safe CSV puts for characters that would end a line or stand for
+# NULL, and for the sign that begins these forms: that one last when reading.
+LINE_SAFE = (("\n", "%0A"), ("\r", "%0D"), ("\u0000", "%00"), ("%", "%25"))
+
+
+def line_safe(text: Column) -> Column:
+    """Text without line ends; :func:`from_line_safe` gives it back. As every
+    ``%`` of the result begins one of the forms, no form arises by chance."""
+    for raw, form in reversed(LINE_SAFE):
+        text = F.replace(text, F.lit(raw), F.lit(form))
+    return text
+
+
+def from_line_safe(text: Column) -> Column:
+    for raw, form in LINE_SAFE:
+        text = F.replace(text, F.lit(form), F.lit(raw))
+    return text
+
+
+def text_columns(df: DataFrame, form: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with ``form`` applied to its string columns."""
+    names = {f.name: f"`{f.name.replace('`', '``')}`" for f in df.schema.fields}
+    return df.select(*[(form(F.col(q)) if isinstance(df.schema[n].dataType, StringType) else F.col(q)).alias(n) for n, q in names.items()])
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True, safe_lines: bool = False) -> DataFrame:
     """CSV with a header line. With ``schema`` (S8) values are read as
     declared; without (S7) types are inferred, which costs an extra pass and
     turns codes such as '0742' into 742, so prefer a schema. Surrounding
     spaces are kept, and an unquoted empty field is NULL while a quoted one
     ("") is the empty string, as written by
     :func:`mdmspark.sinks.files.write_csv`. Records may span lines, so a file
-    is one split: write large tables as many files. ``multi_line=False`` reads
-    files without newlines in values in splits."""
+    is one split: write large tables as many files, or with ``safe_lines`` (in
+    the sink as well), where values hold no line ends: any file is then read in
+    splits, by as many tasks as its size asks for. ``multi_line=False`` reads
+    other files without newlines in values in splits."""
+    multi_line = multi_line and not safe_lines
     reader = (
         spark.read.option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
@@ -46,7 +76,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
         reader = reader.option("inferSchema", True)
     else:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    df = reader.csv(path)
+    return text_columns(df, from_line_safe) if safe_lines else df
 
 
 def parse_snapshot_date(value: str | dt.date) -> dt.date:

@@ -121,3 +121,25 @@ def test_csv_refuses_its_null_marker(spark, tmp_root):
     df = spark.createDataFrame([(1, "\u0000")], "id int, s string")
     with pytest.raises(Exception, match="U\\+0000"):
         write_csv(df, f"{tmp_root}/z")
+
+
+def test_line_safe_csv_keeps_every_text(spark, tmp_root):
+    texts = ["a\nb", "\r\n", '"', '"\n"', "back\\slash\\n", "\\", "", None, "  x  ", "%0A", "%", "%250A", "100%\n%0D%00", "\u0000", "a\u0000b", "a,b", "'", "  \u0085", "é漢\n🙂", "%%25"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").coalesce(1)
+    write_csv(df, tmp_root, safe_lines=True)
+    for schema in ("id int, t string", None):
+        assert {r.id: r.t for r in read_csv(spark, tmp_root, schema=schema, safe_lines=True).collect()} == dict(enumerate(texts))
+
+
+def test_line_safe_csv_is_read_by_several_tasks(spark, tmp_root):
+    df = spark.range(20_000).select("id", F.concat(F.lit("line one of "), F.col("id"), F.lit('\nand "two", 5 %\r\n')).alias("t"))
+    write_csv(df.coalesce(1), tmp_root, safe_lines=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        back = read_csv(spark, tmp_root, schema="id long, t string", safe_lines=True)
+        parts = back.groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) > 4 and sum(r["count"] for r in parts) == 20_000
+        assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
