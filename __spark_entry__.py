@@ -464,10 +464,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_rerun": q_quarantine_rerun,
     "publish_users_blocked": q_publish_users_blocked,
     "merchant_key_agreement": q_merchant_key_agreement,
-    "content_fingerprint": q_content_fingerprint,
+    "dq_content_fingerprint": q_content_fingerprint,
     "stage_refused": q_stage_refused,
     "snapshot_checked": q_snapshot_checked,
-    "extract_ranges": q_extract_ranges,
+    "dq_extract_ranges": q_extract_ranges,
     "offender_sample": q_offender_sample,
     "mcc_description_sets": q_mcc_description_sets,
     "daily_run": q_daily_run,
@@ -820,7 +820,7 @@ select 'user_id_null' as rule, 'error' as severity, id, gender, yearly_income fr
 union all
 select 'duplicate_user_id', 'warn', id, gender, yearly_income from users_dirty_src
 where id in (select id from users_dirty_src where id is not null group by id having count(*) > 1)"""), "users_dirty_src"),
-    "content_fingerprint": with_fixtures(_fingerprint_of("cards_src", "id", "client_id", "card_type", "card_brand", "card_number", "expires", "cvv", "has_chip",
+    "dq_content_fingerprint": with_fixtures(_fingerprint_of("cards_src", "id", "client_id", "card_type", "card_brand", "card_number", "expires", "cvv", "has_chip",
                                                          "num_cards_issued", "credit_limit", "acct_open_date", "year_pin_last_changed"), "cards_src"),
     "stage_refused": with_fixtures("""
 select *, DATE '2024-01-01' as snapshot_date from users_src""", "users_src"),
@@ -828,7 +828,7 @@ select *, DATE '2024-01-01' as snapshot_date from users_src""", "users_src"),
 select id, expires, cvv, DATE '2024-01-01' as snapshot_date from cards_src
 union all
 select id, expires, cvv, DATE '2024-01-02' from cards_src where id % 3 = 0""", "cards_src"),
-    "extract_ranges": with_fixtures("""
+    "dq_extract_ranges": with_fixtures("""
 select count(*) as n_rows, count(*) as n_read_once, count(*) - count(id) as n_null_range, true as within_twice_the_mean, true as within_17_connections
 from skewed_ids_src""", "skewed_ids_src"),
     "offender_sample": with_fixtures(_CARDS_QUARANTINE.replace("select 'card_id_null'", "select * from (select 'card_id_null'", 1) + f""")
