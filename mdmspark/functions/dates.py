@@ -1,7 +1,7 @@
 """Flexible date parsing.
 
 Each accepted layout is recognised by a whole-string regular expression,
-then its fixed-width fields are checked as a calendar date. No date
+then its fixed-width fields are cast as a calendar date. No date
 formatter is involved, so the result does not depend on ANSI mode or on
 ``spark.sql.legacy.timeParserPolicy``.
 """
@@ -21,13 +21,6 @@ from mdmspark.functions.constants import (
 from mdmspark.functions.text import is_blank
 
 
-def _date_of(y: Column, m: Column, d: Column) -> Column:
-    """The date y-m-d, or NULL when month or day is out of range (strict:
-    2020-02-30 is NULL). ``try_`` form, so no error with ANSI on."""
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(y, m, d, zero, zero, zero).cast("date")
-
-
 def parse_flexible_date(c: Column, end_of_month: bool = False) -> Column:
     """Date from text in one of several layouts; first match wins.
 
@@ -38,14 +31,18 @@ def parse_flexible_date(c: Column, end_of_month: bool = False) -> Column:
     NULL. With ``end_of_month`` every result is moved to the month's last day.
 
     The layouts have fixed-width digit fields, so after the shape check the
-    fields are read by position and validated arithmetically; this is what a
-    strict ``to_date`` with those formats accepts, without running a
-    formatter (and its exception path) per row.
+    fields are put in ISO order and cast, strictly (2020-02-30 is NULL) and with
+    ANSI on or off; this is what a strict ``to_date`` with those formats accepts,
+    without running a formatter per row. One cast for all layouts keeps the
+    generated code short: the JVM does not compile methods of over 8,000 bytes.
     """
     v = F.trim(c.cast("string"))
 
-    def num(pos: int, length: int) -> Column:
-        return F.substring(v, pos, length).cast("int")
+    def text(*parts: Column | str) -> Column:
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    def part(pos: int, length: int) -> Column:
+        return F.substring(v, pos, length)
 
     n = F.length(v)
 
@@ -53,17 +50,17 @@ def parse_flexible_date(c: Column, end_of_month: bool = False) -> Column:
         # the length test short-circuits, so at most two patterns run per row
         return (n == length) & v.rlike(pattern)
 
-    one = F.lit(1)
-    parsed = (
-        F.when(shape(7, MONTH_YEAR4), _date_of(num(4, 4), num(1, 2), one))
-        .when(shape(5, MONTH_YEAR2), _date_of(num(4, 2) + 2000, num(1, 2), one))
-        .when(shape(7, YEAR_MONTH), _date_of(num(1, 4), num(6, 2), one))
-        .when(shape(10, ISO_DATE), _date_of(num(1, 4), num(6, 2), num(9, 2)))
-        .when(
-            shape(10, SLASH_DATE),
-            F.coalesce(_date_of(num(7, 4), num(1, 2), num(4, 2)), _date_of(num(7, 4), num(4, 2), num(1, 2))),
-        )
+    first, second = part(1, 2), part(4, 2)
+    iso = (
+        F.when(shape(7, MONTH_YEAR4), text(part(4, 4), "-", first, "-01"))
+        .when(shape(5, MONTH_YEAR2), text("20", second, "-", first, "-01"))
+        .when(shape(7, YEAR_MONTH), text(v, "-01"))
+        .when(shape(10, ISO_DATE), v)
+        .when(shape(10, SLASH_DATE), text(part(7, 4), "-", first, "-", second))
     )
+    # Day first, where month first was no date.
+    swapped = F.when(shape(10, SLASH_DATE), text(part(7, 4), "-", second, "-", first))
+    parsed = F.coalesce(iso.try_cast("date"), swapped.try_cast("date"))
     return F.last_day(parsed) if end_of_month else parsed
 
 

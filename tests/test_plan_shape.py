@@ -50,3 +50,24 @@ def test_card_dates_are_parsed_once(spark):
     src = fixture(spark, SF001, "cards_src")
     tests = [d._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") for d in (cards.ENTITY.build(src), cards.ENTITY.summary(src))]
     assert tests[0] == tests[1] > 0
+
+
+def test_generated_methods_are_short_enough_for_the_jit(spark, tmp_root, capsys):
+    """The JVM interprets methods of over 8,000 bytes for ever."""
+    from mdmspark.fixtures import fixture
+    from mdmspark.plans import ENTITIES
+
+    sources = {"transactions": "transactions_src", "cards": "cards_src", "mcc_codes": "mcc_src", "users": "users_src"}
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the codegen stages show once run
+    try:
+        for name, entity in ENTITIES.items():
+            fixture(spark, SF001, sources[entity.source_table]).select(*entity.required).write.parquet(f"{tmp_root}/{name}")
+            src = spark.read.parquet(f"{tmp_root}/{name}")
+            for df in [entity.build(src), *([entity.summary(src), entity.quarantine(src)] if entity.key else [])]:
+                capsys.readouterr()
+                df.explain("codegen")
+                sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+                assert sizes and max(sizes) < 8000, (name, sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
