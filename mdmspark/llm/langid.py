@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 
 from mdmspark.llm.common import map_arrow, slices
 
-BUCKETS = 1 << 15
+BUCKET_BITS = 15
+BUCKETS = 1 << BUCKET_BITS
 # Languages that are learnt at most: those with the most rows, of equals the ones that sort first.
 LANGUAGES = 256
 ORDERS = (1, 2, 3, 4)
@@ -43,21 +45,45 @@ AMBIGUOUS = 0.05
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
-_WORDS = regex.compile(r"[^\p{L}\p{M}]+")
+
+
+@cache
+def _in_words() -> np.ndarray:
+    """For every code point whether it is a letter or a mark."""
+    table = np.zeros(0x110000, bool)
+    table[[m.start() for m in regex.finditer(r"[\p{L}\p{M}]", "".join(map(chr, range(len(table)))))]] = True
+    return table
+
+
+def spaced_words(text: str) -> bytes:
+    """The text in lower case with one space for every run of other characters
+    than letters and marks, between spaces."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = _in_words()[points]
+    kept = inside.copy()
+    kept[:1] = True
+    kept[1:] |= inside[:-1]  # the first of a run of others
+    words = np.where(inside, points, np.uint32(32))[kept].tobytes().decode("utf-32-le", "surrogatepass")
+    return f" {words} ".encode("utf-8", "surrogatepass")
 
 
 def features(text: str) -> np.ndarray:
     """Hashed byte n-grams of the text's words (letters only, in lower case, one space between)."""
-    raw = np.frombuffer(f" {' '.join(_WORDS.split(text.lower()))} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
-    out, gram = [], np.zeros(len(raw), np.uint32)
-    for k in range(max(ORDERS)):
-        if len(raw) <= k:
-            break
-        gram = (gram[: len(raw) - k] << np.uint32(8)) | raw[k:]
-        if k + 1 in ORDERS:
-            mixed = (gram ^ np.uint32(0x9E3779B9 * (k + 1) & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
-            out.append((mixed ^ (mixed >> np.uint32(15))) * np.uint32(0xC2B2AE35) >> np.uint32(17))
-    return np.concatenate(out).astype(np.int64) % BUCKETS
+    raw = np.frombuffer(spaced_words(text), np.uint8).astype(np.uint32)
+    out, at, gram = np.empty(sum(max(0, len(raw) + 1 - n) for n in ORDERS), np.int64), 0, raw
+    for n in range(1, min(max(ORDERS), len(raw)) + 1):
+        if n > 1:
+            gram = gram[:-1] << np.uint32(8)
+            gram |= raw[n - 1 :]
+        if n in ORDERS:
+            mixed = gram ^ np.uint32(0x9E3779B9 * n & 0xFFFFFFFF)
+            mixed *= np.uint32(0x85EBCA6B)
+            mixed ^= mixed >> np.uint32(15)
+            mixed *= np.uint32(0xC2B2AE35)
+            mixed >>= np.uint32(32 - BUCKET_BITS)
+            out[at : at + len(mixed)] = mixed
+            at += len(mixed)
+    return out
 
 
 def codewords(n: int) -> np.ndarray:
@@ -92,7 +118,7 @@ class Model:
     def margins(self, found: np.ndarray) -> np.ndarray:
         """Mean weight of the n-grams for each bit; a text of few of them reads their rows only."""
         if 4 * len(found) < BUCKETS:
-            return self.weights[found].sum(axis=0) / max(1, len(found))
+            return np.ones(len(found)) @ np.take(self.weights, found, axis=0) / max(1, len(found))
         return np.bincount(found, minlength=BUCKETS) @ self.weights / len(found)
 
 

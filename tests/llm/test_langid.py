@@ -77,10 +77,19 @@ def test_model_equals_one_made_number_by_number(spark):
 
 
 def test_features_equal_plain_integers():
-    for text in ("a", "Grüße, 漢字 x", "", "the cat  sat"):
+    for text in ("a", "Grüße, 漢字 x", "", "the cat  sat", "..a--b.", "İSTANBUL ǅ é́", "\x00a\x1fb\u2028c", "123", "हिन्दी। १२"):
         assert langid.features(text).tolist() == slow_features(text)
 
 
+def test_words_equal_the_pattern():
+    import regex
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    for text in (every, every[::-1], every[::37]):
+        assert langid.spaced_words(text).decode() == " " + " ".join(regex.split(r"[^\p{L}\p{M}]+", text.lower())) + " "
+    assert langid.spaced_words("x \ud800y") == b" x y "
+
+
 def test_a_dirty_language_column_is_bounded(spark):
     rows = [("hello there", "en")] * 5 + [("bonjour madame", "fr")] * 4 + [(f"junk {i}", f"x{i}") for i in range(300)]
     df = spark.createDataFrame(rows, "text string, lang string")
