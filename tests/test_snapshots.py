@@ -81,6 +81,25 @@ def test_an_empty_table_has_a_fingerprint(spark):
     assert fingerprint(df) == Fingerprint(0, {"*": "0-0-0-0-0-0", **dict.fromkeys(("id", "name", "amount"), "0-0-0")})
 
 
+def test_checks_are_those_observed_and_see_every_change(spark):
+    from pyspark.sql import Observation
+
+    from mdmspark.operators.fingerprint import check_aggregates, from_metrics
+
+    texts = [str(a) for a in check_aggregates(frame(spark))]
+    assert not any("md5" in t or "conv(" in t for t in texts)
+    df = frame(spark).repartition(3).withColumn("low", F.expr("name collate UTF8_LCASE"))
+    seen = Observation()
+    df.observe(seen, *check_aggregates(df)).write.format("noop").mode("overwrite").save()
+    written = from_metrics(seen.get, df.columns)
+    assert written.differences(fingerprint(df).checked()) == []
+    upper = df.withColumn("low", F.upper("low"))
+    assert written.differences(fingerprint(upper).checked()) == ["column low differs"]
+    a = fingerprint(frame(spark)).checked()
+    assert a.differences(fingerprint(frame(spark, [(1, "b", 1), (2, "a", 2), *ROWS[2:]])).checked()) == ["values were exchanged between rows"]
+    assert a.differences(fingerprint(frame(spark, [*ROWS[:3], (3, "N", None), *ROWS[4:]])).checked()) == ["column name differs"]
+
+
 # -- commits ------------------------------------------------------------------
 
 def test_a_commit_replaces_only_its_date(spark, tmp_root):
