@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DataType
 
-from mdmspark.session import map_arrow
+from mdmspark.session import map_arrow, spread
 
 ROW = "*"
 _WORD = (1 << 20) - 1
@@ -142,7 +142,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> Fingerpr
     """The fingerprint of a frame, with its checks: one scan, one row to the driver."""
     names = list(df.columns if columns is None else columns)
     n = len(names)
-    texts = df.select(*[v.alias(f"v{i}") for i, v in enumerate(_values(df, names))])
+    texts = spread(df).select(*[v.alias(f"v{i}") for i, v in enumerate(_values(df, names))])
     values = [F.col(c) for c in texts.columns]
     row = F.concat(*values) if values else F.lit("")
     digits = F.concat(F.substring(F.md5(row), 1, 2 * _HALF), *[F.substring(F.md5(v), 1, _HALF) for v in values])

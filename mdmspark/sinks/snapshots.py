@@ -30,6 +30,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from mdmspark.operators.fingerprint import Fingerprint, check_aggregates, fingerprint, from_metrics
+from mdmspark.session import spread
 from mdmspark.sinks.files import shape_files
 from mdmspark.sources.files import SNAPSHOT_COLUMN, parse_snapshot_date, snapshot_path
 from mdmspark.sources.manifest import MANIFEST, Manifest, Store, check_files, read_manifest
@@ -84,7 +85,8 @@ def commit_snapshot(
     """Write ``df`` as the ``snapshot_date`` snapshot under ``root``, replacing
     the date's old one only after the written content has been read back and
     found equal. ``df`` is evaluated once: the sums that tell this are observed
-    while it is written. ``control`` holds the source's own totals, if it gives any (its
+    while it is written. Unless ``files`` is given, a source of few files is dealt
+    to all tasks. ``control`` holds the source's own totals, if it gives any (its
     columns may be a part of the table's; their sums must be equal).
 
     Raises :class:`ReconcileError` with the old snapshot unchanged."""
@@ -95,7 +97,8 @@ def commit_snapshot(
     rows = df.drop(SNAPSHOT_COLUMN)
     observed = Observation(f"commit_{uuid.uuid4().hex}")
     try:
-        shape_files(rows, files).observe(observed, *check_aggregates(rows)).write.parquet(attempt)
+        shaped = spread(rows) if files is None else shape_files(rows, files)
+        shaped.observe(observed, *check_aggregates(rows)).write.parquet(attempt)
         written = from_metrics(observed.get, rows.columns)
         found = fingerprint(spark.read.schema(rows.schema).parquet(attempt))
         faults = [f"read back: {x}" for x in written.differences(found.checked())]

@@ -100,6 +100,20 @@ def test_checks_are_those_observed_and_see_every_change(spark):
     assert a.differences(fingerprint(frame(spark, [*ROWS[:3], (3, "N", None), *ROWS[4:]])).checked()) == ["column name differs"]
 
 
+def test_a_file_of_one_row_group_is_staged_by_all_tasks(spark, tmp_root):
+    from mdmspark.session import spread
+
+    spark.range(40_000).coalesce(1).write.parquet(f"{tmp_root}/one")
+    source = spark.read.parquet(f"{tmp_root}/one")
+    n = spark.sparkContext.defaultParallelism
+    done = commit_snapshot(spark, source, f"{tmp_root}/staged", DAY)
+    assert done.rows == 40_000 and len(done.files) == n and done.fingerprint == fingerprint(source)
+    dealt = source.groupBy("id").count()
+    assert spread(dealt) is dealt  # not run to be planned
+    made = spark.range(5)
+    assert spread(made) is made
+
+
 # -- commits ------------------------------------------------------------------
 
 def test_a_commit_replaces_only_its_date(spark, tmp_root):
